@@ -3,70 +3,69 @@ and parsing the digits back gives the same keys at several times the cost per ro
 
 from __future__ import annotations
 
-import datetime as dt
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def date_key(moment: Column) -> Column:
+def date_key(moment: str) -> str:
     """yyyymmdd as an int, of a date or a timestamp."""
-    return F.year(moment) * 10000 + F.month(moment) * 100 + F.day(moment)
+    return f"(year({moment}) * 10000 + month({moment}) * 100 + day({moment}))"
 
 
-def time_key(moment: Column) -> Column:
+def time_key(moment: str) -> str:
     """hhmmss as an int; 01:02:03 gives 10203."""
-    return F.hour(moment) * 10000 + F.minute(moment) * 100 + F.second(moment)
+    return f"(hour({moment}) * 10000 + minute({moment}) * 100 + second({moment}))"
 
 
-def within_year(moment: Column, year: int) -> Column:
+def within_year(moment: str, year: int) -> str:
     """True inside the calendar year. Half-open on the bare column, so the scan can skip by it."""
-    first = F.lit(dt.datetime(year, 1, 1)).cast("timestamp_ntz")
-    after = F.lit(dt.datetime(year + 1, 1, 1)).cast("timestamp_ntz")
-    return (moment >= first) & (moment < after)
+    first, after = (f"TIMESTAMP_NTZ'{start:04d}-01-01 00:00:00'" for start in (year, year + 1))
+    return f"({moment} >= {first} AND {moment} < {after})"
 
 
-def day_of_week(day: Column) -> Column:
+def day_of_week(day: str) -> str:
     """1 for Monday to 7 for Sunday."""
-    return F.weekday(day) + 1
+    return f"(weekday({day}) + 1)"
 
 
-def is_weekend(day: Column) -> Column:
-    return F.weekday(day) >= 5
+def is_weekend(day: str) -> str:
+    return f"(weekday({day}) >= 5)"
 
 
-def seconds_to_key(second_of_day: Column) -> Column:
-    """Second of the day (0 to 86399) as hhmmss."""
-    hour, minute, second = split_seconds(second_of_day)
-    return hour * 10000 + minute * 100 + second
+def hour_of(second_of_day: str) -> str:
+    return f"(CAST({second_of_day} AS INT) DIV 3600)"
 
 
-def seconds_to_text(second_of_day: Column) -> Column:
-    """Second of the day as HH:mm:ss text."""
-    return F.format_string("%02d:%02d:%02d", *split_seconds(second_of_day))
+def minute_of(second_of_day: str) -> str:
+    return f"(CAST({second_of_day} AS INT) % 3600 DIV 60)"
+
 
+def second_of(second_of_day: str) -> str:
+    return f"(CAST({second_of_day} AS INT) % 60)"
 
-def split_seconds(second_of_day: Column) -> tuple[Column, Column, Column]:
-    """Hour, minute and second as ints."""
-    whole = second_of_day.cast("int")
-    hour = F.call_function("div", whole, F.lit(3600)).cast("int")
-    minute = F.call_function("div", whole % 3600, F.lit(60)).cast("int")
-    return hour, minute, whole % 60
+
+def seconds_to_key(second_of_day: str) -> str:
+    """Second of the day (0 to 86399) as hhmmss."""
+    hour, minute, second = (part(second_of_day) for part in (hour_of, minute_of, second_of))
+    return f"CAST({hour} * 10000 + {minute} * 100 + {second} AS INT)"
+
+
+def seconds_to_text(second_of_day: str) -> str:
+    """Second of the day as HH:mm:ss text."""
+    hour, minute, second = (part(second_of_day) for part in (hour_of, minute_of, second_of))
+    return f"format_string('%02d:%02d:%02d', {hour}, {minute}, {second})"
 
 
-def hhmmss_seconds(packed: Column) -> Column:
+def hhmmss_seconds(packed: str) -> str:
     """Seconds in an hhmmss number, e.g. 123456 gives 45296. Digits are not range-checked."""
     hour, minute, second = _unpack(packed)
-    return hour * 3600 + minute * 60 + second
+    return f"({hour} * 3600 + {minute} * 60 + {second})"
 
 
-def hhmmss_interval(packed: Column) -> Column:
+def hhmmss_interval(packed: str) -> str:
     """The same as a day-time interval."""
     hour, minute, second = _unpack(packed)
-    return F.make_dt_interval(F.lit(0), hour, minute, second)
+    return f"make_dt_interval(0, {hour}, {minute}, {second})"
 
 
-def _unpack(packed: Column) -> tuple[Column, Column, Column]:
+def _unpack(packed: str) -> list[str]:
     # Digits are taken by position; lpad also cuts longer numbers to their first six.
-    digits = F.lpad(packed.cast("bigint").cast("string"), 6, "0")
-    return tuple(F.substring(digits, start, 2).cast("int") for start in (1, 3, 5))
+    digits = f"lpad(CAST(CAST({packed} AS BIGINT) AS STRING), 6, '0')"
+    return [f"CAST(substring({digits}, {start}, 2) AS INT)" for start in (1, 3, 5)]

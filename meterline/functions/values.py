@@ -2,41 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The ranges of the whole-number types.
 _WHOLE_RANGES = {
     "smallint": (-(2**15), 2**15 - 1),
     "int": (-(2**31), 2**31 - 1),
 }
 
 
-def non_negative(value: Column) -> Column:
+def non_negative(value: str) -> str:
     """Missing or at least zero; written as an OR so that Parquet can skip by it."""
-    return value.isNull() | (value >= 0)
+    return f"({value} IS NULL OR {value} >= 0)"
 
 
-def within(value: Column, kind: str | T.DecimalType) -> Column:
-    """Missing or inside the range of `kind` once rounded or cut. NaN and infinities are outside."""
-    if isinstance(kind, T.DecimalType):
-        # One half of the last place below the first number that needs another digit.
-        limit = 10.0 ** (kind.precision - kind.scale) - 0.5 * 10.0**-kind.scale
-        return value.isNull() | ((value < limit) & (value > -limit))
+def in_range(value: str, kind: str) -> str:
+    """Missing or inside the range of a whole-number type once cut. NaN and infinities are outside."""
     low, high = _WHOLE_RANGES[kind]
-    return value.isNull() | ((value > low - 1) & (value < high + 1))
+    return f"({value} IS NULL OR ({value} > {low - 1} AND {value} < {high + 1}))"
+
+
+def not_too_large(value: str, kind: str | T.DecimalType) -> str:
+    """Missing or below the first number that `kind` cannot hold once rounded; not so NaN and infinity."""
+    if isinstance(kind, T.DecimalType):
+        # Half up: from half of the last place below the first number with a digit more.
+        first_too_large = f"{10.0 ** (kind.precision - kind.scale) - 0.5 * 10.0**-kind.scale!r}D"
+    else:
+        first_too_large = str(_WHOLE_RANGES[kind][1] + 1)
+    return f"({value} IS NULL OR {value} < {first_too_large})"
 
 
-def narrow(value: Column, kind: str) -> Column:
+def narrow(value: str, kind: str) -> str:
     """Cast to a smaller whole-number type; NULL where the value does not fit."""
-    return value.try_cast(kind)
+    return f"TRY_CAST({value} AS {kind})"
 
 
-def to_amount(value: Column, kind: T.DecimalType) -> Column:
+def to_amount(value: str, kind: T.DecimalType) -> str:
     """Cast to a decimal, half up on the printed digits; missing counts as zero."""
-    return F.coalesce(value, F.lit(0.0)).try_cast(kind)
+    return f"TRY_CAST(coalesce({value}, 0.0D) AS {kind.simpleString()})"
 
 
-def flag_letter(flag: Column) -> Column:
+def flag_letter(flag: str) -> str:
     """First character, with N for a missing flag. Empty text stays empty."""
-    return F.substring(F.coalesce(flag.cast("string"), F.lit("N")), 1, 1)
+    return f"substring(coalesce(CAST({flag} AS STRING), 'N'), 1, 1)"

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline import schema
-from meterline.operators.rules import Rule
+from meterline.operators.rules import Rule, count_each
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str], table: str, constraint: str = "primary_key") -> DataFrame:
@@ -20,11 +20,12 @@ def duplicate_keys(df: DataFrame, key: Sequence[str], table: str, constraint: st
     a third of the rows arrives as one partial count per task.
     """
     counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count"))
-    missing = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in key])
-    return counted.filter((F.col("row_count") > 1) | missing).select(
-        F.lit(table).alias("table_name"),
-        F.lit(constraint).alias("constraint_name"),
-        _text(key).alias("key_value"),
+    missing = " OR ".join(f"{name} IS NULL" for name in key)
+    text = ", ".join(f"coalesce(CAST({name} AS STRING), 'NULL')" for name in key)
+    return counted.filter(f"row_count > 1 OR {missing}").selectExpr(
+        f"'{table}' AS table_name",
+        f"'{constraint}' AS constraint_name",
+        f"concat_ws('|', {text}) AS key_value",
         "row_count",
     )
 
@@ -41,9 +42,8 @@ def table_key_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def missing_values(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
     """(table_name, column_name, missing): NULLs per column, in one pass over all of them."""
-    counted = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])
-    pairs = [F.struct(F.lit(name).alias("column_name"), F.col(name).alias("missing")) for name in columns]
-    return counted.select(F.inline(F.array(*pairs))).select(F.lit(table).alias("table_name"), "column_name", "missing")
+    counted = count_each(df, {name: f"{name} IS NULL" for name in columns}, "column_name", "missing")
+    return counted.selectExpr(f"'{table}' AS table_name", "*")
 
 
 def required_columns(table: T.StructType) -> list[str]:
@@ -52,9 +52,9 @@ def required_columns(table: T.StructType) -> list[str]:
 
 def fact_checks() -> list[Rule]:
     """CHECKs of the fact table, and the flag's, which its dimension declares."""
-    checks = [Rule("flag_is_y_or_n", F.col("store_and_fwd_flag").isin("Y", "N"))]
-    checks += [Rule(f"{name}_not_negative", F.col(name) >= 0) for name in schema.MEASURE_COLUMNS]
-    checks.append(Rule("dropoff_not_before_pickup", F.col("dropoff_datetime") >= F.col("pickup_datetime")))
+    checks = [Rule("flag_is_y_or_n", "store_and_fwd_flag IN ('Y', 'N')")]
+    checks += [Rule(f"{name}_not_negative", f"{name} >= 0") for name in schema.MEASURE_COLUMNS]
+    checks.append(Rule("dropoff_not_before_pickup", "dropoff_datetime >= pickup_datetime"))
     return checks
 
 
@@ -67,7 +67,7 @@ def time_checks() -> list[Rule]:
 
 
 def _ranges(bounds: Mapping[str, tuple[int, int]]) -> list[Rule]:
-    return [Rule(f"{name}_in_range", F.col(name).between(*pair)) for name, pair in bounds.items()]
+    return [Rule(f"{name}_in_range", f"{name} BETWEEN {low} AND {high}") for name, (low, high) in bounds.items()]
 
 
 def orphans(
@@ -83,26 +83,21 @@ def orphans(
     that a third of the rows share moves as one count per task.
     """
     columns = list(foreign_keys)
-    counted = fact.groupingSets([[F.col(name)] for name in columns], *[F.col(name) for name in columns]).agg(
+    sets = [[F.col(name)] for name in columns]
+    counted = fact.groupingSets(sets, *columns).agg(
         F.grouping_id().alias("grouped_by"), F.count(F.lit(1)).alias("row_count")
     )
     # grouping_id has one bit per column, the first column highest, and a 0 bit marks the grouped one.
-    full = 2 ** len(columns) - 1
-    which = {name: full - 2 ** (len(columns) - 1 - place) for place, name in enumerate(columns)}
-    foreign_key, value = F, F
-    for name in columns:
-        mine = F.col("grouped_by") == which[name]
-        foreign_key = foreign_key.when(mine, F.lit(name))
-        value = value.when(mine, F.col(name).cast("string"))
-    used = counted.select(foreign_key.alias("foreign_key"), value.alias("key_value"), "row_count")
-    used = used.filter(F.col("key_value").isNotNull())  # a missing key is the NOT NULL audit's finding
+    full, last = 2 ** len(columns) - 1, len(columns) - 1
+    cases = {name: f"WHEN {full - 2 ** (last - place)} THEN" for place, name in enumerate(columns)}
+    names = " ".join(f"{case} '{name}'" for name, case in cases.items())
+    values = " ".join(f"{case} CAST({name} AS STRING)" for name, case in cases.items())
+    used = counted.selectExpr(
+        f"CASE grouped_by {names} END AS foreign_key", f"CASE grouped_by {values} END AS key_value", "row_count"
+    ).filter("key_value IS NOT NULL")  # a missing key is the NOT NULL audit's finding
 
     known = [
-        dimensions[table].select(F.lit(name).alias("foreign_key"), F.col(key).cast("string").alias("key_value"))
+        dimensions[table].selectExpr(f"'{name}' AS foreign_key", f"CAST({key} AS STRING) AS key_value")
         for name, (table, key) in foreign_keys.items()
     ]
     return used.join(reduce(DataFrame.unionAll, known), ["foreign_key", "key_value"], "left_anti")
-
-
-def _text(key: Sequence[str]) -> Column:
-    return F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("NULL")) for name in key])

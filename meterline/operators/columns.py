@@ -44,8 +44,5 @@ def training_columns(df: DataFrame, *keep: str) -> DataFrame:
 
 def features_and_label(df: DataFrame, *keep: str) -> DataFrame:
     """`keep`, the seven features in model order, and the label, all as doubles."""
-    return df.select(
-        *keep,
-        *[F.col(name).cast("double").alias(name) for name in schema.FEATURES],
-        F.col(schema.LABEL).cast("double").alias("label"),
-    )
+    features = [f"CAST({name} AS DOUBLE) AS {name}" for name in schema.FEATURES]
+    return df.selectExpr(*keep, *features, f"CAST({schema.LABEL} AS DOUBLE) AS label")

@@ -9,8 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline import schema
-from meterline.functions import date_key, day_of_week, is_weekend, seconds_to_key, seconds_to_text
-from meterline.functions.temporal import split_seconds
+from meterline.functions import (
+    date_key,
+    day_of_week,
+    hour_of,
+    is_weekend,
+    minute_of,
+    second_of,
+    seconds_to_key,
+    seconds_to_text,
+)
 
 # The code lists.
 VENDORS = [
@@ -49,8 +57,8 @@ SECONDS_PER_DAY = 24 * 60 * 60
 def _inline(spark: SparkSession, rows: list[tuple], table: T.StructType) -> DataFrame:
     # An inline table: unlike a parallelised list, Spark knows its size and plans joins by it.
     values = ", ".join(f"({key!r}, {label!r})" for key, label in rows)
-    seed = spark.sql(f"SELECT * FROM VALUES {values} AS seed({', '.join(table.names)})")
-    return seed.select(*[F.col(field.name).cast(field.dataType) for field in table])
+    columns = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in table)
+    return spark.sql(f"SELECT {columns} FROM VALUES {values} AS seed({', '.join(table.names)})")
 
 
 def vendors(spark: SparkSession) -> DataFrame:
@@ -71,10 +79,8 @@ def store_and_fwd_flags(spark: SparkSession) -> DataFrame:
 
 def calendar(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
     """One row per day from `first` to `last`, both included."""
-    days = spark.range((last - first).days + 1).select(
-        F.date_add(F.lit(first), F.col("id").cast("int")).alias("full_date")
-    )
-    return _calendar_columns(days)
+    days = spark.range((last - first).days + 1)
+    return _calendar_columns(days.selectExpr(f"date_add(DATE'{first}', CAST(id AS INT)) AS full_date"))
 
 
 def year_calendar(spark: SparkSession, year: int, days_after: int = 1) -> DataFrame:
@@ -84,33 +90,30 @@ def year_calendar(spark: SparkSession, year: int, days_after: int = 1) -> DataFr
 
 def calendar_spanning(days: DataFrame, column: str) -> DataFrame:
     """One row per day from the earliest to the latest date in `column`."""
-    span = days.agg(F.min(column).alias("first"), F.max(column).alias("last"))
-    return _calendar_columns(span.select(F.explode(F.sequence("first", "last")).alias("full_date")))
+    span = days.selectExpr(f"min({column}) AS first", f"max({column}) AS last")
+    return _calendar_columns(span.selectExpr("explode(sequence(first, last)) AS full_date"))
 
 
 def _calendar_columns(days: DataFrame) -> DataFrame:
-    day = F.col("full_date")
-    return days.select(
-        date_key(day).alias("date_key"),
-        day,
-        F.year(day).cast("smallint").alias("year"),
-        F.month(day).cast("smallint").alias("month"),
-        F.day(day).cast("smallint").alias("day"),
-        day_of_week(day).cast("smallint").alias("day_of_week"),
-        is_weekend(day).alias("is_weekend"),
+    return days.selectExpr(
+        f"{date_key('full_date')} AS date_key",
+        "full_date",
+        "CAST(year(full_date) AS SMALLINT) AS year",
+        "CAST(month(full_date) AS SMALLINT) AS month",
+        "CAST(day(full_date) AS SMALLINT) AS day",
+        f"CAST({day_of_week('full_date')} AS SMALLINT) AS day_of_week",
+        f"{is_weekend('full_date')} AS is_weekend",
     )
 
 
 def day_seconds(spark: SparkSession) -> DataFrame:
     """One row per second of the day."""
-    second_of_day = F.col("id")
-    hour, minute, second = split_seconds(second_of_day)
-    return spark.range(SECONDS_PER_DAY).select(
-        seconds_to_key(second_of_day).alias("time_key"),
-        seconds_to_text(second_of_day).alias("full_time"),
-        hour.cast("smallint").alias("hour"),
-        minute.cast("smallint").alias("minute"),
-        second.cast("smallint").alias("second"),
+    return spark.range(SECONDS_PER_DAY).selectExpr(
+        f"{seconds_to_key('id')} AS time_key",
+        f"{seconds_to_text('id')} AS full_time",
+        f"CAST({hour_of('id')} AS SMALLINT) AS hour",
+        f"CAST({minute_of('id')} AS SMALLINT) AS minute",
+        f"CAST({second_of('id')} AS SMALLINT) AS second",
     )
 
 
@@ -134,5 +137,4 @@ def usage(dimension: DataFrame, key: str, rows: DataFrame, column: str, into: st
     """
     counted = rows.groupBy(F.col(column).alias(key)).agg(F.count(F.lit(1)).alias(into))
     joined = dimension.join(counted, key, "left")
-    return joined.withColumn(into, F.coalesce(into, F.lit(0)))
-
+    return joined.withColumn(into, F.expr(f"coalesce({into}, 0L)"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from meterline import schema
 from meterline.functions import date_key, flag_letter, narrow, time_key, to_amount
@@ -16,25 +15,24 @@ def conform(df: DataFrame, *keep: str) -> DataFrame:
 
     Does not filter: values that do not fit become NULL, so put `accept` before it.
     """
-    pickup, dropoff = F.col(schema.PICKUP), F.col(schema.DROPOFF)
-    pickup, dropoff = pickup.cast("timestamp_ntz"), dropoff.cast("timestamp_ntz")
-    return df.select(
+    pickup, dropoff = f"CAST({schema.PICKUP} AS TIMESTAMP_NTZ)", f"CAST({schema.DROPOFF} AS TIMESTAMP_NTZ)"
+    return df.selectExpr(
         *keep,
-        narrow(F.col("VendorID"), "smallint").alias("vendor_id"),
-        narrow(F.col("RatecodeID"), "smallint").alias("ratecode_id"),
-        narrow(F.col("payment_type"), "smallint").alias("payment_type_id"),
-        flag_letter(F.col("store_and_fwd_flag")).alias("store_and_fwd_flag"),
-        narrow(F.col("PULocationID"), "int").alias("pu_location_id"),
-        narrow(F.col("DOLocationID"), "int").alias("do_location_id"),
-        date_key(pickup).alias("pu_date_key"),
-        date_key(dropoff).alias("do_date_key"),
-        time_key(pickup).alias("pu_time_key"),
-        time_key(dropoff).alias("do_time_key"),
-        pickup.alias("pickup_datetime"),
-        dropoff.alias("dropoff_datetime"),
-        narrow(F.coalesce("passenger_count", F.lit(0)), "smallint").alias("passenger_count"),
-        to_amount(F.col("trip_distance"), schema.DISTANCE).alias("trip_distance"),
-        *[to_amount(F.col(name), schema.MONEY).alias(name) for name in schema.MONEY_COLUMNS],
+        f"{narrow('VendorID', 'smallint')} AS vendor_id",
+        f"{narrow('RatecodeID', 'smallint')} AS ratecode_id",
+        f"{narrow('payment_type', 'smallint')} AS payment_type_id",
+        f"{flag_letter('store_and_fwd_flag')} AS store_and_fwd_flag",
+        f"{narrow('PULocationID', 'int')} AS pu_location_id",
+        f"{narrow('DOLocationID', 'int')} AS do_location_id",
+        f"{date_key(pickup)} AS pu_date_key",
+        f"{date_key(dropoff)} AS do_date_key",
+        f"{time_key(pickup)} AS pu_time_key",
+        f"{time_key(dropoff)} AS do_time_key",
+        f"{pickup} AS pickup_datetime",
+        f"{dropoff} AS dropoff_datetime",
+        f"{narrow('coalesce(passenger_count, 0)', 'smallint')} AS passenger_count",
+        f"{to_amount('trip_distance', schema.DISTANCE)} AS trip_distance",
+        *[f"{to_amount(name, schema.MONEY)} AS {name}" for name in schema.MONEY_COLUMNS],
     )
 
 

@@ -63,7 +63,7 @@ def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED, memory_mb:
 
 def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
     """`keep` and the predicted label for any frame with the seven features, numbers of any type."""
-    inputs = df.select(*keep, *[F.col(name).cast("double").alias(name) for name in schema.FEATURES])
+    inputs = df.selectExpr(*keep, *[f"CAST({name} AS DOUBLE) AS {name}" for name in schema.FEATURES])
     return model.transform(inputs).select(*keep, "prediction")
 
 

@@ -29,7 +29,7 @@ def star_view(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame
     for role in ("pu", "do"):
         for table, key in (("dim_zone", "location_id"), ("dim_date", "date_key"), ("dim_time", "time_key")):
             dimension = _small(dimensions, table)
-            played = dimension.select(*[F.col(name).alias(f"{role}_{name}") for name in dimension.columns])
+            played = dimension.toDF(*[f"{role}_{name}" for name in dimension.columns])
             view = view.join(played, f"{role}_{key}", "left")
     return view
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,25 +48,42 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def flat(df: DataFrame, *nullable: str) -> DataFrame:
-    def shown(field: T.StructField) -> Column:
-        column, kind = F.col(field.name), field.dataType
-        if field.name in nullable or isinstance(kind, (T.DecimalType, T.FloatType)):
-            return column.cast("double").alias(field.name)
+    def shown(field: T.StructField) -> str:
+        name, kind = field.name, field.dataType
+        if name in nullable or isinstance(kind, (T.DecimalType, T.FloatType)):
+            return f"CAST({name} AS DOUBLE) AS {name}"
         if isinstance(kind, T.IntegralType):
-            return column.cast("bigint").alias(field.name)
+            return f"CAST({name} AS BIGINT) AS {name}"
         if isinstance(kind, (T.DateType, T.TimestampNTZType)):
-            return column.cast("string").alias(field.name)
-        return column
+            return f"CAST({name} AS STRING) AS {name}"
+        return name
 
-    return df.select(*[shown(field) for field in df.schema])
+    return df.selectExpr(*map(shown, df.schema))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return trip_files.read_file(spark, f"{sf_dir}/{name}.parquet")
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The folder that `write` fills, written once per application: inputs the queries share."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED or not trip_files.exists(spark, _STORED[key]):
+        _STORED[key] = scratch_path(spark, name)
+        write(_STORED[key])
+    return _STORED[key]
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_events(table(spark, sf_dir, "events"))
+    """The trips derived from the events, as the raw Parquet files that trips come in."""
+
+    def write(path: str) -> None:
+        trips_from_events(table(spark, sf_dir, "events")).write.parquet(path)
+
+    return trip_files.read_file(spark, stored(spark, sf_dir, "raw_trips", write))
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,10 +96,12 @@ def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zone dimension, through its CSV file."""
-    path = scratch_path(spark, "zones")
-    places = zones_from_places(spark, table(spark, sf_dir, "region"), table(spark, sf_dir, "nation"))
-    snapshots.write_csv(places, path)
-    return read_zones(spark, path)
+
+    def write(path: str) -> None:
+        region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
+        snapshots.write_csv(zones_from_places(spark, region, nation), path)
+
+    return read_zones(spark, stored(spark, sf_dir, "zones", write))
 
 
 def all_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -196,7 +215,7 @@ def dim_store_and_fwd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pickup_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = raw_trips(spark, sf_dir).select(F.col(schema.PICKUP).cast("date").alias("day"))
+    days = raw_trips(spark, sf_dir).selectExpr(f"CAST({schema.PICKUP} AS DATE) AS day")
     return dimensions.calendar_spanning(days, "day")
 
 
@@ -281,12 +300,10 @@ def flag_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def safe_narrowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small = narrow(F.col("l_orderkey"), "smallint")
+    small = narrow("l_orderkey", "smallint")
     lines = table(spark, sf_dir, "lineitem")
-    return flat(
-        lines.select("l_orderkey", "l_linenumber", small.alias("narrowed"), small.isNotNull().alias("fits")),
-        "narrowed",
-    )
+    shown = lines.selectExpr("l_orderkey", "l_linenumber", f"{small} AS narrowed", f"{small} IS NOT NULL AS fits")
+    return flat(shown, "narrowed")
 
 
 @query
@@ -296,9 +313,8 @@ def money_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hhmmss_to_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = time_key(F.col("ts"))
-    events = table(spark, sf_dir, "events")
-    return flat(events.select("event_id", packed.alias("packed"), hhmmss_seconds(packed).alias("seconds")))
+    packed = table(spark, sf_dir, "events").selectExpr("event_id", f"{time_key('ts')} AS packed")
+    return flat(packed.selectExpr("event_id", "packed", f"{hhmmss_seconds('packed')} AS seconds"))
 
 
 # ---- keys and audits

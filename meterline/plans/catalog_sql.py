@@ -63,12 +63,13 @@ RULES = [
     *[(f"{c}_not_negative", f"coalesce({c}, 0) >= 0") for c in MEASURES],
     *[
         (f"{c}_fits", f"{c} IS NULL OR TRY_CAST({c} AS SMALLINT) IS NOT NULL")
-        for c in ("VendorID", "RatecodeID", "payment_type", "passenger_count")
+        for c in ("VendorID", "RatecodeID", "payment_type")
     ],
     *[
         (f"{c}_fits", f"{c} IS NULL OR TRY_CAST({c} AS INTEGER) IS NOT NULL")
         for c in ("PULocationID", "DOLocationID")
     ],
+    ("passenger_count_fits", "passenger_count IS NULL OR TRY_CAST(passenger_count AS SMALLINT) IS NOT NULL"),
     ("trip_distance_fits", "trip_distance IS NULL OR TRY_CAST(trip_distance AS DECIMAL(10,3)) IS NOT NULL"),
     *[(f"{c}_fits", f"{c} IS NULL OR TRY_CAST({c} AS DECIMAL(10,2)) IS NOT NULL") for c in MONEY],
 ]

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline import schema
 from meterline.operators.columns import complete_raw
@@ -25,12 +26,12 @@ def expected_types(df: DataFrame) -> DataFrame:
     for name, kind in schema.RAW_COLUMNS:
         mine = held.get(name.lower())
         if mine is None:
-            columns.append(F.lit(None).cast(kind).alias(name))
-        elif mine.dataType.typeName() in ("double", "float") and kind.typeName() in ("long", "integer"):
-            columns.append(F.col(mine.name).cast("double").alias(name))
+            columns.append(f"CAST(NULL AS {kind.simpleString()}) AS {name}")
+        elif isinstance(mine.dataType, T.FractionalType) and isinstance(kind, T.IntegralType):
+            columns.append(f"CAST(`{mine.name}` AS DOUBLE) AS {name}")
         else:
-            columns.append(F.col(mine.name).cast(kind).alias(name))
-    return df.select(*columns)
+            columns.append(f"CAST(`{mine.name}` AS {kind.simpleString()}) AS {name}")
+    return df.selectExpr(*columns)
 
 
 def land_file(spark: SparkSession, path: str, root: str, repeatable: bool = True) -> tuple[str, str]:

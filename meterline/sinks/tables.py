@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline import schema
@@ -14,7 +13,7 @@ from meterline.operators.upsert import new_rows
 
 def typed(df: DataFrame, table: T.StructType) -> DataFrame:
     """`df` with the columns, order and types of `table`."""
-    return df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in table])
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in table])
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -74,7 +74,7 @@ def read_months(
         return _read_as(spark, root, layout, folders, layout)
     groups: dict[T.StructType, list[str]] = {}
     # A year has few folders; asking for their layouts side by side hides the wait for each.
-    with ThreadPoolExecutor(max_workers=len(folders)) as side_by_side:
+    with ThreadPoolExecutor(max_workers=min(len(folders), 12)) as side_by_side:
         for layouts in side_by_side.map(lambda folder: _layouts(spark, root, [folder]), folders):
             for found, paths in layouts:
                 groups.setdefault(found, []).extend(paths)
@@ -124,6 +124,11 @@ def _month_folders(spark: SparkSession, root: str, year: int, months: Iterable[i
     return found
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a write into `folder` was finished."""
+    return bool(_matches(spark, f"{folder}/_SUCCESS"))
+
+
 def _matches(spark: SparkSession, pattern: str) -> list[str]:
     # Folder names only; listing their files is left to the read.
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
@@ -162,12 +167,11 @@ def _read_as(
     held = {field.name.lower(): field for field in layout}
     columns = []
     for field in common:
-        mine = held.get(field.name.lower())
+        mine, kind = held.get(field.name.lower()), field.dataType.simpleString()
         if mine is None:
-            column = F.lit(None).cast(field.dataType)
+            columns.append(f"CAST(NULL AS {kind}) AS `{field.name}`")
         elif mine.dataType == field.dataType:
-            column = F.col(mine.name)
+            columns.append(f"`{mine.name}` AS `{field.name}`")
         else:
-            column = F.col(mine.name).cast(field.dataType)
-        columns.append(column.alias(field.name))
-    return df.select(*columns, "year", "month")
+            columns.append(f"CAST(`{mine.name}` AS {kind}) AS `{field.name}`")
+    return df.selectExpr(*columns, "year", "month")

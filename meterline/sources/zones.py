@@ -21,5 +21,7 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
         sep=",",
         quote='"',
         escape='"',
+        # Not the default "", which would make quoted empty text missing as well.
+        nullValue="\0",
         mode="FAILFAST",
     )
