@@ -38,6 +38,13 @@ def labelled(df: DataFrame) -> DataFrame:
     return df.filter(F.col("label").isNotNull() & ~F.isnan("label"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over at least one partition per core. Fitting passes over its rows dozens of times,
+    so a few small files, each a partition, would leave most cores idle throughout."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED, memory_mb: int = 512) -> Pipeline:
     """Fill gaps with the median, assemble, and fit a forest that tries every feature at each split."""
     filled = [f"{name}_filled" for name in schema.FEATURES]

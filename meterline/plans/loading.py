@@ -9,6 +9,7 @@ from meterline.operators.dimensions import seed_dimensions
 from meterline.operators.fact import fact_rows
 from meterline.operators.numbering import next_id, sparse_ids
 from meterline.operators.rules import reject, trip_rules
+from meterline.sinks.jdbc import append_jdbc
 from meterline.sinks.tables import append_table, insert_missing, read_table
 from meterline.sources.trips import read_year
 
@@ -31,6 +32,14 @@ def load_facts(spark: SparkSession, landed: str, root: str, year: int, folder_ye
     append_table(sparse_ids(facts, start=start), root, "fact_trip")
 
 
+def export_facts(spark: SparkSession, landed: str, year: int, **connection) -> None:
+    """Append the accepted trips of `year` to a database table, which numbers them itself.
+
+    `connection` is what `sinks.jdbc.jdbc_writer` takes.
+    """
+    append_jdbc(fact_rows(read_year(spark, landed, year), year), **connection)
+
+
 def rejected_trips(spark: SparkSession, landed: str, year: int) -> DataFrame:
     """The trips `load_facts` turns away, each with its first failing rule."""
     return reject(complete_raw(read_year(spark, landed, year)), trip_rules(year))

@@ -9,7 +9,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline import schema
 from meterline.operators import forest
 from meterline.operators.columns import features_and_label, training_columns
 from meterline.operators.rules import model_input_rules, tag
@@ -42,7 +41,7 @@ def train(frame: DataFrame, key: str, model_path: str, trees: int = forest.TREES
     """
     rows = forest.labelled(features_and_label(frame, key))
     learn, test = forest.split(rows, key)
-    model = forest.forest(trees, depth).fit(learn)
+    model = forest.forest(trees, depth).fit(forest.spread(learn))
     error = forest.evaluate(model, test)
     return Trained(model, error, forest.save_if_good(model, error, model_path))
 
@@ -53,6 +52,8 @@ def score_table(model_path: str, df: DataFrame, *keep: str) -> DataFrame:
     return forest.score(forest.load(model_path), judged, *keep, "input_problem")
 
 
-def with_row_key(snapshot_rows: DataFrame, into: str = "row_key") -> DataFrame:
-    """A split key for rows that have none: their values. Equal rows fall on the same side."""
-    return snapshot_rows.withColumn(into, F.xxhash64(*schema.FEATURES, schema.LABEL))
+def read_snapshot(spark: SparkSession, out: str) -> DataFrame:
+    """The Parquet snapshot with a `row_key` to split by: trips have no key, but each row has
+    its place in its file. Copies of a trip fall on either side, as single rows do."""
+    rows = spark.read.parquet(f"{out}/clean_data.parquet")
+    return rows.select("*", F.xxhash64("_metadata.file_name", "_metadata.row_index").alias("row_key"))
