@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import os
 
+from meterline import schema
 from meterline.plans import landing, loading, training
 from meterline.session import build_session
 from meterline.sinks.tables import recreate_tables
@@ -22,6 +23,7 @@ def arguments() -> argparse.Namespace:
     land = runs.add_parser("land", help="put raw files under year=/month=")
     land.add_argument("files", nargs="+")
     land.add_argument("--root", required=True)
+    land.add_argument("--one-layout", action="store_true", help="give every month the same columns and types")
     land.add_argument("--append", action="store_true", help="add to the month instead of replacing it")
 
     seed = runs.add_parser("seed", help="fill the dimensions")
@@ -34,6 +36,7 @@ def arguments() -> argparse.Namespace:
     load.add_argument("--root", required=True)
     load.add_argument("--warehouse", required=True)
     load.add_argument("--year", type=int, default=year)
+    load.add_argument("--one-layout", action="store_true", help="the months were landed with --one-layout")
 
     export = runs.add_parser("export", help="append accepted trips to a database table")
     export.add_argument("--root", required=True)
@@ -63,13 +66,14 @@ def main() -> None:
     spark = build_session(f"meterline {given.run}")
     if given.run == "land":
         for path in given.files:
-            landing.land_file(spark, path, given.root, repeatable=not given.append)
+            landing.land_file(spark, path, given.root, not given.append, given.one_layout)
     elif given.run == "seed":
         if given.recreate:
             recreate_tables(spark, given.warehouse)
         loading.load_dimensions(spark, given.warehouse, read_zones(spark, given.zones), given.year)
     elif given.run == "load":
-        loading.load_facts(spark, given.root, given.warehouse, given.year)
+        layout = schema.LANDED_TRIP if given.one_layout else None
+        loading.load_facts(spark, given.root, given.warehouse, given.year, layout=layout)
     elif given.run == "export":
         connection = {"url": given.url, "table": given.table, "user": given.user}
         connection["password"] = os.environ.get("JDBC_PASSWORD", "")

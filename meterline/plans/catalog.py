@@ -27,7 +27,7 @@ from meterline.operators import (
     star,
     upsert,
 )
-from meterline.plans import loading, training
+from meterline.plans import landing, loading, training
 from meterline.session import scratch_path
 from meterline.sinks import jdbc, months, snapshots, tables
 from meterline.sources import trips as trip_files
@@ -151,7 +151,8 @@ def landed(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = trip_files.read_year(spark, landed(spark, sf_dir), 2024)
+    root = landed(spark, sf_dir)
+    rows = trip_files.read_year(spark, root, 2023).unionByName(trip_files.read_year(spark, root, 2024))
     return flat(rows.select("event_id", "year", "month", "trip_distance", "fare_amount"))
 
 
@@ -171,10 +172,11 @@ def mixed_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     months.append_month(trips.filter(kind == 2).drop("cbd_congestion_fee"), root)
     fractions = trips.filter(kind == 3).withColumn("passenger_count", F.col("passenger_count").cast("double"))
     months.append_month(fractions, root)
-    rows = columns.complete_raw(trip_files.read_year(spark, root, 2024))
+    years = [columns.complete_raw(trip_files.read_year(spark, root, year)) for year in (2023, 2024)]
+    rows = years[0].unionByName(years[1])
     amount = {name: F.coalesce(name, F.lit(0.0)).cast(schema.MONEY) for name in schema.OPTIONAL_RAW_COLUMNS}
     return flat(
-        rows.groupBy("month").agg(
+        rows.groupBy("year", "month").agg(
             F.count(F.lit(1)).alias("trips"),
             F.sum(F.col("passenger_count").cast("double")).alias("passengers"),
             F.sum(amount["airport_fee"]).alias("airport_fees"),
@@ -459,9 +461,9 @@ def recreate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zones named after their first trip; the even ones are held already."""
-    held = zones(spark, sf_dir).filter(F.col("location_id") % 2 == 0)
-    held = held.select(F.col("location_id").cast("bigint").alias("location_id"), F.lit("held").alias("label"))
+    """Zones named after their first trip; those of one borough are held already, under its name."""
+    held = zones(spark, sf_dir).filter("borough = 'ASIA'")
+    held = held.selectExpr("CAST(location_id AS BIGINT) AS location_id", "borough AS label")
     trips = raw_trips(spark, sf_dir).filter(F.col("DOLocationID").isNotNull())
     batch = trips.select(
         F.col("DOLocationID").cast("bigint").alias("location_id"),
@@ -496,7 +498,9 @@ def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def arrivals_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files loaded as they arrive; the second run finds nothing new."""
-    source, work = landed(spark, sf_dir), scratch_path(spark, "arrivals")
+    source, work = scratch_path(spark, "landed"), scratch_path(spark, "arrivals")
+    trips = landing.uniform(monthly(raw_trips(spark, sf_dir)), "year", "month")
+    months.append_month(trips, source)
     for _ in range(2):
         loading_run = arrivals.load_arrivals(
             arrivals.arriving_trips(spark, source), f"{work}/fact", f"{work}/checkpoint", YEAR

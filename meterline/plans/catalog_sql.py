@@ -263,15 +263,15 @@ SQL = {
     + """SELECT event_id, "year", "month", "month" BETWEEN '01' AND '12' AS period_valid FROM periods""",
     "partitioned_scan": with_(TRIPS, _MONTH_TRIPS)
     + f"""SELECT event_id, "year", "month", {as_double("trip_distance", "fare_amount")}
-FROM monthly WHERE "year" = 2024""",
+FROM monthly""",
     "month_list_scan": with_(TRIPS, _MONTH_TRIPS)
     + f"""SELECT event_id, "year", "month", {as_double("trip_distance", "fare_amount")}
 FROM monthly WHERE "year" = 2024 AND "month" IN (1, 3, 11)""",
     "mixed_schema_scan": with_(TRIPS, _MONTH_TRIPS)
-    + """SELECT "month", count(*) AS trips, CAST(sum(passenger_count) AS DOUBLE) AS passengers,
+    + """SELECT "year", "month", count(*) AS trips, CAST(sum(passenger_count) AS DOUBLE) AS passengers,
   sum(CAST(airport_fee AS DECIMAL(10,2)))::DOUBLE AS airport_fees,
   sum(CASE WHEN "month" % 4 = 2 THEN 0 ELSE 0.75 END)::DOUBLE AS cbd_fees
-FROM monthly WHERE "year" = 2024 GROUP BY "month" """,
+FROM monthly GROUP BY "year", "month" """,
     "zone_scan": with_(TRIPS, ZONES)
     + usage("zones", "location_id, borough, zone_name, service_zone", "location_id", "PULocationID"),
     # dimensions
@@ -441,13 +441,11 @@ FROM monthly GROUP BY "year", "month" """,
   AS BIGINT) AS rows_after FROM sizes""",
     "recreate_tables": with_(TRIPS, FACT, f"sizes AS ({_TABLE_ROWS})")
     + "SELECT table_name, CAST(n AS BIGINT) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM sizes",
-    "insert_or_ignore": with_(TRIPS)
-    + """SELECT location_id, label FROM (
-  SELECT CAST(id AS BIGINT) AS location_id, 'held' AS label FROM range(2, 266, 2) AS ids(id)
-  UNION ALL
-  SELECT CAST(DOLocationID AS BIGINT), 'trip ' || min(event_id) FROM trips
-  WHERE DOLocationID IS NOT NULL AND DOLocationID % 2 = 1 GROUP BY 1
-)""",
+    "insert_or_ignore": with_(TRIPS, ZONES)
+    + """SELECT CAST(location_id AS BIGINT) AS location_id, borough AS label FROM zones WHERE borough = 'ASIA'
+UNION ALL
+SELECT CAST(DOLocationID AS BIGINT), 'trip ' || min(event_id) FROM trips
+WHERE DOLocationID NOT IN (SELECT location_id FROM zones WHERE borough = 'ASIA') GROUP BY 1""",
     "warehouse_load": with_(TRIPS, FACT)
     + """SELECT CAST(pu_date_key AS BIGINT) AS pu_date_key, count(*) AS trips, count(*) AS identities,
   CAST(sum(total_amount) AS DOUBLE) AS revenue FROM fact GROUP BY 1""",

@@ -6,43 +6,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from meterline import schema
-from meterline.operators.columns import complete_raw
 from meterline.sinks.months import append_month, replace_month
 from meterline.sources.trips import period_of, read_file, with_file_period
 
 
-def expected_types(df: DataFrame) -> DataFrame:
-    """Raw trips with the expected names and order, and each column's expected type.
+def uniform(df: DataFrame, *keep: str) -> DataFrame:
+    """`keep` and the raw columns under the one landed layout, whatever this month's file has.
 
-    Counts and codes that arrive as fractions stay fractions (the accept rules judge them
-    as they came), so no value is changed here.
+    A number that its column's type cannot hold becomes NULL, and the accept rules find it.
     """
-    df = complete_raw(df)
-    held = {field.name.lower(): field for field in df.schema}
-    columns = []
-    for name, kind in schema.RAW_COLUMNS:
-        mine = held.get(name.lower())
+    held = {name.lower(): name for name in df.columns}
+    columns = list(keep)
+    for field in schema.LANDED_TRIP:
+        mine = held.get(field.name.lower())
         if mine is None:
-            columns.append(f"CAST(NULL AS {kind.simpleString()}) AS {name}")
-        elif isinstance(mine.dataType, T.FractionalType) and isinstance(kind, T.IntegralType):
-            columns.append(f"CAST(`{mine.name}` AS DOUBLE) AS {name}")
+            default = schema.OPTIONAL_RAW_COLUMNS.get(field.name, "NULL")
+            columns.append(f"CAST({default} AS {field.dataType.simpleString()}) AS {field.name}")
         else:
-            columns.append(f"CAST(`{mine.name}` AS {kind.simpleString()}) AS {name}")
+            columns.append(f"TRY_CAST(`{mine}` AS {field.dataType.simpleString()}) AS {field.name}")
     return df.selectExpr(*columns)
 
 
-def land_file(spark: SparkSession, path: str, root: str, repeatable: bool = True) -> tuple[str, str]:
-    """Put one raw file into the month its name states, as it is, and return that month.
+def land_file(
+    spark: SparkSession, path: str, root: str, repeatable: bool = True, one_layout: bool = False
+) -> tuple[str, str]:
+    """Put one raw file into the month its name states, and return that month.
 
     `repeatable` replaces what the month holds, so that a rerun does not double it; without
-    it the rows are appended, which a month that arrives in several files needs.
+    it the rows are appended, which a month that arrives in several files needs. The file
+    is landed as it is, or with `one_layout` as `uniform` makes it: a tree of such files is
+    read with `layout=schema.LANDED_TRIP`, with no look at its files beforehand.
     """
     period = period_of(path)
+    rows = read_file(spark, path)
     write = replace_month if repeatable else append_month
-    write(read_file(spark, path), root, period)
+    write(uniform(rows) if one_layout else rows, root, period)
     return period
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from meterline.operators.columns import complete_raw
 from meterline.operators.dimensions import seed_dimensions
@@ -11,7 +12,7 @@ from meterline.operators.numbering import next_id, sparse_ids
 from meterline.operators.rules import reject, trip_rules
 from meterline.sinks.jdbc import append_jdbc
 from meterline.sinks.tables import append_table, insert_missing, read_table
-from meterline.sources.trips import read_year
+from meterline.sources.trips import read_months, read_year
 
 
 def load_dimensions(spark: SparkSession, root: str, zones: DataFrame, year: int) -> None:
@@ -20,14 +21,21 @@ def load_dimensions(spark: SparkSession, root: str, zones: DataFrame, year: int)
         insert_missing(spark, root, name, rows)
 
 
-def load_facts(spark: SparkSession, landed: str, root: str, year: int, folder_year: int | None = None) -> None:
+def load_facts(
+    spark: SparkSession,
+    landed: str,
+    root: str,
+    year: int,
+    folder_year: int | None = None,
+    layout: T.StructType | None = None,
+) -> None:
     """Append the accepted trips of `year` to fact_trip, with identities that go on from its last.
 
     They are read from that year's folders, or from those of `folder_year`, as a file may
-    hold trips of another year. Nothing is shuffled or written twice: trips are judged, numbered and written where
+    hold trips of another year; `layout` as for `read_months`. Nothing is shuffled or written twice: trips are judged, numbered and written where
     they are read.
     """
-    facts = fact_rows(read_year(spark, landed, folder_year or year), year)
+    facts = fact_rows(read_months(spark, landed, folder_year or year, layout=layout), year)
     start = next_id(read_table(spark, root, "fact_trip"))
     append_table(sparse_ids(facts, start=start), root, "fact_trip")
 

@@ -29,8 +29,8 @@ class Trained(NamedTuple):
 def snapshot(spark: SparkSession, landed: str, out: str, year: int = YEAR, months: Iterable[int] = MONTHS) -> None:
     """Write the training columns of the chosen months as Parquet and CSV."""
     columns = training_columns(read_months(spark, landed, year, months))
-    write_parquet(columns, f"{out}/clean_data.parquet")
-    write_csv(spark.read.parquet(f"{out}/clean_data.parquet"), f"{out}/clean_data.csv")
+    write_parquet(columns, f"{out}/training.parquet")
+    write_csv(spark.read.parquet(f"{out}/training.parquet"), f"{out}/training.csv")
 
 
 def train(frame: DataFrame, key: str, model_path: str, trees: int = forest.TREES, depth: int = forest.DEPTH) -> Trained:
@@ -55,5 +55,5 @@ def score_table(model_path: str, df: DataFrame, *keep: str) -> DataFrame:
 def read_snapshot(spark: SparkSession, out: str) -> DataFrame:
     """The Parquet snapshot with a `row_key` to split by: trips have no key, but each row has
     its place in its file. Copies of a trip fall on either side, as single rows do."""
-    rows = spark.read.parquet(f"{out}/clean_data.parquet")
+    rows = spark.read.parquet(f"{out}/training.parquet")
     return rows.select("*", F.xxhash64("_metadata.file_name", "_metadata.row_index").alias("row_key"))

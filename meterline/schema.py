@@ -29,6 +29,15 @@ RAW_COLUMNS = [
 ]
 RAW_TRIP = T.StructType([T.StructField(name, kind, True) for name, kind in RAW_COLUMNS])
 
+# The raw record as landed under one layout: the two numbers that some months store as whole
+# and others as fractions are fractions in all of them.
+LANDED_TRIP = T.StructType(
+    [
+        T.StructField(name, T.DoubleType() if name in ("passenger_count", "RatecodeID") else kind, True)
+        for name, kind in RAW_COLUMNS
+    ]
+)
+
 # Columns that whole months of raw files may lack, with the value they then take.
 OPTIONAL_RAW_COLUMNS = {"airport_fee": 0.0, "cbd_congestion_fee": 0.0}
 

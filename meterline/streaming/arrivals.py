@@ -10,9 +10,9 @@ from meterline.operators.fact import fact_rows
 
 
 def arriving_trips(spark: SparkSession, landed: str, files_per_batch: int = 1000) -> DataFrame:
-    """Raw trips of files under `landed` as they appear."""
+    """Raw trips of files under `landed` as they appear; they are landed under the one layout."""
     return (
-        spark.readStream.schema(schema.RAW_TRIP)
+        spark.readStream.schema(schema.LANDED_TRIP)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", "true")
         .parquet(landed)

@@ -64,7 +64,7 @@ def test_snapshot_is_read_back_with_a_key_per_row(spark, raw, tmp_path):
     rows = training.read_snapshot(spark, out)
     assert rows.columns == [*schema.FEATURES, schema.LABEL, "row_key"]
     assert rows.count() == rows.select("row_key").distinct().count() == 50  # copies, each with its own key
-    csv = spark.read.csv(f"{out}/clean_data.csv", header=True, inferSchema=True)
+    csv = spark.read.csv(f"{out}/training.csv", header=True, inferSchema=True)
     assert csv.columns == [*schema.FEATURES, schema.LABEL] and csv.count() == 50
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 from meterline import schema
 from meterline.operators.fact import fact_rows
-from meterline.plans.landing import expected_types, land_file, land_files
+from meterline.plans.landing import land_file, land_files, uniform
 from meterline.sinks.months import append_month, replace_month
 from meterline.sources.trips import period_columns, period_of, read_months, read_year, widest
 from meterline.sources.zones import read_zones
@@ -125,12 +125,19 @@ def test_types_that_cannot_be_brought_together():
         widest([one, other])
 
 
-def test_expected_types(spark, raw):
+def test_one_layout(spark, raw, tmp_path):
     df = raw({}).withColumnRenamed("airport_fee", "Airport_fee").withColumn("passenger_count", F.lit(1.5))
-    typed = expected_types(df.drop("cbd_congestion_fee", "mta_tax"))
-    assert typed.columns == schema.RAW_TRIP.names
+    typed = uniform(df.drop("cbd_congestion_fee", "mta_tax").withColumn("VendorID", F.expr("double('NaN')")))
+    assert [(f.name, f.dataType) for f in typed.schema] == [(f.name, f.dataType) for f in schema.LANDED_TRIP]
     row = typed.first()
-    assert (row["passenger_count"], row["cbd_congestion_fee"], row["mta_tax"]) == (1.5, 0.0, None)
+    assert (row["passenger_count"], row["cbd_congestion_fee"], row["mta_tax"], row["VendorID"]) == (1.5, 0, None, None)
+
+    root = str(tmp_path / "landed")
+    for month, trips in (("01", raw({})), ("02", df.drop("cbd_congestion_fee"))):
+        trips.write.parquet(str(tmp_path / f"a_2024-{month}.parquet"))
+        land_file(spark, str(tmp_path / f"a_2024-{month}.parquet"), root, one_layout=True)
+    rows = read_months(spark, root, 2024, layout=schema.LANDED_TRIP).orderBy("month").collect()
+    assert [(r["month"], r["passenger_count"], r["cbd_congestion_fee"]) for r in rows] == [(1, 1.0, 0.75), (2, 1.5, 0.0)]
 
 
 def test_zones(spark, tmp_path):
