@@ -18,6 +18,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM does not compile longer methods. Stages that would need one fall back to shorter
+    # ones per operator instead of running uncompiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Without the Python line of every column in error messages, plans are built faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 

@@ -45,9 +45,9 @@ def test_rules_reach_the_scan_and_nothing_is_shuffled(spark, landed):
 
 def test_the_whole_judgement_is_one_compiled_stage_small_enough_for_the_jit(spark, landed):
     df = fact.fact_rows(read_year(spark, landed, 2024), 2024)
-    tagged = rules.tag(columns.complete_raw(read_year(spark, landed, 2024)), rules.trip_rules(2024))
+    trips, table = columns.complete_raw(read_year(spark, landed, 2024)), rules.trip_rules(2024)
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
-    for judged in (df, tagged):
+    for judged in (df, rules.tag(trips, table), rules.reject(trips, table)):
         sizes = re.findall(r"maxMethodCodeSize:(\d+)", judged._jdf.queryExecution().explainString(mode))
         # The JVM does not compile methods beyond 8000 bytes.
         assert len(sizes) == 1 and int(sizes[0]) < 8000
@@ -70,8 +70,8 @@ def test_counts_read_rows_once_and_shuffle_only_counts(spark, name):
 def test_orphans_read_the_facts_once_without_sending_dimensions_to_them(spark):
     text = plan(QUERIES["fk_audit"](spark, SF_DIR))
     assert text.count("FileScan parquet") == 1
-    expand = text.index("Expand")
-    assert "Join" not in text[expand:] and "partial_count" in text
+    counted = text.index("partial_count")
+    assert text.index("Join") < counted and "Join" not in text[counted:]
 
 
 def test_star_joins_without_shuffling_the_facts(spark):
