@@ -45,8 +45,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED, memory_mb: int = 512) -> Pipeline:
-    """Fill gaps with the median, assemble, and fit a forest that tries every feature at each split."""
+def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED, memory_mb: int = 256) -> Pipeline:
+    """Fill gaps with the median, assemble, and fit a forest that tries every feature at each split.
+
+    Each running task may hold `memory_mb` of split statistics, about 50 KB per tree node. A
+    level of the trees with more nodes than that takes several passes over the rows.
+    """
     filled = [f"{name}_filled" for name in schema.FEATURES]
     return Pipeline(
         stages=[
@@ -61,7 +65,6 @@ def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED, memory_mb:
                 maxBins=BINS,
                 featureSubsetStrategy="all",
                 minInstancesPerNode=1,
-                # Split statistics a task may hold, about 50 KB per node; more means fewer passes.
                 maxMemoryInMB=memory_mb,
             ),
         ]

@@ -37,9 +37,11 @@ from meterline.streaming import arrivals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# A smaller forest than the model's own settings, which are `training.train`'s defaults.
+# A smaller forest than the model's own settings, which are `training.train`'s defaults, that
+# fits a session with little memory.
 QUERY_TREES = 10
 QUERY_DEPTH = 10
+QUERY_MEMORY_MB = 32
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -553,7 +555,7 @@ def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.Trained, str]:
     frame, path = training_frame(spark, sf_dir), scratch_path(spark, "model")
-    return frame, training.train(frame, "event_id", path, QUERY_TREES, QUERY_DEPTH), path
+    return frame, training.train(frame, "event_id", path, QUERY_TREES, QUERY_DEPTH, QUERY_MEMORY_MB), path
 
 
 @query

@@ -33,7 +33,14 @@ def snapshot(spark: SparkSession, landed: str, out: str, year: int = YEAR, month
     write_csv(spark.read.parquet(f"{out}/training.parquet"), f"{out}/training.csv")
 
 
-def train(frame: DataFrame, key: str, model_path: str, trees: int = forest.TREES, depth: int = forest.DEPTH) -> Trained:
+def train(
+    frame: DataFrame,
+    key: str,
+    model_path: str,
+    trees: int = forest.TREES,
+    depth: int = forest.DEPTH,
+    memory_mb: int = 256,
+) -> Trained:
     """Fit on four fifths of `frame`, measure on the rest, save if good enough.
 
     `frame` has the features, the label and a row `key`. Fitting passes over it many
@@ -41,7 +48,7 @@ def train(frame: DataFrame, key: str, model_path: str, trees: int = forest.TREES
     """
     rows = forest.labelled(features_and_label(frame, key))
     learn, test = forest.split(rows, key)
-    model = forest.forest(trees, depth).fit(forest.spread(learn))
+    model = forest.forest(trees, depth, memory_mb=memory_mb).fit(forest.spread(learn))
     error = forest.evaluate(model, test)
     return Trained(model, error, forest.save_if_good(model, error, model_path))
 
