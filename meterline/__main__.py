@@ -8,14 +8,17 @@ from __future__ import annotations
 import argparse
 import os
 
+from pyspark.sql import SparkSession
+
 from meterline import schema
+from meterline.operators import forest
 from meterline.plans import landing, loading, training
 from meterline.session import build_session
 from meterline.sinks.tables import recreate_tables
 from meterline.sources.zones import read_zones
 
 
-def arguments() -> argparse.Namespace:
+def arguments(words: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="meterline", description=__doc__)
     year = int(os.environ.get("YEAR", "2025"))
     runs = parser.add_subparsers(dest="run", required=True)
@@ -52,18 +55,19 @@ def arguments() -> argparse.Namespace:
     train.add_argument("--model", required=True)
     train.add_argument("--year", type=int, default=training.YEAR)
     train.add_argument("--months", type=int, nargs="+", default=training.MONTHS)
+    train.add_argument("--trees", type=int, default=forest.TREES)
+    train.add_argument("--depth", type=int, default=forest.DEPTH)
+    train.add_argument("--memory-mb", type=int, default=256, help="split statistics per running task")
 
     score = runs.add_parser("score", help="predict for every row of a Parquet table")
     score.add_argument("--model", required=True)
     score.add_argument("--input", required=True)
     score.add_argument("--output", required=True)
     score.add_argument("--keep", nargs="*", default=[])
-    return parser.parse_args()
+    return parser.parse_args(words)
 
 
-def main() -> None:
-    given = arguments()
-    spark = build_session(f"meterline {given.run}")
+def run(given: argparse.Namespace, spark: SparkSession) -> None:
     if given.run == "land":
         for path in given.files:
             landing.land_file(spark, path, given.root, not given.append, given.one_layout)
@@ -82,11 +86,18 @@ def main() -> None:
         loading.export_facts(spark, given.root, given.year, **connection)
     elif given.run == "train":
         training.snapshot(spark, given.root, given.out, given.year, given.months)
-        result = training.train(training.read_snapshot(spark, given.out), "row_key", given.model)
+        rows = training.read_snapshot(spark, given.out)
+        result = training.train(rows, "row_key", given.model, given.trees, given.depth, given.memory_mb)
         print(f"RMSE {result.rmse}: model {'saved' if result.saved else 'not saved'}")
     elif given.run == "score":
         rows = spark.read.parquet(given.input)
         training.score_table(given.model, rows, *given.keep).write.mode("overwrite").parquet(given.output)
+
+
+def main() -> None:
+    given = arguments()
+    spark = build_session(f"meterline {given.run}")
+    run(given, spark)
     spark.stop()
 
 

@@ -73,8 +73,10 @@ def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED, memory_mb:
 
 def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
     """`keep` and the predicted label for any frame with the seven features, numbers of any type."""
-    inputs = df.selectExpr(*keep, *[f"CAST({name} AS DOUBLE) AS {name}" for name in schema.FEATURES])
-    return model.transform(inputs).select(*keep, "prediction")
+    # Under other names meanwhile, since a feature may be kept as well.
+    kept = [f"{name} AS _kept_{name}" for name in keep]
+    inputs = df.selectExpr(*kept, *[f"CAST({name} AS DOUBLE) AS {name}" for name in schema.FEATURES])
+    return model.transform(inputs).selectExpr(*[f"_kept_{name} AS {name}" for name in keep], "prediction")
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> float:
