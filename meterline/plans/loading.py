@@ -11,14 +11,14 @@ from meterline.operators.fact import fact_rows
 from meterline.operators.numbering import next_id, sparse_ids
 from meterline.operators.rules import reject, trip_rules
 from meterline.sinks.jdbc import append_jdbc
-from meterline.sinks.tables import append_table, insert_missing, read_table
+from meterline.sinks.tables import append_table, each_table, insert_missing, read_table
 from meterline.sources.trips import read_months, read_year
 
 
 def load_dimensions(spark: SparkSession, root: str, zones: DataFrame, year: int) -> None:
     """Add the dimension rows the tables under `root` lack; rows already there stay."""
-    for name, rows in seed_dimensions(spark, zones, year).items():
-        insert_missing(spark, root, name, rows)
+    seeds = seed_dimensions(spark, zones, year)
+    each_table(lambda name: insert_missing(spark, root, name, seeds[name]), seeds)
 
 
 def load_facts(
@@ -32,8 +32,8 @@ def load_facts(
     """Append the accepted trips of `year` to fact_trip, with identities that go on from its last.
 
     They are read from that year's folders, or from those of `folder_year`, as a file may
-    hold trips of another year; `layout` as for `read_months`. Nothing is shuffled or written twice: trips are judged, numbered and written where
-    they are read.
+    hold trips of another year; `layout` as for `read_months`. Nothing is shuffled or
+    written twice: trips are judged, numbered and written where they are read.
     """
     facts = fact_rows(read_months(spark, landed, folder_year or year, layout=layout), year)
     start = next_id(read_table(spark, root, "fact_trip"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -22,9 +23,18 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def recreate_tables(spark: SparkSession, root: str, names: Iterable[str] = tuple(schema.TABLES)) -> None:
     """Leave each named table present and empty, with its declared types."""
-    for name in names:
-        empty = spark.createDataFrame([], schema.TABLES[name])
-        empty.write.mode("overwrite").parquet(_path(root, name))
+
+    def empty(name: str) -> None:
+        nothing = spark.createDataFrame([], schema.TABLES[name])
+        nothing.write.mode("overwrite").parquet(_path(root, name))
+
+    each_table(empty, names)
+
+
+def each_table(work: Callable[[str], None], names: Iterable[str]) -> None:
+    """Run `work` for every table at once: small jobs that would mostly wait for each other."""
+    with ThreadPoolExecutor(max_workers=len(schema.TABLES)) as side_by_side:
+        list(side_by_side.map(work, names))
 
 
 def append_table(df: DataFrame, root: str, name: str) -> None:

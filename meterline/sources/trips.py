@@ -59,11 +59,12 @@ def read_months(
 ) -> DataFrame:
     """The chosen months (all if none are named) with `year` and `month` columns.
 
-    A chosen month that was never landed adds nothing; if none was, that is an error. Only the folders asked for are listed. Files may lack columns, spell them in another
-    case or store a number as whole in one month and as a fraction in the next: each set of
-    like files is read with its own schema, and the sets are put together under the widest
-    type per column. Merging the schemas of all files at once would fail on the last kind,
-    and reading by one file's schema would lose the columns that file lacks.
+    A chosen month that was never landed adds nothing; if none was, that is an error. Only
+    the folders asked for are listed. Files may lack columns, spell them in another case or
+    store a number as whole in one month and as a fraction in the next: each set of like
+    files is read with its own schema, and the sets are put together under the widest type
+    per column. Merging the schemas of all files at once would fail on the last kind, and
+    reading by one file's schema would lose the columns that file lacks.
 
     With a `layout` the files are not asked: it is the schema of them all, missing columns
     read as NULL, and no footer is opened before the scan. Use it on a tree whose types are

@@ -53,6 +53,7 @@ def raw(spark):
 
     def make(*changes):
         rows = [{**BASE, **change} for change in changes]
-        return spark.createDataFrame([tuple(row[name] for name in schema.RAW_TRIP.names) for row in rows], schema.RAW_TRIP)
+        values = [tuple(row[name] for name in schema.RAW_TRIP.names) for row in rows]
+        return spark.createDataFrame(values, schema.RAW_TRIP)
 
     return make

@@ -15,7 +15,8 @@ def zones(spark):
 
 def test_existing_row_wins_and_first_of_the_batch(spark):
     target = spark.createDataFrame([(1, "old")], "k int, v string")
-    batch = spark.createDataFrame([(1, "a", 1), (2, "late", 9), (2, "early", 3), (None, "n", 1)], "k int, v string, o int")
+    rows = [(1, "a", 1), (2, "late", 9), (2, "early", 3), (None, "n", 1)]
+    batch = spark.createDataFrame(rows, "k int, v string, o int")
     once = insert_or_ignore(target, batch, ["k"], ["o"])
     assert sorted(map(str, once.collect())) == sorted(
         ["Row(k=1, v='old')", "Row(k=2, v='early')", "Row(k=None, v='n')"]

@@ -83,8 +83,8 @@ def test_months_of_different_layouts(spark, raw, tmp_path):
     types = {field.name.lower(): field.dataType for field in rows.schema}
     assert (types["passenger_count"], types["ratecodeid"]) == (T.DoubleType(), T.LongType())
     kept = fact_rows(rows, 2024, "month").orderBy("month").collect()
-    shown = [(r["month"], r["passenger_count"], r["ratecode_id"], r["airport_fee"], r["cbd_congestion_fee"]) for r in kept]
-    assert [tuple(map(float, row)) for row in shown] == [
+    shown = ["month", "passenger_count", "ratecode_id", "airport_fee", "cbd_congestion_fee"]
+    assert [tuple(float(row[name]) for name in shown) for row in kept] == [
         (1, 1, 1, 1.75, 0),
         (2, 3, 1, 0, 0.75),
         (3, 1, 4, 0, 0.75),
