@@ -41,7 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # fits a session with little memory.
 QUERY_TREES = 10
 QUERY_DEPTH = 10
-QUERY_MEMORY_MB = 32
+QUERY_MEMORY_MB = 16
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
