@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -43,11 +44,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     Only a local session without that setting gets a folder of its own; a cluster
     without it is refused, since a machine-local folder would be lost with its machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="meterline-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark)
     return f"{root.rstrip('/')}/meterline/{label}-{uuid.uuid4().hex}"
+
+
+# The setting cannot be changed on a running session, so a folder made here is kept here.
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def _own_folder(spark: SparkSession) -> str:
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="meterline-")
+        atexit.register(shutil.rmtree, _OWN_FOLDERS[application], ignore_errors=True)
+    return _OWN_FOLDERS[application]

@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from meterline.plans.catalog import QUERIES
+from meterline.plans.catalog_sql import SQL
 from tools.compare import oracle, same
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,14 +17,14 @@ def duck():
 
 
 def test_every_query_but_those_of_a_fitted_model_has_sql():
-    assert set(queries()) - set(oracle_sql()) == FITTED
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(SQL) == FITTED
+    assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
-    mine = queries()[name](spark, SF_DIR).toPandas()
-    theirs = duck.execute(oracle_sql()[name]).df()
+    mine = QUERIES[name](spark, SF_DIR).toPandas()
+    theirs = duck.execute(SQL[name]).df()
     assert same(mine, theirs) == ""
 
 
@@ -47,14 +49,14 @@ KNOWN = {
 
 
 def test_known_counts(spark):
-    counts = {row["rule"]: row["failed"] for row in queries()["reject_counts"](spark, SF_DIR).collect()}
+    counts = {row["rule"]: row["failed"] for row in QUERIES["reject_counts"](spark, SF_DIR).collect()}
     assert {name: counts[name] for name in KNOWN} == KNOWN
 
 
 def test_fitted_model(spark):
-    metrics = queries()["rf_train_metrics"](spark, SF_DIR).first()
+    metrics = QUERIES["rf_train_metrics"](spark, SF_DIR).first()
     assert metrics["trips"] == 1000
     assert metrics["rmse"] < metrics["label_spread"] / 2
     assert metrics["saved"] == (metrics["rmse"] < 10)
-    predicted = queries()["rf_predict"](spark, SF_DIR).toPandas()
+    predicted = QUERIES["rf_predict"](spark, SF_DIR).toPandas()
     assert predicted["prediction"].between(predicted["label"].min() - 1, predicted["label"].max() + 1).all()
