@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import bpe, lines
+from meterline.llm import bpe, credentials, lines, quality
 from meterline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,13 @@ SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
 FROM keyed k LEFT JOIN frequent f ON k.key = f.key
 GROUP BY doc_id
 """
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digests(credentials.scan(table(spark, sf_dir, "documents"), WORD_BPE))
