@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import bpe, credentials, lines, quality
+from meterline.llm import bpe, classifier, credentials, lines, quality
 from meterline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digests(credentials.scan(table(spark, sf_dir, "documents"), WORD_BPE))
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
