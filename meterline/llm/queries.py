@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import bpe, classifier, credentials, lines, quality
+from meterline.llm import bpe, classifier, credentials, lines, mixing, quality
 from meterline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,44 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digests(mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))
+
+
+SQL["op7_mix_sources"] = """
+WITH RECURSIVE tape AS MATERIALIZED (
+  SELECT doc_id, source, sum(size) OVER (PARTITION BY source ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) - size AS begun
+  FROM (
+    SELECT doc_id, source, length(coalesce(text, '')) + 1 AS size,
+      CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS place
+    FROM documents
+  )
+), weights AS MATERIALIZED (
+  SELECT source, sqrt(CAST(sum(length(coalesce(text, '')) + 1) AS DOUBLE)) AS weight FROM documents GROUP BY source
+), summed AS MATERIALIZED (
+  SELECT list_reduce(list(weight ORDER BY source), lambda x, y: x + y) AS total FROM weights
+), shares AS MATERIALIZED (
+  SELECT source, row_number() OVER (ORDER BY source) AS i, greatest(1, CAST(floor(1000 * weight / total) AS BIGINT)) AS p
+  FROM weights, summed
+), setup AS MATERIALIZED (
+  SELECT list(p ORDER BY i) AS p, CAST(sum(p) AS BIGINT) AS n FROM shares
+), slots AS (
+  SELECT CAST(-1 AS BIGINT) AS slot, list_transform(p, lambda x: CAST(0 AS BIGINT)) AS k, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS turn, p, n
+  FROM setup
+  UNION ALL
+  SELECT slot, list_transform(k, lambda x, j: CASE WHEN j = best THEN x + 1 ELSE x END), best, k[best], p, n
+  FROM (
+    SELECT slot + 1 AS slot, k, p, n, list_min(list_transform(list_filter(generate_series(1, len(p)),
+      lambda j: k[j] * n // p[j] <= slot + 1), lambda j: ((k[j] + 1) * n + p[j] - 1) // p[j] * 100000 + j)) % 100000 AS best
+    FROM slots WHERE slot + 1 < n
+  )
+)
+SELECT doc_id, source, block AS mix_block, CAST(begun AS BIGINT) AS mix_at, block * s.n // h.p AS mix_release,
+  ((block + 1) * s.n + h.p - 1) // h.p AS mix_deadline, block // h.p * s.n + s.slot AS mix_slot
+FROM (SELECT *, CAST(begun AS BIGINT) // 100000 AS block FROM tape) t
+JOIN shares h USING (source)
+JOIN slots s ON s.i = h.i AND s.slot >= 0 AND s.turn = t.block % h.p
+"""
