@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import bpe, classifier, credentials, lines, mixing, quality
+from meterline.llm import bpe, classifier, credentials, lines, mixing, quality, token_files
 from meterline.llm.common import table
+from meterline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -104,3 +106,10 @@ FROM (SELECT *, CAST(begun AS BIGINT) // 100000 AS block FROM tape) t
 JOIN shares h USING (source)
 JOIN slots s ON s.i = h.i AND s.slot >= 0 AND s.turn = t.block % h.p
 """
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_files")
+    token_files.write(table(spark, sf_dir, "documents"), BYTE_BPE, path)
+    return token_files.digests(token_files.read(spark, path))
