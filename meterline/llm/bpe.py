@@ -11,6 +11,7 @@ time, and the result is that of the merges, exactly.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,14 +24,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, pre_tokenizers
 
-from meterline.llm.common import chunks, texts
+from meterline.llm.common import (
+    LATIN_LETTERS,
+    LATIN_NUMBERS,
+    LATIN_SPACE,
+    SPACE,
+    UNASSIGNED,
+    chunks,
+    is_latin,
+    texts,
+)
 
-WORD_CACHE = 300_000
+WORD_CACHE = 400_000
 
-# Unicode's White_Space, and the words of the vocabulary's pre-tokenizer.
-_SPACE = r"\t-\r \x85\xa0  -     　"
-_UNASSIGNED = regex.compile(r"\p{Cn}")
-_WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+# The words of the vocabulary's pre-tokenizer. Contractions begin with a mark,
+# so letters may come first.
+_WORD = regex.compile(rf"\p{{L}}+|'s|'t|'re|'ve|'m|'ll|'d|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+# The same for texts of Latin-1 letters alone, with the faster library.
+_LATIN_WORD = re.compile(
+    rf"[{LATIN_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_NUMBERS}]|[^{LATIN_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]+"
+)
 
 
 def byte_letters() -> list[str]:
@@ -174,19 +187,19 @@ class Bpe:
                 continue
             # Letter by letter: a sigma at a word's end is lowered like any other.
             plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-            found = _WORD.findall(plain)
+            found = (_LATIN_WORD if is_latin(plain) else _WORD).findall(plain)
             held = list(map(words.get, found))
             if None in held:
                 missing = {word for word, known in zip(found, held, strict=True) if known is None}
                 # Letters newer than `regex` knows are split by the library of the vocabulary.
-                if any(map(_UNASSIGNED.search, missing)):
+                if any(map(UNASSIGNED.search, missing)):
                     found = [word for word, _ in self.library_split.pre_tokenize_str(plain)]
                     missing = {word for word in found if word not in words}
                 fresh = {word: np.array(self.encode_word(word), "<i4").tobytes() for word in missing}
                 held = [words.get(word) or fresh[word] for word in found]
-                if len(words) >= WORD_CACHE:
-                    words.clear()
-                words.update((k, v) for k, v in fresh.items() if len(k) <= 64 and not _UNASSIGNED.search(k))
+                # Full, the table stays as it is: what came first is what comes often.
+                if len(words) < WORD_CACHE:
+                    words.update((k, v) for k, v in fresh.items() if len(k) <= 64 and not UNASSIGNED.search(k))
             out += held
         return np.frombuffer(b"".join(out), "<i4")
 

@@ -8,6 +8,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from meterline.session import scratch_path
@@ -15,6 +16,14 @@ from meterline.session import scratch_path
 # White space as the contracts of this folder mean it: space, and tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 
+# Unicode's White_Space for character classes, and the Latin-1 part of it, of
+# letters and of numbers.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LATIN_SPACE = r"\t-\r \x85\xa0"
+LATIN_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+LATIN_NUMBERS = "0-9²³¹¼½¾"
+UNASSIGNED = regex.compile(r"\p{Cn}")
+
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -36,6 +45,15 @@ def texts(column: pa.Array) -> list[str]:
     return pc.fill_null(column, "").to_pylist()
 
 
+def is_latin(text: str) -> bool:
+    """Whether all of a text is Latin-1."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the n + 1 offsets between its texts; null counts as empty."""
     held = pc.fill_null(column, "").cast(pa.large_string())

@@ -17,6 +17,7 @@ half of a file. Each row is a block of whole documents, in ascending doc_id orde
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from meterline.llm.common import texts
+from meterline.llm.common import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACE, SPACE, UNASSIGNED, is_latin, texts
 
 END_ID = 0
 # Ids must lie below BASE, so that an id or a nonterminal takes two bytes.
@@ -38,16 +39,27 @@ BASE = 50_432
 BLOCK_IDS = 1 << 20
 # Pairs found less often are not worth a rule.
 LEAST = 12
-ROUNDS = 4
+ROUNDS = 3
 PER_ROUND = 4096
-WORD_CACHE = 300_000
+WORD_CACHE = 600_000
 
-# Unicode's White_Space, and the pieces of a byte-level vocabulary.
-_SPACE = r"\t-\r \x85\xa0  -     　"
-_PIECE = regex.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
-)
-_UNASSIGNED = regex.compile(r"\p{Cn}")
+
+def _pieces(letters: str, numbers: str, space: str) -> str:
+    # The pieces of a byte-level vocabulary. Contractions begin with a mark, so
+    # letters may come first.
+    return (
+        rf" ?[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{numbers}]+| ?[^{space}{letters}{numbers}]+"
+        rf"|[{space}]+(?![^{space}])|[{space}]+"
+    )
+
+
+_PIECE = regex.compile(_pieces(r"\p{L}", r"\p{N}", SPACE))
+# The same for texts of Latin-1 letters alone, with the faster library.
+_LATIN_PIECE = re.compile(_pieces(LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACE))
+
+
+def split_pieces(text: str) -> list[str]:
+    return (_LATIN_PIECE if is_latin(text) else _PIECE).findall(text)
 
 
 class Encoder:
@@ -67,23 +79,33 @@ class Encoder:
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """The ids of each text, two bytes each."""
-        cut = [None if any(s in text for s in self.special) else _PIECE.findall(text) for text in batch]
-        missing = {piece for pieces in cut if pieces for piece in pieces if piece not in self.pieces}
-        # Special tokens, and letters newer than `regex` knows, are left to the library.
-        odd = {piece for piece in missing if _UNASSIGNED.search(piece)}
-        if len(self.pieces) > WORD_CACHE:
-            self.pieces.clear()
-            missing = {piece for pieces in cut if pieces for piece in pieces}
-        names = sorted(missing - odd)
-        fresh = dict(zip(names, self._ids(names), strict=True))
-        self.pieces.update((piece, ids) for piece, ids in fresh.items() if len(piece) <= 64)
-        out = []
-        for text, pieces in zip(batch, cut, strict=True):
-            if pieces is None or (odd and not odd.isdisjoint(pieces)):
+        get = self.pieces.get
+        out: list[bytes | None] = []
+        open_texts = []
+        for place, text in enumerate(batch):
+            if any(special in text for special in self.special):
                 out += self._ids([text])
+                continue
+            pieces = split_pieces(text)
+            held = list(map(get, pieces))
+            if None in held:
+                open_texts.append((place, text, pieces, held))
+                out.append(None)
+            else:
+                out.append(b"".join(held))
+        names = list({p for _, _, pieces, held in open_texts for p, ids in zip(pieces, held, strict=True) if ids is None})
+        # Letters newer than `regex` knows are left to the library, with their whole text.
+        odd = {piece for piece in names if UNASSIGNED.search(piece)}
+        fresh = dict(zip(names, self._ids(names), strict=True))
+        for place, text, pieces, held in open_texts:
+            if odd and not odd.isdisjoint(pieces):
+                out[place] = self._ids([text])[0]
             else:
-                held = map(self.pieces.get, pieces)
-                out.append(b"".join(ids or fresh[piece] for ids, piece in zip(held, pieces, strict=True)))
+                filled = [fresh[p] if ids is None else ids for p, ids in zip(pieces, held, strict=True)]
+                out[place] = b"".join(filled)
+        # Full, the table stays as it is: what came first is what comes often.
+        if len(self.pieces) < WORD_CACHE:
+            self.pieces.update((p, ids) for p, ids in fresh.items() if len(p) <= 64 and p not in odd)
         return out
 
 
