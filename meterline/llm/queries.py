@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import bpe, classifier, credentials, lines, mixing, quality, token_files
+from meterline.llm import bpe, classifier, credentials, lines, mixing, quality, repeats, token_files
 from meterline.llm.common import table
 from meterline.session import scratch_path
 
@@ -113,3 +113,33 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_files")
     token_files.write(table(spark, sf_dir, "documents"), BYTE_BPE, path)
     return token_files.digests(token_files.read(spark, path))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.drop_repeats(table(spark, sf_dir, "documents")))
+
+
+SQL["op3_substring_dedup"] = r"""
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+), placed AS MATERIALIZED (
+  SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS place, len(words) AS n FROM texts
+), windows AS MATERIALIZED (
+  SELECT doc_id, place, sha256(array_to_string(words[place:place + 49], ' ')) AS name
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS place FROM texts WHERE len(words) >= 50)
+), firsts AS MATERIALIZED (
+  SELECT name, min(doc_id) AS first_id FROM windows GROUP BY name
+), gone AS MATERIALIZED (
+  SELECT doc_id, place FROM windows JOIN firsts USING (name) WHERE doc_id > first_id
+), judged AS MATERIALIZED (
+  SELECT p.doc_id, p.place, p.word, max(g.place IS NOT NULL) OVER (
+    PARTITION BY p.doc_id ORDER BY p.place ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS removed
+  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place
+)
+SELECT t.doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (WHERE NOT removed) AS kept
+  FROM judged GROUP BY doc_id
+) j ON t.doc_id = j.doc_id
+"""
