@@ -40,7 +40,8 @@ def repeated_lines(docs: DataFrame, min_docs: int, min_length: int = 1) -> DataF
     lines = stored(lines.withColumn("key", F.unhex(F.md5("key"))), "lines")
     per_doc = lines.select("key", "doc_id").distinct()
     frequent = per_doc.groupBy("key").agg(F.count(F.lit(1)).alias("_docs")).filter(F.col("_docs") >= min_docs)
-    hits = lines.join(frequent, "key")
+    # From a table, so that Spark sees its size, and splits large partitions if it is large.
+    hits = lines.join(stored(frequent.select("key"), "frequent_lines"), "key")
     return hits.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("places"))
 
 
