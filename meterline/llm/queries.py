@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import bpe, classifier, credentials, lines, mixing, quality, repeats, token_files
+from meterline.llm import bpe, classifier, credentials, jaccard, lines, mixing, quality, repeats, token_files
 from meterline.llm.common import table
 from meterline.session import scratch_path
 
@@ -143,3 +143,32 @@ FROM texts t LEFT JOIN (
   FROM judged GROUP BY doc_id
 ) j ON t.doc_id = j.doc_id
 """
+
+
+@query
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+SQL["op5_ngram_jaccard"] = r"""
+WITH RECURSIVE texts AS MATERIALIZED (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(words[place:place + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 4))) AS place FROM texts WHERE len(words) > 0)
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT t.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM texts t LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) r ON r.a = t.doc_id
+"""
