@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import bpe, classifier, credentials, jaccard, lines, mixing, quality, repeats, token_files
+from meterline.llm import bpe, classifier, credentials, embeddings, jaccard, lines, mixing, quality, repeats, token_files
 from meterline.llm.common import table
 from meterline.session import scratch_path
 
@@ -172,3 +172,8 @@ WITH RECURSIVE texts AS MATERIALIZED (
 SELECT t.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM texts t LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) r ON r.a = t.doc_id
 """
+
+
+@query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
