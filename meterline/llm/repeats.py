@@ -11,8 +11,8 @@ Suffixes that share a prefix share a subtree, so trees are built apart, one per
 3. Suffixes meet by prefix. As many prefixes as fit into memory make one batch, whose suffixes
    are sorted; neighbours with WINDOW words in common lie under the same deep node. Each node's
    least doc_id says which of its windows are to go. A prefix with too many suffixes for one
-   task is lengthened to the whole window, where all that is left of its trees is one node
-   for each window, and these are found by aggregation.
+   task is lengthened: to all its content first, so that copies come down to one suffix, then
+   to each whole window, where all that is left of a tree is one node, found by aggregation.
 """
 
 from __future__ import annotations
@@ -106,7 +106,7 @@ def _found_places(part: pa.RecordBatch) -> tuple[W.Words, np.ndarray, np.ndarray
 
 
 def _suffixes(texts_with: DataFrame, window: int) -> DataFrame:
-    """prefix, doc_id, text_hash, first and content: the words that a run of windows covers."""
+    """prefix, doc_id, text_hash, first, windows and content: the words that a run of windows covers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,31 +117,67 @@ def _suffixes(texts_with: DataFrame, window: int) -> DataFrame:
                 content = [raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
                 at = pa.array(text)
                 columns = [flat.field("prefix"), part.column("doc_id").take(at), part.column("text_hash").take(at)]
-                columns += [flat.field("first"), pa.array(content, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["prefix", "doc_id", "text_hash", "first", "content"])
+                columns += [flat.field("first"), flat.field("windows"), pa.array(content, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["prefix", "doc_id", "text_hash", "first", "windows", "content"])
 
-    return texts_with.mapInArrow(run, "prefix long, doc_id long, text_hash long, first int, content binary")
+    layout = "prefix long, doc_id long, text_hash long, first int, windows int, content binary"
+    return texts_with.mapInArrow(run, layout)
 
 
-def _windows(texts_with: DataFrame, window: int) -> DataFrame:
-    """two hashes, doc_id, text_hash and place of each listed window: prefixes as long as the window."""
+def _windows(contents: DataFrame, window: int) -> DataFrame:
+    """The windows of some contents, by two hashes of their words: prefixes as long as the window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held = batch.column("content").cast(pa.string())
+            batch = batch.drop_columns(["content"]).append_column("text", held)
             for part in chunks(batch):
-                words, text, first, count, _ = _found_places(part)
-                data = utf8(part.column("text"))[0]
-                ends = np.cumsum(count)
-                begin = np.repeat(first - (ends - count), count) + np.arange(count.sum())
-                text = np.repeat(text, count)
-                names = [W.hash_runs(W.hash_words(data, words, seed), window)[begin] for seed in (0, 1)]
-                at = pa.array(text)
-                columns = [pa.array(name.view(np.int64)) for name in names]
-                columns += [part.column("doc_id").take(at), part.column("text_hash").take(at)]
-                columns += [pa.array(begin - words.bounds[text], pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, ["one", "two", "doc_id", "text_hash", "place"])
+                data, offsets = utf8(part.column("text"))
+                words = W.split(data, offsets)
+                row, begin = _windows_of(words, window)
+                one, two = (W.hash_runs(W.hash_words(data, words, seed), window)[begin] for seed in (0, 1))
+                at = pa.array(row)
+                columns = [part.column(name).take(at) for name in ("content_one", "content_two", "least")]
+                columns += [pa.array(begin - words.bounds[row], pa.int32())]
+                columns += [pa.array(one.view(np.int64)), pa.array(two.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["content_one", "content_two", "least", "place", "one", "two"])
+
+    return contents.mapInArrow(run, "content_one long, content_two long, least long, place int, one long, two long")
+
+
+def _windows_of(words: W.Words, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The text and the first word of all windows of texts that have one at least."""
+    counts = np.diff(words.bounds) - window + 1
+    ends = np.cumsum(counts)
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) + np.repeat(words.bounds[:-1] - (ends - counts), counts)
 
-    return texts_with.mapInArrow(run, "one long, two long, doc_id long, text_hash long, place int")
+
+def _of_many(suffixes: DataFrame, window: int) -> DataFrame:
+    """The windows to go among prefixes with very many suffixes: doc_id, text_hash, begin and end.
+
+    Suffixes of the same content come down to the least doc_id that holds it. All others that
+    hold it lose it whole, one row each; only for the first one are its windows looked up,
+    among the windows of the other contents.
+    """
+    name = {"content_one": F.xxhash64("content"), "content_two": F.xxhash64(F.lit(1), "content")}
+    key = list(name)
+    named = suffixes.withColumns(name)
+    runs = stored(named.select("doc_id", "text_hash", "first", "windows", *key), "runs")
+    contents = named.groupBy(*key).agg(F.min("doc_id").alias("least"), F.first("content").alias("content"))
+    contents = stored(contents, "contents")
+
+    later = runs.join(contents.select(*key, "least"), key)
+    begin, end = F.col("first").alias("begin"), (F.col("first") + F.col("windows") + (window - 1)).alias("end")
+    spans = later.filter("doc_id > least").select("doc_id", "text_hash", begin, end)
+
+    each = stored(_windows(contents, window), "windows")
+    held_by = each.groupBy("one", "two").agg(F.min("least").alias("_least"), F.max("least").alias("_most"))
+    held_by = stored(held_by.filter("_least < _most").select("one", "two", "_least"), "shared_windows")
+    gone = each.join(held_by, ["one", "two"]).filter("least > _least").select(*key, "least", "place")
+    gone = runs.join(gone, key).filter("doc_id = least")
+    begin = F.col("first") + F.col("place")
+    return spans.unionByName(gone.select("doc_id", "text_hash", begin.alias("begin"), (begin + window).alias("end")))
 
 
 def _ranks(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -174,10 +210,7 @@ def _repeated(batch: pa.Table, window: int) -> pa.RecordBatch:
     end, in words, of each row of windows that follow each other."""
     data, offsets = utf8(batch.column("content").combine_chunks().cast(pa.string()))
     words = W.split(data, offsets)
-    counts = np.diff(words.bounds) - window + 1
-    ends = np.cumsum(counts)
-    row = np.repeat(np.arange(len(counts)), counts)
-    starts = np.arange(ends[-1]) + np.repeat(words.bounds[:-1] - (ends - counts), counts)
+    row, starts = _windows_of(words, window)
     order, nodes = deep_nodes(W.hash_words(data, words), starts, window)
     doc_ids = batch.column("doc_id").to_numpy()
     least = np.minimum.reduceat(doc_ids[row[order]], nodes)
@@ -253,12 +286,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, task_suffixes: int = T
         listed = listed.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "suffixes")
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
         texts_with = docs.join(listed, same).select("doc_id", "text", "text_hash", "suffixes")
-        if not many:
-            return _trees(_suffixes(texts_with, window), window)
-        each = stored(_windows(texts_with, window), "windows")
-        least = each.groupBy("one", "two").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most"))
-        gone = each.join(least.filter("_least < _most"), ["one", "two"]).filter("doc_id > _least")
-        return gone.select("doc_id", "text_hash", F.col("place").alias("begin"), (F.col("place") + window).alias("end"))
+        return (_of_many if many else _trees)(_suffixes(texts_with, window), window)
 
     spans = spans_of(False)
     if not shared.filter("_many").isEmpty():
