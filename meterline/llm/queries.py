@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from meterline.llm import bpe, classifier, credentials, embeddings, jaccard, lines, mixing, quality, repeats, token_files
 from meterline.llm.common import table
 from meterline.session import scratch_path
@@ -14,6 +16,10 @@ from meterline.session import scratch_path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -177,3 +183,40 @@ FROM texts t LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS component_
 @query
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op4_quality_rules"] = r"""
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+), placed AS MATERIALIZED (
+  SELECT doc_id, unnest(generate_series(1, len(words))) AS place, words FROM texts
+), runs AS MATERIALIZED (
+  SELECT doc_id, place, CASE WHEN place + 2 <= len(words) THEN array_to_string(words[place:place + 2], ' ') END AS run FROM placed
+), twice AS MATERIALIZED (
+  SELECT doc_id, place, run IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, run) > 1 AS again FROM runs
+), repeats AS MATERIALIZED (
+  SELECT doc_id, count(*) FILTER (WHERE covered) AS n_repeat_words FROM (
+    SELECT doc_id, bool_or(again) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS covered FROM twice
+  ) GROUP BY doc_id
+), lines AS MATERIALIZED (
+  SELECT doc_id, host, line, len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS n,
+    translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM texts)
+), common AS MATERIALIZED (
+  SELECT host, key FROM lines JOIN (SELECT host, count(*) AS docs FROM texts GROUP BY host) USING (host)
+  WHERE n > 0 GROUP BY host, key, docs HAVING count(DISTINCT doc_id) >= 10 AND count(DISTINCT doc_id) * 100 >= docs * 2
+), line_counts AS MATERIALIZED (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, coalesce(sum(n) FILTER (WHERE c.key IS NOT NULL), 0) AS n_boilerplate
+  FROM lines l LEFT JOIN common c ON c.host = l.host AND c.key = l.key WHERE n > 0 GROUP BY doc_id
+), judged AS MATERIALIZED (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, CAST(coalesce(n_boilerplate, 0) AS BIGINT) AS n_boilerplate
+  FROM texts LEFT JOIN repeats USING (doc_id) LEFT JOIN line_counts USING (doc_id)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR (n_words - n_boilerplate) * 100 < n_words * 30) AS kept
+FROM judged
+"""
