@@ -31,7 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from meterline.llm.common import LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACE, SPACE, UNASSIGNED, is_latin, texts
+from meterline.llm.common import (
+    LATIN_LETTERS,
+    LATIN_NUMBERS,
+    LATIN_SPACE,
+    SPACE,
+    UNASSIGNED,
+    is_latin,
+    stored,
+    texts,
+)
 
 END_ID = 0
 # Ids must lie below BASE, so that an id or a nonterminal takes two bytes.
@@ -41,7 +50,7 @@ BLOCK_IDS = 1 << 20
 LEAST = 12
 ROUNDS = 3
 PER_ROUND = 4096
-WORD_CACHE = 600_000
+WORD_CACHE = 1_200_000
 
 
 def _pieces(letters: str, numbers: str, space: str) -> str:
@@ -288,14 +297,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(counts), row["shard"]), pa.int64()),
-                        pa.array(np.full(len(counts), row["block"]), pa.int64()),
                         pa.array(np.frombuffer(row["doc_ids"], "<i8"), pa.int64(), mask=nulls),
-                        pa.array(ends[:-1], pa.int64()),
+                        pa.array(ends[:-1] + row["start"], pa.int64()),
                         pa.array(counts, pa.int64()),
                         flat,
                     ],
-                    ["shard", "block", "doc_id", "within", "n_tokens", "ids"],
+                    ["doc_id", "start", "n_tokens", "ids"],
                 )
 
     files = spark.read.schema(_LAYOUT).parquet(path)
@@ -305,12 +312,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     shards = shards.select("shard", F.coalesce(before, F.lit(0)).alias("_shard_start"))
     inside = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("_block_start", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(shards, "shard")
-    starts = starts.select("shard", "block", (F.col("_shard_start") + F.col("_block_start")).alias("_start"))
-    layout = "shard long, block long, doc_id long, within long, n_tokens long, ids binary"
-    rows = files.mapInArrow(run, layout)
-    return rows.join(starts, ["shard", "block"]).select(
-        "doc_id", (F.col("_start") + F.col("within")).alias("start"), "n_tokens", "ids"
-    )
+    starts = starts.select("shard", "block", (F.col("_shard_start") + F.col("_block_start")).alias("start"))
+    # A few bytes for each block, so mostly small enough to go to all tasks; else blocks are
+    # shuffled as they are stored, not the ids they stand for.
+    rows = files.join(stored(starts, "block_starts"), ["shard", "block"])
+    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def digests(read_back: DataFrame) -> DataFrame:
