@@ -129,22 +129,36 @@ def _short_list_candidates(postings: DataFrame, percent: int) -> DataFrame:
     member = F.struct("doc", "n", "spare", "longs")
     lists = postings.groupBy("shingle").agg(F.sort_array(F.collect_list(member)).alias("members"))
     each = lists.select(F.explode("members").alias("me"), "members")
-    smaller = F.filter("members", lambda other: (other["doc"] < F.col("me.doc")) & _comparable(other["n"], F.col("me.n"), percent))
+    smaller = F.filter(
+        "members", lambda other: (other["doc"] < F.col("me.doc")) & _comparable(other["n"], F.col("me.n"), percent)
+    )
     each = each.select("me", smaller.alias("others")).filter(F.size("others") > 0)
     mine = each.groupBy("me").agg(F.collect_list("others").alias("lists"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            me, lists = batch.column("me"), batch.column("lists")
+            of_row, inner = lists.offsets.to_numpy(), lists.values
+            of_list, others = inner.offsets.to_numpy(), inner.values
+            names, spares, longs = (others.field(name).to_numpy() for name in ("doc", "spare", "longs"))
+            own = zip(*[me.field(name).to_pylist() for name in ("doc", "spare", "longs")], strict=True)
             left, right = [], []
-            for me, lists in zip(batch.column("me").to_pylist(), batch.column("lists").to_pylist(), strict=True):
-                merged = heapq.merge(*lists, key=lambda other: other["doc"])
-                for doc, found in groupby(merged, key=lambda other: other["doc"]):
-                    held = list(found)
-                    other = held[0]
+            for row, (doc, my_spare, my_longs) in enumerate(own):
+                cuts = of_list[of_row[row] : of_row[row + 1] + 1].tolist()
+                held = [names[begin:end].tolist() for begin, end in zip(cuts[:-1], cuts[1:], strict=True)]
+                about = dict(
+                    zip(
+                        names[cuts[0] : cuts[-1]].tolist(),
+                        zip(spares[cuts[0] : cuts[-1]].tolist(), longs[cuts[0] : cuts[-1]].tolist(), strict=True),
+                        strict=True,
+                    )
+                )
+                for other, met in groupby(heapq.merge(*held)):
+                    spare_of, longs_of = about[other]
                     # What the long lists, which are not merged, can add at most.
-                    if len(held) + min(me["longs"], other["longs"]) > min(me["spare"], other["spare"]):
-                        left.append(me["doc"])
-                        right.append(doc)
+                    if sum(1 for _ in met) + min(my_longs, longs_of) > min(my_spare, spare_of):
+                        left.append(doc)
+                        right.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     return mine.mapInArrow(run, "a long, b long")
