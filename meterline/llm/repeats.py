@@ -2,8 +2,8 @@
 
 Suffixes that share a prefix share a subtree, so trees are built apart, one per prefix:
 
-1. Every window of WINDOW words is filed under the prefix of PREFIX words that begins at the
-   least of the hashes of its word runs. Equal windows have equal least runs, so they meet.
+1. Every window of WINDOW words is filed under that run of PREFIX words in it, its prefix, whose
+   hash is the least. Equal windows have equal least runs, so they meet.
    Neighbouring windows mostly share theirs, so there are some twenty times fewer prefixes
    than windows.
 2. Prefixes that two documents hold keep their suffixes, with the words around them; all
@@ -32,6 +32,8 @@ PREFIX = 8
 # Suffixes of one prefix that a task takes together, and bytes of them sorted at a time.
 TASK_SUFFIXES = 4096
 BATCH_BYTES = 2 << 20
+# Windows in a row that make one suffix, also where a text repeats a few words on and on.
+ROW_WINDOWS = 1000
 # Windows looked at together, within one long text too.
 _SLICE = 1 << 22
 
@@ -47,33 +49,29 @@ def _running_least(values: np.ndarray, size: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """For each prefix that windows are filed under: its hash, its text, the first of the windows
-    (as a word of the text) and how many there are in a row."""
+    """For each row of windows filed under one prefix: the prefix's hash, its text, the first window
+    (as a word of the text) and how many there are."""
     words = W.split(data, offsets)
     runs = W.hash_runs(W.hash_words(data, words), PREFIX)
     inside = W.runs_inside(words, window)
-    text_of = words.text_of_word()
     found = []
     for at in range(0, len(inside), _SLICE):
         size = min(_SLICE, len(inside) - at)
-        part = runs[at : at + size + window - PREFIX]
-        # The upper 40 bits of the hash, then the place: of equal hashes the first one counts.
-        ranked = (part >> W.U(24) << W.U(24)) | np.arange(len(part), dtype=np.uint64)
-        least = _running_least(ranked, window - PREFIX + 1)
+        least = _running_least(runs[at : at + size + window - PREFIX], window - PREFIX + 1)
         begin = np.flatnonzero(inside[at : at + size])
-        place = at + (least[begin] & W.U(0xFFFFFF)).astype(np.int64)
-        begin = begin + at
         if len(begin):
+            value = least[begin]
             new = np.ones(len(begin), bool)
-            new[1:] = (place[1:] != place[:-1]) | (begin[1:] != begin[:-1] + 1)
-            first = np.flatnonzero(new)
-            found.append((place[first], begin[first], np.diff(np.append(first, len(begin)))))
+            new[1:] = (value[1:] != value[:-1]) | (begin[1:] != begin[:-1] + 1)
+            into_row = np.arange(len(begin)) - np.maximum.accumulate(np.where(new, np.arange(len(begin)), 0))
+            first = np.flatnonzero(into_row % ROW_WINDOWS == 0)
+            found.append((value[first], at + begin[first], np.diff(np.append(first, len(begin)))))
     if not found:
         nothing = np.zeros(0, np.int64)
         return nothing, nothing, nothing, nothing
-    place, begin, count = (np.concatenate(columns) for columns in zip(*found, strict=True))
-    text = text_of[begin]
-    return runs[place].view(np.int64), text, begin - words.bounds[text], count
+    prefix, begin, count = (np.concatenate(columns) for columns in zip(*found, strict=True))
+    text = words.text_of_word()[begin]
+    return prefix.view(np.int64), text, begin - words.bounds[text], count
 
 
 def _prefixes(docs: DataFrame, window: int) -> DataFrame:
