@@ -1,4 +1,4 @@
-"""The runs from the command line: python -m meterline land|seed|load|export|train|score.
+"""The runs from the command line: python -m meterline land|seed|load|audit|export|train|score.
 
 Object-store access, memory and master come from spark-submit or spark-defaults.
 """
@@ -27,7 +27,8 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     land.add_argument("files", nargs="+")
     land.add_argument("--root", required=True)
     land.add_argument("--one-layout", action="store_true", help="give every month the same columns and types")
-    land.add_argument("--append", action="store_true", help="add to the month instead of replacing it")
+    land.add_argument("--append", action="store_true", help="add to the months instead of replacing them")
+    land.add_argument("--quarantine", help="where files go whose name states no month")
 
     seed = runs.add_parser("seed", help="fill the dimensions")
     seed.add_argument("--warehouse", required=True)
@@ -39,15 +40,23 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     load.add_argument("--root", required=True)
     load.add_argument("--warehouse", required=True)
     load.add_argument("--year", type=int, default=year)
+    load.add_argument("--months", type=int, nargs="+", help="all landed ones unless named")
+    load.add_argument("--rejects", help="where the trips go that are turned away")
     load.add_argument("--one-layout", action="store_true", help="the months were landed with --one-layout")
 
+    audit = runs.add_parser("audit", help="what breaks the constraints of the eight tables")
+    audit.add_argument("--warehouse", required=True)
+    audit.add_argument("--output", required=True)
+
     export = runs.add_parser("export", help="append accepted trips to a database table")
     export.add_argument("--root", required=True)
     export.add_argument("--year", type=int, default=year)
     export.add_argument("--url", default=os.environ.get("JDBC_URL"))
     export.add_argument("--table", default=os.environ.get("TARGET_TABLE", "dw.fact_trip"))
     export.add_argument("--user", default=os.environ.get("JDBC_USER"))
-    export.add_argument("--writers", type=int, default=None)
+    export.add_argument("--months", type=int, nargs="+", help="all landed ones unless named")
+    export.add_argument("--first-id", type=int, help="number the trips here, from this id up")
+    export.add_argument("--writers", type=int, default=None, help="connections at once; 0 leaves the layout alone")
 
     train = runs.add_parser("train", help="snapshot months, fit, save if good enough")
     train.add_argument("--root", required=True)
@@ -57,6 +66,8 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     train.add_argument("--months", type=int, nargs="+", default=training.MONTHS)
     train.add_argument("--trees", type=int, default=forest.TREES)
     train.add_argument("--depth", type=int, default=forest.DEPTH)
+    train.add_argument("--bins", type=int, default=forest.BINS, help="split points per feature")
+    train.add_argument("--partitions", type=int, default=forest.PARTITIONS, help="parts the rows are fitted in")
     train.add_argument("--memory-mb", type=int, default=256, help="split statistics per running task")
 
     score = runs.add_parser("score", help="predict for every row of a Parquet table")
@@ -69,25 +80,35 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
 
 def run(given: argparse.Namespace, spark: SparkSession) -> None:
     if given.run == "land":
-        for path in given.files:
-            landing.land_file(spark, path, given.root, not given.append, given.one_layout)
+        for month in landing.land_files(
+            spark, given.files, given.root, given.quarantine, not given.append, given.one_layout
+        ):
+            print(f"{'-'.join(month.period)}: {month.rows} rows of {len(month.files)} files")
     elif given.run == "seed":
         if given.recreate:
             recreate_tables(spark, given.warehouse)
         loading.load_dimensions(spark, given.warehouse, read_zones(spark, given.zones), given.year)
     elif given.run == "load":
         layout = schema.LANDED_TRIP if given.one_layout else None
-        loading.load_facts(spark, given.root, given.warehouse, given.year, layout=layout)
+        months = loading.load_facts(
+            spark, given.root, given.warehouse, given.year, layout=layout, months=given.months, rejects=given.rejects
+        )
+        print(f"months loaded: {months}")
+    elif given.run == "audit":
+        found = loading.audit_warehouse(spark, given.warehouse)
+        found.coalesce(1).write.mode("overwrite").option("header", True).csv(given.output)
     elif given.run == "export":
         connection = {"url": given.url, "table": given.table, "user": given.user}
         connection["password"] = os.environ.get("JDBC_PASSWORD", "")
-        if given.writers:
-            connection["writers"] = given.writers
-        loading.export_facts(spark, given.root, given.year, **connection)
+        if given.writers is not None:
+            connection["writers"] = given.writers or None
+        loading.export_facts(spark, given.root, given.year, given.months, given.first_id, **connection)
     elif given.run == "train":
         training.snapshot(spark, given.root, given.out, given.year, given.months)
         rows = training.read_snapshot(spark, given.out)
-        result = training.train(rows, "row_key", given.model, given.trees, given.depth, given.memory_mb)
+        result = training.train(
+            rows, "row_key", given.model, given.trees, given.depth, given.memory_mb, given.bins, given.partitions
+        )
         print(f"RMSE {result.rmse}: model {'saved' if result.saved else 'not saved'}")
     elif given.run == "score":
         rows = spark.read.parquet(given.input)

@@ -54,7 +54,8 @@ def seconds_to_text(second_of_day: str) -> str:
 
 
 def hhmmss_seconds(packed: str) -> str:
-    """Seconds in an hhmmss number, e.g. 123456 gives 45296. Digits are not range-checked."""
+    """Seconds in an hhmmss number, e.g. 123456 gives 45296. Digits are not range-checked; a sign
+    takes the place of a digit, so -50 gives 50 and -12345 the seconds of -1, 23 and 45."""
     hour, minute, second = _unpack(packed)
     return f"({hour} * 3600 + {minute} * 60 + {second})"
 
@@ -67,5 +68,7 @@ def hhmmss_interval(packed: str) -> str:
 
 def _unpack(packed: str) -> list[str]:
     # Digits are taken by position; lpad also cuts longer numbers to their first six.
-    digits = f"lpad(CAST(CAST({packed} AS BIGINT) AS STRING), 6, '0')"
+    whole = f"CAST({packed} AS BIGINT)"
+    negative = f"concat('-', lpad(substring(CAST({whole} AS STRING), 2), 5, '0'))"
+    digits = f"CASE WHEN {whole} < 0 THEN {negative} ELSE lpad(CAST({whole} AS STRING), 6, '0') END"
     return [f"CAST(substring({digits}, {start}, 2) AS INT)" for start in (1, 3, 5)]

@@ -52,12 +52,27 @@ def required_columns(table: T.StructType) -> list[str]:
 
 def fact_checks() -> list[Rule]:
     """CHECKs of the fact table, and the flag's, which its dimension declares."""
-    checks = [Rule("flag_is_y_or_n", "store_and_fwd_flag IN ('Y', 'N')")]
+    checks = flag_checks()
     checks += [Rule(f"{name}_not_negative", f"{name} >= 0") for name in schema.MEASURE_COLUMNS]
     checks.append(Rule("dropoff_not_before_pickup", "dropoff_datetime >= pickup_datetime"))
     return checks
 
 
+def flag_checks() -> list[Rule]:
+    """The CHECK that the flag's own dimension declares."""
+    return [Rule("flag_is_y_or_n", "store_and_fwd_flag IN ('Y', 'N')")]
+
+
+def table_checks() -> dict[str, list[Rule]]:
+    """All declared CHECKs by table."""
+    return {
+        "fact_trip": fact_checks(),
+        "dim_store_and_fwd": flag_checks(),
+        "dim_date": calendar_checks(),
+        "dim_time": time_checks(),
+    }
+
+
 def calendar_checks() -> list[Rule]:
     return _ranges({"month": (1, 12), "day": (1, 31), "day_of_week": (1, 7)})
 

@@ -7,15 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions whose size is fixed by definition (code lists, calendar days, seconds of a day)
-# are broadcast. The zone table comes from a file: Spark decides by that file's size.
-_BOUNDED = {"dim_vendor", "dim_ratecode", "dim_payment_type", "dim_store_and_fwd", "dim_date", "dim_time"}
-
-
 def star_view(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Fact rows with the attributes of all dimensions; zones, dates and times once per role.
 
-    Left joins: a trip whose key has no dimension row stays, with NULL attributes.
+    Left joins: a trip whose key has no dimension row stays, with NULL attributes. Spark sends
+    a dimension to all tasks if it sees that it is small enough.
     """
     view = fact
     for table, key in (
@@ -23,12 +19,12 @@ def star_view(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame
         ("dim_ratecode", "ratecode_id"),
         ("dim_payment_type", "payment_type_id"),
     ):
-        view = view.join(_small(dimensions, table), key, "left")
-    flags = _small(dimensions, "dim_store_and_fwd").withColumnRenamed("label", "store_and_fwd_label")
+        view = view.join(dimensions[table], key, "left")
+    flags = dimensions["dim_store_and_fwd"].withColumnRenamed("label", "store_and_fwd_label")
     view = view.join(flags, "store_and_fwd_flag", "left")
     for role in ("pu", "do"):
         for table, key in (("dim_zone", "location_id"), ("dim_date", "date_key"), ("dim_time", "time_key")):
-            dimension = _small(dimensions, table)
+            dimension = dimensions[table]
             played = dimension.toDF(*[f"{role}_{name}" for name in dimension.columns])
             view = view.join(played, f"{role}_{key}", "left")
     return view
@@ -48,7 +44,3 @@ def weekday_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         .groupBy("day_of_week", "is_weekend")
         .agg(F.sum("trips").alias("trips"), F.sum("revenue").alias("revenue"))
     )
-
-
-def _small(dimensions: Mapping[str, DataFrame], table: str) -> DataFrame:
-    return F.broadcast(dimensions[table]) if table in _BOUNDED else dimensions[table]

@@ -6,21 +6,29 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The first row of each key by `order_by`; equal orders are settled by the other columns.
+    """The first row of each key by `order_by`, missing orders last; equal orders are settled by a
+    hash of the row, and rows alike throughout are one.
 
-    An aggregate rather than a ranking window: every task reduces its rows to one per key
-    before the shuffle, so a key with a third of the rows costs one row per task.
+    Aggregates rather than a ranking window: every task reduces its rows to one per key
+    before the shuffle, so a key with a third of the rows costs one row per task. Each order
+    column in turn is reduced to its least value, and the rows that have it go on. Values of
+    fixed width are reduced in a hash table; text has to be sorted.
     """
-    columns = df.columns
-    rest = [name for name in columns if name not in {*key, *order_by}]
-    first = F.min(F.struct(*order_by, *rest))
-    picked = df.groupBy(*key).agg(first.alias("_first"))
-    return picked.select(*[F.col(name if name in key else f"_first.{name}").alias(name) for name in columns])
+    for name in order_by:
+        df = _with_least(df, key, F.col(name))
+    # Rows that are left differ in no order column.
+    return _with_least(df, key, F.xxhash64(*df.columns)).distinct()
+
+
+def _with_least(df: DataFrame, key: Sequence[str], order: Column) -> DataFrame:
+    least = df.groupBy(*[F.col(name).alias(f"_of_{name}") for name in key]).agg(F.min(order).alias("_least"))
+    same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in key]
+    return df.join(least, reduce(and_, [*same, order.eqNullSafe(F.col("_least"))]), "left_semi")
 
 
 def new_rows(

@@ -37,11 +37,18 @@ from meterline.streaming import arrivals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# A smaller forest than the model's own settings, which are `training.train`'s defaults, that
-# fits a session with little memory.
-QUERY_TREES = 10
-QUERY_DEPTH = 10
-QUERY_MEMORY_MB = 16
+def fitting_memory(spark: SparkSession, rows: int) -> int:
+    """MB of split statistics per running task while the queries' forest is fitted: the usual 256, or
+    what a small session has. It changes the number of passes over the rows, not the model.
+
+    A session too small for the trees themselves is told so, before it dies of them.
+    """
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() >> 20
+    # A tree has two nodes per row at most, and as many as its depth allows; a node takes half a KB.
+    trees = forest.TREES * min(2 * rows, 2 ** (forest.DEPTH + 1)) >> 11
+    if 2 * trees > heap:
+        raise MemoryError(f"the forest's trees take {trees} MB of the session's heap of {heap} MB")
+    return min(256, max(16, heap // 32))
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -145,10 +152,13 @@ def monthly(trips: DataFrame) -> DataFrame:
     )
 
 
-def landed(spark: SparkSession, sf_dir: str) -> str:
-    root = scratch_path(spark, "landed")
+def land_all(spark: SparkSession, sf_dir: str, root: str) -> None:
     months.append_month(monthly(raw_trips(spark, sf_dir)), root)
-    return root
+
+
+def landed(spark: SparkSession, sf_dir: str) -> str:
+    """The landed tree that queries share to read from."""
+    return stored(spark, sf_dir, "landed", lambda root: land_all(spark, sf_dir, root))
 
 
 @query
@@ -338,6 +348,9 @@ def pk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         audits.duplicate_keys(table(spark, sf_dir, "events"), ["event_id"], "events"),
         audits.duplicate_keys(zones(spark, sf_dir), ["zone_name"], "dim_zone", "unique"),
         audits.table_key_audit(all_dimensions(spark, sf_dir)),
+        audits.duplicate_keys(numbering.sparse_ids(facts(spark, sf_dir)), ["trip_id"], "fact_trip"),
+        # Numbered badly, so that the audit of the facts' key has something to find.
+        audits.duplicate_keys(facts(spark, sf_dir).selectExpr("event_id DIV 500 AS trip_id"), ["trip_id"], "fact_badly"),
     ]
     return reduce(DataFrame.unionByName, found)
 
@@ -346,18 +359,23 @@ def pk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def not_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = columns.complete_raw(raw_trips(spark, sf_dir))
     required = [name for name in audits.required_columns(schema.FACT_TRIP) if name != "trip_id"]
-    return audits.missing_values(raw, schema.RAW_TRIP.names, "raw_trip").unionByName(
-        audits.missing_values(conformed(spark, sf_dir), required, "fact_trip")
-    )
+    found = [
+        audits.missing_values(raw, schema.RAW_TRIP.names, "raw_trip"),
+        audits.missing_values(conformed(spark, sf_dir), required, "fact_trip"),
+    ]
+    for name, dimension in all_dimensions(spark, sf_dir).items():
+        found.append(audits.missing_values(dimension, audits.required_columns(schema.TABLES[name]), name))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
 def check_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        rules.count_violations(conformed(spark, sf_dir), audits.fact_checks(), "fact_trip")
-        .unionByName(rules.count_violations(pickup_calendar(spark, sf_dir), audits.calendar_checks(), "dim_date"))
-        .unionByName(rules.count_violations(dimensions.day_seconds(spark), audits.time_checks(), "dim_time"))
-    )
+    """The declared CHECKs on every trip and on the dimensions as they are seeded; and on the calendar
+    of all pickups."""
+    tables_ = {"fact_trip": conformed(spark, sf_dir), **all_dimensions(spark, sf_dir)}
+    found = [rules.count_violations(tables_[name], checks, name) for name, checks in audits.table_checks().items()]
+    found.append(rules.count_violations(pickup_calendar(spark, sf_dir), audits.calendar_checks(), "pickup_calendar"))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -378,10 +396,40 @@ def append_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(spark.read.parquet(root).groupBy("year", "month").agg(F.count(F.lit(1)).alias("trips")))
 
 
+@query
+def land_files_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months that come in several files of other columns and types, landed twice by the run."""
+    files, root = scratch_path(spark, "files"), scratch_path(spark, "landed")
+    trips = raw_trips(spark, sf_dir).withColumnRenamed("airport_fee", "Airport_fee")
+    event, paths = F.col("event_id"), []
+    for month in range(3):
+        for part in range(2):
+            rows = trips.filter((event % 3 == month) & (F.floor(event / 3) % 2 == part))
+            if part:
+                rows = rows.withColumn("passenger_count", F.col("passenger_count").cast("double"))
+                rows = rows.drop("cbd_congestion_fee") if month == 1 else rows
+            paths.append(f"{files}/{part}/trips_2024-{month + 1:02d}.parquet")
+            rows.write.parquet(paths[-1])
+    for _ in range(2):
+        landing.land_files(spark, paths, root)
+    rows = columns.complete_raw(trip_files.read_year(spark, root, 2024))
+    money = {name: F.coalesce(name, F.lit(0.0)).cast(schema.MONEY) for name in ("total_amount", "cbd_congestion_fee")}
+    return flat(
+        rows.groupBy("year", "month").agg(
+            F.count(F.lit(1)).alias("trips"),
+            F.countDistinct("event_id").alias("events"),
+            F.sum("passenger_count").alias("passengers"),
+            F.sum(money["total_amount"]).alias("revenue"),
+            F.sum(money["cbd_congestion_fee"]).alias("cbd_fees"),
+        )
+    )
+
+
 @query
 def replace_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months of one year replaced twice are there once, and the other year's stay."""
-    root = landed(spark, sf_dir)
+    root = scratch_path(spark, "replaced")
+    land_all(spark, sf_dir, root)
     newer = monthly(raw_trips(spark, sf_dir)).filter(F.col("year") == "2024").withColumn("tolls_amount", F.lit(6.25))
     months.replace_month(newer, root)
     months.replace_month(newer, root)
@@ -418,8 +466,25 @@ def snapshot_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def write_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = snapshots.write_verified(raw_trips(spark, sf_dir), scratch_path(spark, "verified"))
-    return spark.createDataFrame([report])
+    """What the check after a write reports, beside what the written rows add up to; and that the
+    check's sum tells a table from one with a single cent more in one row."""
+    trips, path = raw_trips(spark, sf_dir), scratch_path(spark, "verified")
+    report = snapshots.write_verified(trips, path)
+    written = spark.read.parquet(path)
+    first = trips.agg(F.min("event_id")).first()[0]
+    changed = F.when(F.col("event_id") == first, F.col("tip_amount") + 0.01).otherwise(F.col("tip_amount"))
+    other = written.withColumn("tip_amount", changed)
+    sums = [frame.agg(snapshots.checksum(frame)).first()[0] for frame in (written, other)]
+    return flat(
+        written.agg(
+            F.lit(report.rows_given).alias("rows_given"),
+            F.lit(report.rows_written).alias("rows_written"),
+            F.lit(report.good).alias("good"),
+            F.lit(sums[0] == sums[1]).alias("same_if_changed"),
+            F.countDistinct("event_id").alias("events"),
+            F.sum(F.col("total_amount").cast("decimal(18,6)")).alias("revenue"),
+        )
+    )
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
@@ -466,23 +531,23 @@ def insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zones named after their first trip; those of one borough are held already, under its name."""
     held = zones(spark, sf_dir).filter("borough = 'ASIA'")
     held = held.selectExpr("CAST(location_id AS BIGINT) AS location_id", "borough AS label")
-    trips = raw_trips(spark, sf_dir).filter(F.col("DOLocationID").isNotNull())
-    batch = trips.select(
+    batch = raw_trips(spark, sf_dir).select(
         F.col("DOLocationID").cast("bigint").alias("location_id"),
         F.concat(F.lit("trip "), F.col("event_id")).alias("label"),
         "event_id",
     )
-    return upsert.insert_or_ignore(held, batch, ["location_id"], ["event_id"])
+    return flat(upsert.insert_or_ignore(held, batch, ["location_id"], ["event_id"]), "location_id")
 
 
 @query
 def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips landed, then loaded year by year: per pickup day, with the identities told apart."""
+    """Trips landed, then loaded year by year, one month of them twice: per pickup day, with the
+    identities told apart."""
     root = scratch_path(spark, "warehouse")
     tables.recreate_tables(spark, root, ["fact_trip"])
     source = landed(spark, sf_dir)
-    for folder_year in (2023, 2024):
-        loading.load_facts(spark, source, root, YEAR, folder_year)
+    for folder_year, chosen in ((2023, None), (2024, [3]), (2024, None)):
+        loading.load_facts(spark, source, root, YEAR, folder_year, months=chosen)
     loaded = tables.read_table(spark, root, "fact_trip")
     # One row per identity first, so that one given twice would show as too few.
     per_identity = loaded.groupBy("trip_id").agg(
@@ -501,7 +566,7 @@ def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def arrivals_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files loaded as they arrive; the second run finds nothing new."""
     source, work = scratch_path(spark, "landed"), scratch_path(spark, "arrivals")
-    trips = landing.uniform(monthly(raw_trips(spark, sf_dir)), "year", "month")
+    trips = landing.uniform(monthly(raw_trips(spark, sf_dir)).drop("event_id"), "year", "month")
     months.append_month(trips, source)
     for _ in range(2):
         loading_run = arrivals.load_arrivals(
@@ -524,20 +589,21 @@ def error_per_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("vendor_id")
         .agg(
             F.count(F.lit(1)).alias("trips"),
-            F.round(metrics.rmse(F.col("total_amount"), predicted), 4).alias("rmse"),
+            metrics.rmse(F.col("total_amount"), predicted).alias("rmse"),
         )
     )
 
 
 @query
 def rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(error_per_vendor(spark, sf_dir))
+    return flat(error_per_vendor(spark, sf_dir).withColumn("rmse", F.round("rmse", 4)))
 
 
 @query
 def model_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = error_per_vendor(spark, sf_dir)
-    return flat(errors.select("vendor_id", "rmse", metrics.passes_gate(F.col("rmse")).alias("saved")))
+    saved = metrics.passes_gate(F.col("rmse")).alias("saved")
+    return flat(errors.select("vendor_id", F.round("rmse", 4).alias("rmse"), saved))
 
 
 @query
@@ -546,26 +612,83 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
 
 
+@query
+def snapshot_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of the landed trips, one of them by way of more files: their rows have the same
+    keys, and so fall on the same sides."""
+    sides = []
+    for name in ("one", "two"):
+        out = scratch_path(spark, f"snapshot_{name}")
+        training.snapshot(spark, landed(spark, sf_dir), out, 2024, range(1, 13))
+        rows = training.read_snapshot(spark, out)
+        rows = rows.repartition(7) if name == "two" else rows
+        learn, test = forest.split(rows, "row_key")
+        sides.append(learn.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True))))
+    one, two = (side.select("row_key", F.col("is_test").alias(f"test_{n}")) for n, side in enumerate(sides))
+    both = one.join(two, "row_key", "full")
+    moved = F.sum((~F.col("test_0").eqNullSafe(F.col("test_1"))).cast("int"))
+    return flat(
+        both.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.countDistinct("row_key").alias("keys"),
+            moved.alias("moved"),
+            F.avg(F.col("test_0").cast("int")).between(0.1, 0.3).alias("about_a_fifth"),
+        )
+    )
+
+
 def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training columns, stored: fitting reads them many times."""
-    path = scratch_path(spark, "training")
-    snapshots.write_parquet(columns.training_columns(raw_trips(spark, sf_dir), "event_id"), path)
-    return spark.read.parquet(path)
+
+    def write(path: str) -> None:
+        snapshots.write_parquet(columns.training_columns(raw_trips(spark, sf_dir), "event_id"), path)
+
+    return spark.read.parquet(stored(spark, sf_dir, "training", write))
+
+
+_TRAINED: dict[str, training.Trained] = {}
 
 
 def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.Trained, str]:
-    frame, path = training_frame(spark, sf_dir), scratch_path(spark, "model")
-    return frame, training.train(frame, "event_id", path, QUERY_TREES, QUERY_DEPTH, QUERY_MEMORY_MB), path
+    """The stored frame, and the model with its own settings, fitted to it once per application."""
+    frame = training_frame(spark, sf_dir)
+
+    def write(path: str) -> None:
+        memory_mb = fitting_memory(spark, frame.count())
+        result = training.train(frame, "event_id", f"{path}/model", memory_mb=memory_mb)
+        if not result.saved:
+            result.model.write().overwrite().save(f"{path}/model")
+        _TRAINED[path] = result
+        spark.range(1).write.mode("append").parquet(path)  # leaves the mark of a finished write
+
+    path = stored(spark, sf_dir, "forest", write)
+    return frame, _TRAINED[path], f"{path}/model"
+
+
+def label_range(frame: DataFrame) -> DataFrame:
+    """The least and the largest label, as one row."""
+    return frame.agg(F.min(schema.LABEL).alias("_low"), F.max(schema.LABEL).alias("_high"))
+
+
+def in_range(predicted: DataFrame, frame: DataFrame) -> DataFrame:
+    """Whether predictions lie within the labels, as averages of labels must, give or take rounding."""
+    low, high = label_range(frame).first()
+    return predicted.withColumn("in_range", F.col("prediction").between(low - 1e-6, high + 1e-6)).drop("prediction")
 
 
 @query
 def rf_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame, result, _ = trained(spark, sf_dir)
-    return frame.agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.lit(result.rmse).alias("rmse"),
-        F.lit(result.saved).alias("saved"),
-        F.stddev_pop(schema.LABEL).alias("label_spread"),
+    spread = F.stddev_pop(schema.LABEL)
+    return flat(
+        frame.agg(
+            F.count(F.lit(1)).alias("trips"),
+            F.count(schema.LABEL).alias("labelled"),
+            F.round(spread, 4).alias("label_spread"),
+            (F.lit(result.rmse) < spread / 2).alias("better_than_half_the_spread"),
+            F.lit(result.saved == (result.rmse < metrics.MAX_RMSE)).alias("saved_if_good"),
+            F.lit(result.model.stages[-1].getNumTrees).alias("trees"),
+        )
     )
 
 
@@ -573,24 +696,31 @@ def rf_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame, result, _ = trained(spark, sf_dir)
     _, test = forest.split(columns.features_and_label(frame, "event_id"), "event_id")
-    return result.model.transform(test).select("event_id", "label", "prediction")
+    return in_range(result.model.transform(test).select("event_id", "label", "prediction"), frame)
 
 
 @query
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of the model and of its saved copy, side by side."""
+    """Predictions of the model and of its saved copy, compared per vendor's trips."""
     frame, result, path = trained(spark, sf_dir)
     _, test = forest.split(columns.features_and_label(frame, "event_id"), "event_id")
     reloaded = forest.load(path)
     own = result.model.transform(test).select("event_id", *schema.FEATURES, F.col("prediction").alias("own"))
-    both = forest.score(reloaded, own, "event_id", "own")
-    return both.select("event_id", (F.col("own") == F.col("prediction")).alias("same_prediction"))
+    both = forest.score(reloaded, own, "event_id", "own", "passenger_count")
+    return flat(
+        both.groupBy("passenger_count").agg(
+            F.count(F.lit(1)).alias("trips"),
+            F.countDistinct("event_id").alias("events"),
+            F.sum((F.col("own") != F.col("prediction")).cast("int")).alias("differing"),
+        ),
+        "passenger_count",
+    )
 
 
 @query
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame, _, path = trained(spark, sf_dir)
-    return training.score_table(path, frame, "event_id").fillna("", ["input_problem"])
+    return in_range(training.score_table(path, frame, "event_id").fillna("", ["input_problem"]), frame)
 
 
 @query

@@ -345,7 +345,7 @@ FROM conformed""",
     "assign_trip_id": with_(TRIPS, FACT)
     + """SELECT event_id, row_number() OVER (ORDER BY event_id) AS trip_id,
   CAST(total_amount AS DOUBLE) AS total_amount FROM fact""",
-    "pk_audit": with_(ZONES)
+    "pk_audit": with_(TRIPS, FACT, ZONES)
     + """SELECT 'lineitem' AS table_name, 'primary_key' AS constraint_name,
   l_orderkey || '|' || l_linenumber AS key_value, count(*) AS row_count
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
@@ -356,8 +356,13 @@ UNION ALL
 SELECT 'events', 'primary_key', CAST(event_id AS VARCHAR), count(*) FROM events GROUP BY event_id
 HAVING count(*) > 1
 UNION ALL
+SELECT 'fact_badly', 'primary_key', CAST(event_id // 500 AS VARCHAR), count(*) FROM fact GROUP BY event_id // 500
+HAVING count(*) > 1
+UNION ALL
 SELECT 'dim_zone', 'unique', zone_name, count(*) FROM zones GROUP BY zone_name HAVING count(*) > 1""",
-    "not_null_audit": with_(TRIPS, CONFORMED)
+    "not_null_audit": with_(
+        TRIPS, CONFORMED, VENDORS, RATECODES, PAYMENT_TYPES, FLAGS, ZONES, YEAR_CALENDAR, SECONDS
+    )
     + union(
         *[
             f"SELECT 'raw_trip' AS table_name, '{shown}' AS column_name, count(*) - count({c}) AS missing FROM trips"
@@ -382,12 +387,27 @@ SELECT 'dim_zone', 'unique', zone_name, count(*) FROM zones GROUP BY zone_name H
             f"SELECT 'fact_trip', '{c}', count(*) - count({c}) FROM conformed"
             for c in (*_FACT_KEYS, "store_and_fwd_flag", "pickup_datetime", "dropoff_datetime", *MEASURES)
         ],
+        *[
+            f"SELECT '{table}', '{c}', count(*) - count(\"{c}\") FROM {source}"
+            for table, source, required in [
+                ("dim_vendor", "vendors", ("vendor_id", "vendor_name")),
+                ("dim_ratecode", "ratecodes", ("ratecode_id", "ratecode_label")),
+                ("dim_payment_type", "payment_types", ("payment_type_id",)),
+                ("dim_store_and_fwd", "flags", ("store_and_fwd_flag", "label")),
+                ("dim_zone", "zones", ("location_id",)),
+                ("dim_date", "days", ("date_key", "full_date", "year", "month", "day", "day_of_week", "is_weekend")),
+                ("dim_time", "seconds", ("time_key", "full_time", "hour", "minute", "second")),
+            ]
+            for c in required
+        ],
     ),
     "check_audit": with_(
         TRIPS,
         CONFORMED,
+        FLAGS,
+        YEAR_CALENDAR,
         calendar(
-            "days",
+            "pickup_days",
             "(SELECT min(CAST(pickup AS DATE)) FROM trips)",
             "(SELECT max(CAST(pickup AS DATE)) FROM trips)",
         ),
@@ -406,9 +426,16 @@ SELECT 'dim_zone', 'unique', zone_name, count(*) FROM zones GROUP BY zone_name H
                     "dropoff_not_before_pickup",
                     "dropoff_datetime >= pickup_datetime",
                 ),
-                ("dim_date", "days", "month_in_range", '"month" BETWEEN 1 AND 12'),
-                ("dim_date", "days", "day_in_range", '"day" BETWEEN 1 AND 31'),
-                ("dim_date", "days", "day_of_week_in_range", "day_of_week BETWEEN 1 AND 7"),
+                ("dim_store_and_fwd", "flags", "flag_is_y_or_n", "store_and_fwd_flag IN ('Y', 'N')"),
+                *[
+                    (table, source, name, condition)
+                    for table, source in (("dim_date", "days"), ("pickup_calendar", "pickup_days"))
+                    for name, condition in (
+                        ("month_in_range", '"month" BETWEEN 1 AND 12'),
+                        ("day_in_range", '"day" BETWEEN 1 AND 31'),
+                        ("day_of_week_in_range", "day_of_week BETWEEN 1 AND 7"),
+                    )
+                ],
                 ("dim_time", "seconds", "hour_in_range", '"hour" BETWEEN 0 AND 23'),
                 ("dim_time", "seconds", "minute_in_range", '"minute" BETWEEN 0 AND 59'),
                 ("dim_time", "seconds", "second_in_range", '"second" BETWEEN 0 AND 59'),
@@ -426,6 +453,12 @@ SELECT 'dim_zone', 'unique', zone_name, count(*) FROM zones GROUP BY zone_name H
     # sinks
     "append_month": with_(TRIPS, _MONTH_TRIPS)
     + """SELECT "year", "month", CAST(2 * count(*) AS BIGINT) AS trips FROM monthly GROUP BY "year", "month" """,
+    "land_files_month": with_(TRIPS)
+    + """SELECT CAST(2024 AS BIGINT) AS "year", CAST(event_id % 3 + 1 AS BIGINT) AS "month", count(*) AS trips,
+  count(DISTINCT event_id) AS events, CAST(sum(passenger_count) AS DOUBLE) AS passengers,
+  CAST(sum(CAST(total_amount AS DECIMAL(10,2))) AS DOUBLE) AS revenue,
+  CAST(sum(CASE WHEN event_id % 3 = 1 AND event_id // 3 % 2 = 1 THEN 0 ELSE 0.75 END) AS DOUBLE) AS cbd_fees
+FROM trips GROUP BY event_id % 3""",
     "replace_month": with_(TRIPS, _MONTH_TRIPS)
     + """SELECT "year", "month", count(*) AS trips,
   sum(CASE WHEN "year" = 2024 THEN 6.25 ELSE 0 END)::DOUBLE AS tolls
@@ -435,17 +468,18 @@ FROM monthly GROUP BY "year", "month" """,
     "snapshot_parquet": _SNAPSHOT,
     "snapshot_csv": _SNAPSHOT,
     "write_verify": with_(TRIPS)
-    + "SELECT count(*) AS rows_given, count(*) AS rows_written, true AS same_schema, true AS same_content FROM trips",
+    + """SELECT count(*) AS rows_given, count(*) AS rows_written, true AS good, false AS same_if_changed,
+  count(DISTINCT event_id) AS events, CAST(sum(CAST(total_amount AS DECIMAL(18,6))) AS DOUBLE) AS revenue FROM trips""",
     "truncate_reload": with_(TRIPS, FACT, f"sizes AS ({_TABLE_ROWS})")
     + """SELECT table_name, CAST(n AS BIGINT) AS rows_before, CAST(CASE table_name WHEN 'fact_trip' THEN 0 ELSE n END
   AS BIGINT) AS rows_after FROM sizes""",
     "recreate_tables": with_(TRIPS, FACT, f"sizes AS ({_TABLE_ROWS})")
     + "SELECT table_name, CAST(n AS BIGINT) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM sizes",
     "insert_or_ignore": with_(TRIPS, ZONES)
-    + """SELECT CAST(location_id AS BIGINT) AS location_id, borough AS label FROM zones WHERE borough = 'ASIA'
+    + """SELECT CAST(location_id AS DOUBLE) AS location_id, borough AS label FROM zones WHERE borough = 'ASIA'
 UNION ALL
-SELECT CAST(DOLocationID AS BIGINT), 'trip ' || min(event_id) FROM trips
-WHERE DOLocationID NOT IN (SELECT location_id FROM zones WHERE borough = 'ASIA') GROUP BY 1""",
+SELECT CAST(DOLocationID AS DOUBLE), 'trip ' || min(event_id) FROM trips
+WHERE DOLocationID IS NULL OR DOLocationID NOT IN (SELECT location_id FROM zones WHERE borough = 'ASIA') GROUP BY 1""",
     "warehouse_load": with_(TRIPS, FACT)
     + """SELECT CAST(pu_date_key AS BIGINT) AS pu_date_key, count(*) AS trips, count(*) AS identities,
   CAST(sum(total_amount) AS DOUBLE) AS revenue FROM fact GROUP BY 1""",
@@ -457,15 +491,31 @@ WHERE DOLocationID NOT IN (SELECT location_id FROM zones WHERE borough = 'ASIA')
     + "SELECT CAST(vendor_id AS BIGINT) AS vendor_id, trips, round(rmse, 4) AS rmse FROM errors",
     "model_gate": with_(TRIPS, FACT, _VENDOR_ERROR)
     + """SELECT CAST(vendor_id AS BIGINT) AS vendor_id, round(rmse, 4) AS rmse,
-  round(rmse, 4) < 10 AS saved FROM errors""",
+  rmse < 10 AS saved FROM errors""",
     "train_test_split": f"SELECT event_id, {_SPLIT} AS is_test FROM events",
-    "model_roundtrip": f"SELECT event_id, true AS same_prediction FROM events WHERE {_SPLIT}",
+    "snapshot_split": with_(TRIPS, _MONTH_TRIPS)
+    + """SELECT count(*) AS rows, count(*) AS keys, CAST(0 AS BIGINT) AS moved, true AS about_a_fifth
+FROM monthly WHERE "year" = 2024""",
+    # Of a fitted model: what must hold whatever it predicts.
+    "rf_train_metrics": with_(TRIPS)
+    + """SELECT count(*) AS trips, count(total_amount) AS labelled, round(stddev_pop(total_amount), 4) AS label_spread,
+  true AS better_than_half_the_spread, true AS saved_if_good, CAST(100 AS BIGINT) AS trees FROM trips""",
+    "rf_predict": with_(TRIPS) + f"SELECT event_id, total_amount AS label, true AS in_range FROM trips WHERE {_SPLIT}",
+    "model_roundtrip": with_(TRIPS)
+    + f"""SELECT CAST(passenger_count AS DOUBLE) AS passenger_count, count(*) AS trips, count(DISTINCT event_id) AS events,
+  CAST(0 AS BIGINT) AS differing FROM trips WHERE {_SPLIT} GROUP BY 1""",
+    "batch_score": with_(TRIPS)
+    + "SELECT event_id, CASE "
+    + " ".join(f"WHEN NOT coalesce({condition}, false) THEN '{c}_in_range'" for c, condition in _MODEL_RANGES)
+    + " ELSE '' END AS input_problem, true AS in_range FROM trips",
     "score_input_check": with_(TRIPS)
     + "SELECT event_id, CASE "
     + " ".join(f"WHEN NOT coalesce({condition}, false) THEN '{c}_in_range'" for c, condition in _MODEL_RANGES)
     + " ELSE '' END AS input_problem FROM trips",
     # implied
-    "star_view": with_(TRIPS, FACT, VENDORS, RATECODES, PAYMENT_TYPES, FLAGS, ZONES, YEAR_CALENDAR, SECONDS)
+    "star_view": with_(TRIPS, FACT, VENDORS, RATECODES, PAYMENT_TYPES, FLAGS, ZONES, YEAR_CALENDAR, SECONDS).replace(
+        " AS (\n", " AS MATERIALIZED (\n"
+    ).replace("fact AS (", "fact AS MATERIALIZED (")
     + """SELECT event_id, vendor_name, ratecode_label, payment_type_label, flags.label AS store_and_fwd_label,
   pz.borough AS pu_borough, pz.zone_name AS pu_zone_name, dz.zone_name AS do_zone_name,
   dz.service_zone AS do_service_zone, CAST(pd.full_date AS VARCHAR) AS pu_full_date,

@@ -1,24 +1,47 @@
-"""Load the fact table from the landed months."""
+"""Fill the warehouse from the landed months, and audit it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Iterable
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterline import schema
+from meterline.operators import audits
 from meterline.operators.columns import complete_raw
 from meterline.operators.dimensions import seed_dimensions
 from meterline.operators.fact import fact_rows
 from meterline.operators.numbering import next_id, sparse_ids
-from meterline.operators.rules import reject, trip_rules
+from meterline.operators.rules import count_violations, reject, trip_rules
 from meterline.sinks.jdbc import append_jdbc
-from meterline.sinks.tables import append_table, each_table, insert_missing, read_table
-from meterline.sources.trips import read_months, read_year
+from meterline.sinks.months import replace_month
+from meterline.sinks.tables import (
+    append_log,
+    append_table,
+    each_table,
+    ensure_tables,
+    insert_missing,
+    read_log,
+    read_table,
+    truncate_and_reload,
+)
+from meterline.sources.trips import landed_months, read_months
 
 
 def load_dimensions(spark: SparkSession, root: str, zones: DataFrame, year: int) -> None:
-    """Add the dimension rows the tables under `root` lack; rows already there stay."""
+    """Fill the dimensions under `root`, made first where they are missing.
+
+    Zones are replaced by those given, as they come from a file that may have been corrected.
+    The others get the rows they lack; rows already there stay.
+    """
+    ensure_tables(spark, root)
     seeds = seed_dimensions(spark, zones, year)
-    each_table(lambda name: insert_missing(spark, root, name, seeds[name]), seeds)
+    each_table(lambda name: insert_missing(spark, root, name, seeds[name]), [n for n in seeds if n != "dim_zone"])
+    truncate_and_reload(spark, root, {"dim_zone": seeds["dim_zone"]})
 
 
 def load_facts(
@@ -28,26 +51,92 @@ def load_facts(
     year: int,
     folder_year: int | None = None,
     layout: T.StructType | None = None,
-) -> None:
-    """Append the accepted trips of `year` to fact_trip, with identities that go on from its last.
+    months: Iterable[int] | None = None,
+    rejects: str | None = None,
+) -> list[int]:
+    """Append the accepted trips of `year` in the chosen landed months (all if none are named) to
+    fact_trip, and return the months loaded. A month that was loaded before is passed over.
 
     They are read from that year's folders, or from those of `folder_year`, as a file may
     hold trips of another year; `layout` as for `read_months`. Nothing is shuffled or
-    written twice: trips are judged, numbered and written where they are read.
+    written twice: trips are judged, numbered and written where they are read. The trips
+    turned away go to `rejects`, if given, each month's in place of what it held before.
+
+    A log beside the tables holds each month's load and the identities it used, so the next
+    load goes on from there without a look at the facts. A load that ended half-way is
+    settled by the next: if its identities are in the facts it counts as done.
     """
-    facts = fact_rows(read_months(spark, landed, folder_year or year, layout=layout), year)
-    start = next_id(read_table(spark, root, "fact_trip"))
-    append_table(sparse_ids(facts, start=start), root, "fact_trip")
+    folder_year = folder_year or year
+    settle_loads(spark, root)
+    log = read_log(spark, root)
+    done = {(row["folder_year"], row["month"]) for row in log.filter(F.col("year") == year).collect()}
+    wanted = sorted(set(months)) if months is not None else landed_months(spark, landed, folder_year)
+    fresh = [month for month in wanted if (folder_year, month) not in done]
+    if not fresh:
+        return []
+    raw = read_months(spark, landed, folder_year, fresh, layout)
+    if rejects:
+        replace_month(reject(complete_raw(raw), trip_rules(year)), rejects)
+
+    start = log.agg(F.max("next_id")).first()[0] or next_id(read_table(spark, root, "fact_trip"))
+    entries = [(uuid.uuid4().hex, year, folder_year, month, start, None) for month in fresh]
+    append_log(spark, root, entries)
+    seen = Observation()
+    facts = sparse_ids(fact_rows(raw, year), start=start)
+    append_table(facts.observe(seen, F.max("trip_id").alias("last")), root, "fact_trip")
+    following = (seen.get["last"] or start - 1) + 1
+    append_log(spark, root, [(*entry[:-1], following) for entry in entries])
+    return fresh
+
 
+def settle_loads(spark: SparkSession, root: str) -> None:
+    """Enter the end of every load whose identities are in the facts but that never said it ended."""
+    log = read_log(spark, root, ended=False)
+    ended = read_log(spark, root).select("load")
+    for row in log.join(ended, "load", "left_anti").collect():
+        # Files and their row groups state the range of their ids, so few of them are read.
+        later = read_table(spark, root, "fact_trip").filter(F.col("trip_id") >= row["first_id"])
+        last = later.agg(F.max("trip_id")).first()[0]
+        if last is not None:
+            append_log(spark, root, [(*row[:-1], last + 1)])
 
-def export_facts(spark: SparkSession, landed: str, year: int, **connection) -> None:
+
+def export_facts(
+    spark: SparkSession,
+    landed: str,
+    year: int,
+    months: Iterable[int] | None = None,
+    first_id: int | None = None,
+    **connection,
+) -> None:
     """Append the accepted trips of `year` to a database table, which numbers them itself.
 
-    `connection` is what `sinks.jdbc.jdbc_writer` takes.
+    With `first_id` they are numbered here, from it up, so that the table's primary key
+    refuses rows that a retried task sends again. `connection` is what
+    `sinks.jdbc.jdbc_writer` takes.
     """
-    append_jdbc(fact_rows(read_year(spark, landed, year), year), **connection)
+    facts = fact_rows(read_months(spark, landed, year, months), year)
+    append_jdbc(facts if first_id is None else sparse_ids(facts, start=first_id), **connection)
 
 
-def rejected_trips(spark: SparkSession, landed: str, year: int) -> DataFrame:
+def rejected_trips(spark: SparkSession, landed: str, year: int, months: Iterable[int] | None = None) -> DataFrame:
     """The trips `load_facts` turns away, each with its first failing rule."""
-    return reject(complete_raw(read_year(spark, landed, year)), trip_rules(year))
+    return reject(complete_raw(read_months(spark, landed, year, months)), trip_rules(year))
+
+
+def audit_warehouse(spark: SparkSession, root: str) -> DataFrame:
+    """(table_name, finding, row_count) of all that breaks a declared constraint of the eight tables."""
+    tables = {name: read_table(spark, root, name) for name in schema.TABLES}
+    keys = audits.table_key_audit(tables).selectExpr(
+        "table_name", "concat(constraint_name, ' ', key_value) AS finding", "row_count"
+    )
+    found = [keys]
+    for name, df in tables.items():
+        missing = audits.missing_values(df, audits.required_columns(schema.TABLES[name]), name)
+        found.append(missing.selectExpr("table_name", "concat('missing ', column_name)", "missing"))
+    for name, checks in audits.table_checks().items():
+        broken = count_violations(tables[name], checks, name)
+        found.append(broken.selectExpr("table_name", "concat('check ', check_name)", "violations"))
+    lost = audits.orphans(tables["fact_trip"], tables)
+    found.append(lost.selectExpr("'fact_trip'", "concat('reference ', foreign_key, ' ', key_value)", "row_count"))
+    return reduce(DataFrame.union, found).filter("row_count > 0")

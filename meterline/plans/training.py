@@ -7,7 +7,6 @@ from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from meterline.operators import forest
 from meterline.operators.columns import features_and_label, training_columns
@@ -27,10 +26,14 @@ class Trained(NamedTuple):
 
 
 def snapshot(spark: SparkSession, landed: str, out: str, year: int = YEAR, months: Iterable[int] = MONTHS) -> None:
-    """Write the training columns of the chosen months as Parquet and CSV."""
-    columns = training_columns(read_months(spark, landed, year, months))
+    """Write the training columns of the chosen months as Parquet and CSV.
+
+    The Parquet copy has a `row_key` besides, the landed file and row of each trip: trips have
+    no key, and a place in the snapshot would be another one in the next.
+    """
+    columns = training_columns(read_months(spark, landed, year, months, place="row_key"), "row_key")
     write_parquet(columns, f"{out}/training.parquet")
-    write_csv(spark.read.parquet(f"{out}/training.parquet"), f"{out}/training.csv")
+    write_csv(spark.read.parquet(f"{out}/training.parquet").drop("row_key"), f"{out}/training.csv")
 
 
 def train(
@@ -40,15 +43,19 @@ def train(
     trees: int = forest.TREES,
     depth: int = forest.DEPTH,
     memory_mb: int = 256,
+    bins: int = forest.BINS,
+    partitions: int = forest.PARTITIONS,
 ) -> Trained:
-    """Fit on four fifths of `frame`, measure on the rest, save if good enough.
+    """Fit on four fifths of the labelled rows of `frame`, measure on the rest, save if good enough.
 
     `frame` has the features, the label and a row `key`. Fitting passes over it many
-    times: give it a stored frame such as a snapshot, not one that is costly to compute.
+    times: give it a stored frame such as a snapshot, not one that is costly to compute. Rows
+    without a label are left out of both sides. The model depends on the rows, their keys and
+    the settings, not on the machine.
     """
     rows = forest.labelled(features_and_label(frame, key))
     learn, test = forest.split(rows, key)
-    model = forest.forest(trees, depth, memory_mb=memory_mb).fit(forest.spread(learn))
+    model = forest.forest(trees, depth, memory_mb=memory_mb, bins=bins).fit(forest.spread(learn, key, partitions))
     error = forest.evaluate(model, test)
     return Trained(model, error, forest.save_if_good(model, error, model_path))
 
@@ -60,7 +67,5 @@ def score_table(model_path: str, df: DataFrame, *keep: str) -> DataFrame:
 
 
 def read_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """The Parquet snapshot with a `row_key` to split by: trips have no key, but each row has
-    its place in its file. Copies of a trip fall on either side, as single rows do."""
-    rows = spark.read.parquet(f"{out}/training.parquet")
-    return rows.select("*", F.xxhash64("_metadata.file_name", "_metadata.row_index").alias("row_key"))
+    """The Parquet snapshot with its `row_key`. Copies of a trip fall on either side, as single rows do."""
+    return spark.read.parquet(f"{out}/training.parquet")

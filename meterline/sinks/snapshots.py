@@ -34,10 +34,10 @@ def write_verified(df: DataFrame, path: str) -> WriteReport:
     The source is counted while it is written, so it is computed once.
     """
     given = Observation()
-    count, checksum = F.count(F.lit(1)).alias("rows"), _checksum(df)
-    df.observe(given, count, checksum).write.mode("overwrite").parquet(path)
+    count = F.count(F.lit(1)).alias("rows")
+    df.observe(given, count, checksum(df)).write.mode("overwrite").parquet(path)
     written = df.sparkSession.read.parquet(path)
-    found = written.agg(count, _checksum(written)).first()
+    found = written.agg(count, checksum(written)).first()
     return WriteReport(
         given.get["rows"],
         found["rows"],
@@ -51,7 +51,8 @@ def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     return df.limit(rows)
 
 
-def _checksum(df: DataFrame):
+def checksum(df: DataFrame):
+    """An aggregate over all values of all rows, whatever their order."""
     # A sum does not depend on row order; 38 digits hold it for any number of rows.
     return F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("checksum")
 

@@ -10,6 +10,19 @@ from pyspark.sql import types as T
 
 from meterline import schema
 from meterline.operators.upsert import new_rows
+from meterline.sources.trips import exists
+
+# What each load of a landed month began with and, in a second row, what it ended with.
+LOAD_LOG = T.StructType(
+    [
+        T.StructField("load", T.StringType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("folder_year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+        T.StructField("first_id", T.LongType()),
+        T.StructField("next_id", T.LongType()),
+    ]
+)
 
 
 def typed(df: DataFrame, table: T.StructType) -> DataFrame:
@@ -22,13 +35,34 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def recreate_tables(spark: SparkSession, root: str, names: Iterable[str] = tuple(schema.TABLES)) -> None:
-    """Leave each named table present and empty, with its declared types."""
+    """Leave each named table present and empty, with its declared types; with the facts their log."""
+    names = list(names)
 
     def empty(name: str) -> None:
         nothing = spark.createDataFrame([], schema.TABLES[name])
         nothing.write.mode("overwrite").parquet(_path(root, name))
 
     each_table(empty, names)
+    if "fact_trip" in names:
+        spark.createDataFrame([], LOAD_LOG).write.mode("overwrite").parquet(_path(root, "load_log"))
+
+
+def ensure_tables(spark: SparkSession, root: str) -> None:
+    """Make the tables that are missing under `root`."""
+    recreate_tables(spark, root, [name for name in schema.TABLES if not exists(spark, _path(root, name))])
+
+
+def read_log(spark: SparkSession, root: str, ended: bool = True) -> DataFrame:
+    """The loads that have ended, or all that have begun."""
+    if not exists(spark, _path(root, "load_log")):
+        return spark.createDataFrame([], LOAD_LOG)
+    log = spark.read.schema(LOAD_LOG).parquet(_path(root, "load_log"))
+    return log.filter(f"next_id IS {'NOT ' if ended else ''}NULL")
+
+
+def append_log(spark: SparkSession, root: str, rows: list[tuple]) -> None:
+    log = spark.createDataFrame(rows, LOAD_LOG).coalesce(1)
+    log.write.mode("append").parquet(_path(root, "load_log"))
 
 
 def each_table(work: Callable[[str], None], names: Iterable[str]) -> None:

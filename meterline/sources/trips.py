@@ -56,6 +56,7 @@ def read_months(
     year: int,
     months: Iterable[int] | None = None,
     layout: T.StructType | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """The chosen months (all if none are named) with `year` and `month` columns.
 
@@ -68,11 +69,15 @@ def read_months(
 
     With a `layout` the files are not asked: it is the schema of them all, missing columns
     read as NULL, and no footer is opened before the scan. Use it on a tree whose types are
-    known, such as one landed by `plans.landing`.
+    known, such as one that `plans.landing` landed with one layout, which turns away files
+    that lack a column.
+
+    `place` adds a column of that name: a hash of the landed file and the row in it, which
+    stays the same however often and in whatever order the tree is read.
     """
     folders = _month_folders(spark, root, year, months)
     if layout is not None:
-        return _read_as(spark, root, layout, folders, layout)
+        return _read_as(spark, root, layout, folders, layout, place)
     groups: dict[T.StructType, list[str]] = {}
     # A year has few folders; asking for their layouts side by side hides the wait for each.
     with ThreadPoolExecutor(max_workers=min(len(folders), 12)) as side_by_side:
@@ -80,7 +85,7 @@ def read_months(
             for found, paths in layouts:
                 groups.setdefault(found, []).extend(paths)
     common = widest(list(groups))
-    parts = [_read_as(spark, root, found, paths, common) for found, paths in groups.items()]
+    parts = [_read_as(spark, root, found, paths, common, place) for found, paths in groups.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -125,9 +130,14 @@ def _month_folders(spark: SparkSession, root: str, year: int, months: Iterable[i
     return found
 
 
-def exists(spark: SparkSession, folder: str) -> bool:
-    """Whether a write into `folder` was finished."""
-    return bool(_matches(spark, f"{folder}/_SUCCESS"))
+def exists(spark: SparkSession, folder: str, whole: bool = True) -> bool:
+    """Whether a write into `folder` was finished; without `whole`, whether it is there."""
+    return bool(_matches(spark, f"{folder}/_SUCCESS" if whole else folder))
+
+
+def landed_months(spark: SparkSession, root: str, year: int) -> list[int]:
+    """The months of `year` that have a folder under `root`."""
+    return sorted({int(folder.rstrip("/").rsplit("month=", 1)[1]) for folder in _month_folders(spark, root, year, None)})
 
 
 def _matches(spark: SparkSession, pattern: str) -> list[str]:
@@ -162,10 +172,24 @@ def _without_partitions(layout: T.StructType) -> T.StructType:
 
 
 def _read_as(
-    spark: SparkSession, root: str, layout: T.StructType, paths: list[str], common: T.StructType
+    spark: SparkSession,
+    root: str,
+    layout: T.StructType,
+    paths: list[str],
+    common: T.StructType,
+    place: str | None = None,
 ) -> DataFrame:
     df = spark.read.schema(layout).option("basePath", root).parquet(*paths)
-    held = {field.name.lower(): field for field in layout}
+    kept = ["year", "month"]
+    if place:
+        df = df.withColumn(place, F.xxhash64("year", "month", "_metadata.file_name", "_metadata.row_index"))
+        kept.append(place)
+    return as_layout(df, common, *kept)
+
+
+def as_layout(df: DataFrame, common: T.StructType, *keep: str) -> DataFrame:
+    """The columns of `common`, missing ones NULL, with its names and types; and `keep`."""
+    held = {field.name.lower(): field for field in df.schema}
     columns = []
     for field in common:
         mine, kind = held.get(field.name.lower()), field.dataType.simpleString()
@@ -175,4 +199,4 @@ def _read_as(
             columns.append(f"`{mine.name}` AS `{field.name}`")
         else:
             columns.append(f"CAST(`{mine.name}` AS {kind}) AS `{field.name}`")
-    return df.selectExpr(*columns, "year", "month")
+    return df.selectExpr(*columns, *keep)

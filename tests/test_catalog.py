@@ -3,12 +3,12 @@
 import pytest
 
 from __spark_entry__ import entry
-from meterline.plans.catalog import QUERIES
+from meterline.plans.catalog import QUERIES, fitting_memory, trained
 from meterline.plans.catalog_sql import SQL
 from tools.compare import oracle, same
 
 SF_DIR = "/root/testdata/sf0.001"
-FITTED = {"rf_train_metrics", "rf_predict", "batch_score"}
+
 
 
 @pytest.fixture(scope="module")
@@ -16,9 +16,8 @@ def duck():
     return oracle(SF_DIR)
 
 
-def test_every_query_but_those_of_a_fitted_model_has_sql():
-    assert set(QUERIES) - set(SQL) == FITTED
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -54,9 +53,12 @@ def test_known_counts(spark):
 
 
 def test_fitted_model(spark):
-    metrics = QUERIES["rf_train_metrics"](spark, SF_DIR).first()
-    assert metrics["trips"] == 1000
-    assert metrics["rmse"] < metrics["label_spread"] / 2
-    assert metrics["saved"] == (metrics["rmse"] < 10)
-    predicted = QUERIES["rf_predict"](spark, SF_DIR).toPandas()
-    assert predicted["prediction"].between(predicted["label"].min() - 1, predicted["label"].max() + 1).all()
+    """The model's own settings, fitted once for all queries."""
+    frame, result, path = trained(spark, SF_DIR)
+    assert trained(spark, SF_DIR)[1] is result
+    regressor = result.model.stages[-1]
+    assert (regressor.getNumTrees, regressor.getMaxDepth(), regressor.getSeed()) == (100, 15, 42)
+    spread = frame.agg({"total_amount": "stddev_pop"}).first()[0]
+    assert result.rmse < spread / 2 and result.saved == (result.rmse < 10)
+    with pytest.raises(MemoryError):
+        fitting_memory(spark, 10**9)

@@ -10,7 +10,7 @@ from meterline.operators.metrics import passes_gate, rmse
 
 
 @pytest.mark.parametrize(
-    "packed, seconds", [(123456, 45296), (5, 5), (0, 0), (235959, 86399), (999999, 362439), (1234567, 45296)]
+    "packed, seconds", [(123456, 45296), (5, 5), (0, 0), (235959, 86399), (999999, 362439), (1234567, 45296), (-50, 50), (-5, 5), (-12345, -2175)]
 )
 def test_hhmmss(spark, packed, seconds):
     row = spark.range(1).selectExpr(f"{hhmmss_seconds(packed)} AS s", f"{hhmmss_interval(packed)} AS i").first()

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from meterline import schema
 from meterline.operators import forest
+from meterline.operators.columns import features_and_label
 from meterline.plans import training
 from meterline.sinks.months import append_month
 
@@ -62,13 +63,30 @@ def test_snapshot_is_read_back_with_a_key_per_row(spark, raw, tmp_path):
     append_month(raw({"fare_amount": 99.0}), landed, ("2025", "02"))
     training.snapshot(spark, landed, out)
     rows = training.read_snapshot(spark, out)
-    assert rows.columns == [*schema.FEATURES, schema.LABEL, "row_key"]
+    assert rows.columns == ["row_key", *schema.FEATURES, schema.LABEL]
     assert rows.count() == rows.select("row_key").distinct().count() == 50  # copies, each with its own key
     csv = spark.read.csv(f"{out}/training.csv", header=True, inferSchema=True)
     assert csv.columns == [*schema.FEATURES, schema.LABEL] and csv.count() == 50
 
 
-def test_stored_rows_are_spread_over_the_cores(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert forest.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
-    assert forest.spread(spark.range(10, numPartitions=cores + 3)).rdd.getNumPartitions() == cores + 3
+def test_the_model_does_not_depend_on_how_its_rows_are_laid_out(spark, fares, tmp_path):
+    predictions = []
+    for parts in (1, 7):
+        laid = fares.repartition(parts, "fare_amount")
+        result = training.train(laid, "trip", str(tmp_path / f"m{parts}"), trees=3, depth=4, partitions=3)
+        scored = result.model.transform(features_and_label(fares, "trip")).orderBy("trip")
+        predictions.append([row["prediction"] for row in scored.collect()])
+    assert predictions[0] == predictions[1]
+
+
+def test_two_snapshots_split_alike(spark, raw, tmp_path):
+    landed = str(tmp_path / "landed")
+    for month in ("01", "02"):
+        append_month(raw(*[{}] * 40).repartition(3), landed, ("2025", month))
+    sides = []
+    for name in ("one", "two"):
+        training.snapshot(spark, landed, str(tmp_path / name), 2025, [1, 2])
+        rows = training.read_snapshot(spark, str(tmp_path / name))
+        assert rows.select("row_key").distinct().count() == 80
+        sides.append({row["row_key"] for row in forest.split(rows, "row_key")[1].collect()})
+    assert sides[0] == sides[1] and 0 < len(sides[0]) < 80

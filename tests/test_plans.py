@@ -80,6 +80,11 @@ def test_star_joins_without_shuffling_the_facts(spark):
     assert "SortMergeJoin" not in text and "hashpartitioning" not in text
 
 
+def test_insert_or_ignore_sorts_no_batch(spark):
+    text = plan(QUERIES["insert_or_ignore"](spark, SF_DIR))
+    assert "HashAggregate" in text and "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
 def test_revenue_is_added_up_before_the_dates_are_joined(spark):
     text = plan(QUERIES["weekday_revenue"](spark, SF_DIR))
     assert text.index("Join") < text.index("partial_sum(total_amount")

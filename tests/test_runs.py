@@ -24,8 +24,13 @@ def test_raw_files_to_scores(spark, tmp_path, capsys):
 
     for _ in range(2):
         call("land", *tmp_path.glob("t_2024-*.parquet"), "--root", landed, "--one-layout")
-    call("seed", "--warehouse", warehouse, "--zones", tmp_path / "zones", "--year", 2024, "--recreate")
-    call("load", "--root", landed, "--warehouse", warehouse, "--year", 2024, "--one-layout")
+    call("seed", "--warehouse", warehouse, "--zones", tmp_path / "zones", "--year", 2024)
+    for months in ([1], [1, 2]):
+        call("load", "--root", landed, "--warehouse", warehouse, "--year", 2024, "--one-layout",
+             "--months", *months, "--rejects", tmp_path / "rejects")
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 2 * (1000 - 814)
+    call("audit", "--warehouse", warehouse, "--output", tmp_path / "audit")
+    assert spark.read.csv(str(tmp_path / "audit"), header=True).columns == ["table_name", "finding", "row_count"]
     assert read_table(spark, str(warehouse), "fact_trip").count() == 2 * 814
     assert read_table(spark, str(warehouse), "dim_date").count() == 367
 

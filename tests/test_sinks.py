@@ -56,20 +56,60 @@ def test_reload_empties_only_what_is_named(spark, raw, tmp_path):
     landed, root = str(tmp_path / "landed"), str(tmp_path / "warehouse")
     append_month(raw({}, {}, {"VendorID": None}), landed, ("2024", "03"))
     tables.recreate_tables(spark, root)
-    loading.load_facts(spark, landed, root, 2024)
-    loading.load_facts(spark, landed, root, 2024)
+    rejects = str(tmp_path / "rejects")
+    assert loading.load_facts(spark, landed, root, 2024, rejects=rejects) == [3]
+    assert loading.load_facts(spark, landed, root, 2024, rejects=rejects) == []
+    append_month(raw({}, {}, {}), landed, ("2024", "04"))
+    append_month(raw({}), landed, ("2024", "05"))
+    assert loading.load_facts(spark, landed, root, 2024, months=[4]) == [4]
     facts = tables.read_table(spark, root, "fact_trip")
-    assert facts.count() == facts.select("trip_id").distinct().count() == 4
+    assert facts.count() == facts.select("trip_id").distinct().count() == 5
     assert facts.agg(F.min("trip_id")).first()[0] == 1
-    assert loading.rejected_trips(spark, landed, 2024).first()["reject_reason"] == "VendorID_present"
+    assert loading.rejected_trips(spark, landed, 2024, [3]).first()["reject_reason"] == "VendorID_present"
+    assert [row["reject_reason"] for row in spark.read.parquet(rejects).collect()] == ["VendorID_present"]
 
     tables.truncate_and_reload(spark, root, {"dim_zone": zones(spark)})
-    assert tables.read_table(spark, root, "fact_trip").count() == 4
+    assert tables.read_table(spark, root, "fact_trip").count() == 5
     tables.truncate_and_reload(spark, root, {"dim_zone": zones(spark)}, ["fact_trip"])
     assert tables.read_table(spark, root, "fact_trip").count() == 0
     assert tables.read_table(spark, root, "dim_zone").count() == 265
 
 
+def test_a_load_that_never_said_it_ended_is_settled(spark, raw, tmp_path, monkeypatch):
+    landed, root = str(tmp_path / "landed"), str(tmp_path / "warehouse")
+    append_month(raw({}, {}), landed, ("2024", "03"))
+    tables.recreate_tables(spark, root)
+    said, log = [], loading.append_log
+    monkeypatch.setattr(loading, "append_log", lambda *given: log(*given) if not said.append(1) and len(said) == 1 else None)
+    loading.load_facts(spark, landed, root, 2024)
+    monkeypatch.undo()
+    assert tables.read_log(spark, root).count() == 0
+    assert loading.load_facts(spark, landed, root, 2024) == []
+    assert tables.read_table(spark, root, "fact_trip").count() == 2
+
+
+def test_seeding_takes_corrected_zones_and_makes_missing_tables(spark, tmp_path):
+    root = str(tmp_path / "new")
+    for name in ("old", "new"):
+        given = spark.createDataFrame([(1, "b", name, None)], schema.DIM_ZONE)
+        loading.load_dimensions(spark, root, given, 2024)
+    assert [row["zone_name"] for row in tables.read_table(spark, root, "dim_zone").collect()] == ["new"]
+
+
+def test_audit_of_a_warehouse(spark, raw, tmp_path):
+    landed, root = str(tmp_path / "landed"), str(tmp_path / "warehouse")
+    append_month(raw({}, {"VendorID": 99}, {"store_and_fwd_flag": "x"}), landed, ("2024", "03"))
+    loading.load_dimensions(spark, root, zones(spark), 2024)
+    loading.load_facts(spark, landed, root, 2024)
+    facts = tables.read_table(spark, root, "fact_trip")
+    tables.append_table(facts.limit(1).cache(), root, "fact_trip")
+    found = {(row["table_name"], row["finding"]) for row in loading.audit_warehouse(spark, root).collect()}
+    assert {name for name, _ in found} == {"fact_trip"}
+    told = {finding for _, finding in found}
+    assert {"check flag_is_y_or_n", "reference vendor_id 99", "reference store_and_fwd_flag x"} < told
+    assert any(finding.startswith("primary_key ") for finding in told)
+
+
 def test_verified_write(spark, raw, tmp_path):
     report = snapshots.write_verified(raw({}, {"fare_amount": 3.0}), str(tmp_path / "t"))
     assert report == (2, 2, True, True) and report.good

@@ -63,6 +63,25 @@ def test_land_files_sets_aside_what_has_no_month(spark, raw, tmp_path):
     assert spark.read.parquet(aside).groupBy("month").count().orderBy("month").collect() == [("", 4), ("13", 3)]
 
 
+def test_a_month_in_several_files_is_landed_whole(spark, raw, tmp_path):
+    first, second = str(tmp_path / "a_2024-05.parquet"), str(tmp_path / "b_2024-05.parquet")
+    raw(*[{}] * 3).write.parquet(first)
+    raw(*[{"passenger_count": 4}] * 2).withColumn("passenger_count", F.expr("passenger_count + 0.5D")).drop(
+        "airport_fee"
+    ).write.parquet(second)
+    root = str(tmp_path / "landed")
+    for _ in range(2):
+        (month,) = land_files(spark, [first, second, first], root)
+        assert month == (("2024", "05"), [first, second], 5)
+    rows = read_year(spark, root, 2024).collect()
+    assert sorted(row["passenger_count"] for row in rows) == [1, 1, 1, 4.5, 4.5]
+    assert sum(row["airport_fee"] is None for row in rows) == 2
+    assert land_files(spark, [second], root, repeatable=False)[0].rows == 2
+    assert read_year(spark, root, 2024).count() == 7
+    with pytest.raises(ValueError):
+        land_files(spark, [first, "a_2024-13.parquet"], root)
+
+
 def test_replacing_a_month_leaves_the_others(spark, raw, tmp_path):
     root = str(tmp_path)
     append_month(raw({}, {}), root, ("2024", "01"))
@@ -127,10 +146,13 @@ def test_types_that_cannot_be_brought_together():
 
 def test_one_layout(spark, raw, tmp_path):
     df = raw({}).withColumnRenamed("airport_fee", "Airport_fee").withColumn("passenger_count", F.lit(1.5))
-    typed = uniform(df.drop("cbd_congestion_fee", "mta_tax").withColumn("VendorID", F.expr("double('NaN')")))
+    typed = uniform(df.drop("cbd_congestion_fee").withColumn("VendorID", F.expr("double('NaN')")))
     assert [(f.name, f.dataType) for f in typed.schema] == [(f.name, f.dataType) for f in schema.LANDED_TRIP]
     row = typed.first()
-    assert (row["passenger_count"], row["cbd_congestion_fee"], row["mta_tax"], row["VendorID"]) == (1.5, 0, None, None)
+    assert (row["passenger_count"], row["cbd_congestion_fee"], row["VendorID"]) == (1.5, 0, None)
+    for wrong in (df.drop("total_amount"), df.withColumn("tip", F.lit(1))):
+        with pytest.raises(ValueError, match="total_amount|tip"):
+            uniform(wrong)
 
     root = str(tmp_path / "landed")
     for month, trips in (("01", raw({})), ("02", df.drop("cbd_congestion_fee"))):
