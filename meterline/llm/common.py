@@ -28,6 +28,8 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Rows can be long texts: so many at a time go to a Python worker.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     # Python workers of a local session find this package where the driver found it.
     spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

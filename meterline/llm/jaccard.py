@@ -164,19 +164,29 @@ def _short_list_candidates(postings: DataFrame, percent: int) -> DataFrame:
     return mine.mapInArrow(run, "a long, b long")
 
 
-def _long_list_links(postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among documents with so many long lists that short ones may not show them.
-
-    `postings` are theirs in long lists. Two that no short list shows share `need` or more
-    shingles of long lists, so they meet within all but need - 1 of their rarest ones. Those lists can
-    be as long as a group of copies is large, and are not paired off: first every document is
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """shingle, doc and n: the shingles of each set that it must share one of with a linked set, its
+    rarest among these sets. Those that no other set holds are counted in but left out."""
+    full = sets.select("doc", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    held_by = full.groupBy("shingle").agg(F.count(F.lit(1)).alias("_held")).filter("_held > 1")
+    ranked = full.join(stored(held_by, "held_shingles"), "shingle", "left")
+    order = Window.partitionBy("doc").orderBy(F.coalesce("_held", F.lit(1)), "shingle")
+    first = F.row_number().over(order) <= F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
+    chosen = ranked.withColumn("_first", first).filter("_first AND _held IS NOT NULL")
+    return chosen.select("shingle", "doc", "n")
+
+
+def _long_list_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among the `sets` of documents with so many long lists that short ones may not show them.
+
+    Here shingles are ordered by how many of these sets hold them. A passage that very many
+    documents share then comes last, and only sets that are the same for the most part
+    still meet. Such groups can be large and are not paired off: first every document is
     checked against the HEADS of its lists it meets most often. Most groups are then
     connected, and only what lies outside a list's largest component is checked against
     the rest of the list.
     """
-    rarest = Window.partitionBy("doc").orderBy("docs", "shingle")
-    postings = postings.withColumn("_rank", F.row_number().over(rarest)).filter("_rank <= longs - need + 1")
-    postings = stored(postings.select("shingle", "doc", "n", "need"), "long_lists")
+    postings = stored(_rarest(sets, percent), "rarest_shingles")
 
     def counted(pairs: DataFrame) -> DataFrame:
         fits = pairs.filter(_comparable("n", "_n", percent))
@@ -265,13 +275,17 @@ def _links(docs: DataFrame, shingle: int, percent: int, long_list: int) -> DataF
     sized = postings.withColumn("spare", spare(F.col("n"), percent)).join(stored(longs, "longs"), "doc", "left")
     sized = sized.withColumn("longs", F.coalesce("longs", F.lit(0)))
     candidates = stored(_short_list_candidates(sized.filter(F.col("docs") <= long_list), percent), "candidates")
-    # A partner may be smaller and have less to spare.
+    # Two that no short list shows share so many shingles of long ones. A partner may be smaller
+    # and have less to spare.
     need = spare(F.ceil(F.col("n") * percent / F.lit(100)), percent) + 1
-    long = stored(sized.filter(F.col("docs") > long_list).withColumn("need", need).filter("longs >= need"), "long")
+    many = stored(sized.filter(F.col("longs") >= need).select(F.col("doc").alias("_doc")).distinct(), "many_long")
 
     wanted = candidates.select(F.col("a").alias("_doc")).unionByName(candidates.select(F.col("b").alias("_doc")))
-    wanted = stored(wanted.unionByName(long.select(F.col("doc").alias("_doc"))).distinct(), "wanted")
+    wanted = stored(wanted.unionByName(many).distinct(), "wanted")
     sets = _sets(docs.join(wanted, F.col("doc_id") == F.col("_doc"), "left_semi"), shingle, None)
     sets = stored(sets.select("doc", "shingles"), "sets")
     links = _linked(candidates, sets, percent)
-    return links if long.isEmpty() else links.unionByName(_long_list_links(long, sets, percent))
+    if many.isEmpty():
+        return links
+    theirs = sets.join(many.select(F.col("_doc").alias("doc")), "doc", "left_semi")
+    return links.unionByName(_long_list_links(stored(theirs, "long_sets"), percent))
