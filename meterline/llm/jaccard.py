@@ -215,7 +215,15 @@ def _long_list_links(sets: DataFrame, percent: int) -> DataFrame:
     others = open_lists.select("shingle", F.col("doc").alias("b"), F.col("n").alias("_n"), "component", "_largest")
     # Two that both lie outside are met once.
     rest = outside.join(others, "shingle").filter("_mine <> component AND (component = _largest OR a < b)")
-    return first.unionByName(_linked(counted(rest), sets, percent))
+    rest = rest.filter(_comparable("n", "_n", percent))
+    rest = rest.groupBy(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).agg(
+        F.count(F.lit(1)).alias("_met"), F.max(F.greatest("n", "_n")).alias("_n"), F.max(F.least("n", "_n")).alias("_m")
+    )
+    # All they share beyond the rarest shingles of the set whose rarest end first are its others.
+    overlap = F.ceil((F.col("_n") + F.col("_m")) * percent / F.lit(100 + percent))
+    others_of = F.ceil(F.col("_n") * percent / F.lit(100)) - 1
+    rest = rest.filter(F.col("_met") >= overlap - others_of).select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    return first.unionByName(_linked(rest, sets, percent))
 
 
 def _least_of_each(rows: DataFrame, count: int) -> DataFrame:
