@@ -277,7 +277,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, task_suffixes: int = T
     shared = stored(shared, "shared_prefixes")
 
     def spans_of(many: bool) -> DataFrame:
-        mine = filed.join(shared.filter(F.col("_many") == many), "prefix")
+        # Merged at every size, rather than sent to all tasks while it is small.
+        mine = filed.join(shared.filter(F.col("_many") == many).hint("merge"), "prefix")
         listed = mine.groupBy("doc_id", "text_hash").agg(
             F.collect_list(F.struct("prefix", "first", "windows")).alias("suffixes")
         )
