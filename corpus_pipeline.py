@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,21 @@ def _with_ids(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
 
+def _placed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """`docs` with columns that give its rows' order: the files' numbers and the places in them.
+
+    Spark reads large files first and packs small ones together, so the order must be asked for.
+    """
+    try:
+        file, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+        number = F.regexp_extract(file, r"^part-(\d+)", 1).try_cast("long")
+        placed = docs.select("doc_id", "text", number.alias("_part"), file.alias("_file"), row.alias("_row"))
+        return placed, ["_part", "_file", "_row"]
+    except AnalysisException:
+        # Not read from files: the rows are in the order of their partitions.
+        return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row")), ["_row"]
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; a doc_id with several rows stays if one of them does."""
     return _with_ids(docs.select(*COLUMNS), quality.judge(docs).filter("kept"))
@@ -38,13 +54,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix; the files written hold them in that order."""
+    """All documents in the order of the mix; the files written hold them in that order, and `encode` keeps it."""
     return mixing.in_mixed_order(docs.select(*COLUMNS))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and digests of the token ids and of the text decoded from them."""
-    return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")))
+    """doc_id, n_tokens and digests of the token ids and of the text decoded from them, in the order
+    in which the files of the stage before hold their rows."""
+    placed, place = _placed(docs)
+    coded = bpe.encode_decode(placed, public_tokenizers.path("word_bpe_49k.json"), keep=place)
+    # Written before they are sorted: the sort looks at its rows twice, and coding is the costly part.
+    return stored(bpe.digests(coded, keep=place), "pipeline_digests").orderBy(*place).drop(*place)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
@@ -219,8 +219,8 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def encode_decode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids and decoded for every row of `docs`, which has doc_id and text.
+def encode_decode(docs: DataFrame, path: str, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, ids and decoded for every row of `docs`, which has doc_id and text, and its `keep` columns.
 
     A null or empty text has no ids and decodes to the empty text. Rows are handled one by
     one: repeated or null doc_ids give as many rows. Other columns are not read.
@@ -238,19 +238,22 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
                         part.column("doc_id"),
                         pa.ListArray.from_arrays(pa.array(ends), flat),
                         pa.array([bpe.decode(x) for x in ids], pa.string()),
+                        *[part.column(name) for name in keep],
                     ],
-                    ["doc_id", "ids", "decoded"],
+                    ["doc_id", "ids", "decoded", *keep],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keep)
+    kept = "".join(f", {name} {rows.schema[name].dataType.simpleString()}" for name in keep)
+    return rows.mapInArrow(run, f"doc_id long, ids array<int>, decoded string{kept}")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of what `encode_decode` gives."""
+def digests(encoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of what `encode_decode` gives, and the `keep` columns."""
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *keep,
     )

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from meterline.llm import mixing
 from meterline.llm.queries import BYTE_BPE, QUERIES, SQL, WORD_BPE
 from tools.compare import oracle, same
 
@@ -155,3 +156,26 @@ def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.selectExpr("*", "doc_id AS _id", "text AS kept"), SF_DIR).columns == docs.columns
+
+
+def test_the_mix_gives_the_pipeline_its_order(spark, monkeypatch, tmp_path):
+    """The mix's later files are larger, and Spark reads large files first; without the stage the order is another."""
+    ids = sorted(range(60), key=lambda key: hashlib.md5(str(key).encode()).hexdigest())
+    rows = [(key, " ".join(sha(f"{key} {i}") for i in range(10 * place + 1)), "en", "s", 0) for place, key in enumerate(ids)]
+    docs = spark.createDataFrame(sorted(rows), "doc_id long, text string, lang string, source string, n_chars long")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    slots = mixing.mix(docs).select("doc_id", "mix_slot", "mix_block", "mix_at").collect()
+    expected = [row[0] for row in sorted(slots, key=lambda row: (*row[1:], row[0]))]
+    stages = dict(corpus_pipeline.STAGES)
+    changed = {"shuffle.partitions": "7", "adaptive.enabled": "false", "files.maxPartitionBytes": "64k"}
+    before = {name: spark.conf.get(f"spark.sql.{name}") for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(f"spark.sql.{name}", value)
+        monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, stages[name]) for name in ("mix_sources", "encode")])
+        assert [row["doc_id"] for row in corpus_pipeline.run(spark, str(tmp_path)).collect()] == expected
+        monkeypatch.setattr(corpus_pipeline, "STAGES", [("encode", stages["encode"])])
+        assert [row["doc_id"] for row in corpus_pipeline.run(spark, str(tmp_path)).collect()] != expected
+    finally:
+        for name, value in before.items():
+            spark.conf.set(f"spark.sql.{name}", value)
