@@ -11,42 +11,82 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from meterline.llm.common import stored
+from meterline.operators.numbering import assign_ids
+
 # Letters of a source that one slot of the mix holds.
 BLOCK_CHARS = 100_000
 # Weights are rounded down to this many parts of the whole, and to one part at least.
 PARTS = 1000
-# The schedule of one period goes to every task: PARTS rows and one more per source at most.
-MAX_SOURCES = 10_000
+# The weights of so many sources at a time are added up in the driver.
+SLICE = 100_000
+# Runs of sources with one share are looked up by about this many ranges of their numbers.
+RANGES = 4096
 # A source's documents are numbered in groups of about this many rows of the whole table.
 GROUP_ROWS = 50_000
 
 
-def period(shares: Sequence[int]) -> list[int]:
-    """Which source each slot of a period of sum(shares) slots serves, earliest deadline first.
+def schedule(large: Mapping[int, int], ones: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """One period's slots, earliest deadline first, of sources numbered from 0 up: those in `large`
+    have more than one share, each of the `ones` others has one.
 
     Block k of a source with share p of P is released at floor(k * P / p) and due by
     ceil((k + 1) * P / p). One slot serves one block. As the shares fill the period, every
     block is served between the two, so at any slot every source has had less than one block
     more or less than its share, and after a period exactly its share.
+
+    The first list has (source, block, slot) of the large ones. A source with one share is
+    ready all the time and due at the end, so these are served in their order wherever no
+    large one is due before; the second list has runs (first, end, shift) of their numbers,
+    each in slot number + shift. Both are as long as the shares of the large ones, however
+    many others there are.
     """
-    total, served = sum(shares), [0] * len(shares)
-    waiting = [(0, source) for source, share in enumerate(shares) if share]
+    total = sum(large.values()) + ones
+    named = sorted(large)
+    # How many of the others come before each large source.
+    before = {source: source - place for place, source in enumerate(named)}
+    waiting = [(0, source) for source in named]
     ready: list[tuple[int, int]] = []
-    slots = []
-    for slot in range(total):
+    served = dict.fromkeys(named, 0)
+    slots, runs = [], []
+    slot = one = passed = 0
+    while slot < total:
         while waiting and waiting[0][0] <= slot:
             source = heapq.heappop(waiting)[1]
-            due = -(-(served[source] + 1) * total // shares[source])
-            heapq.heappush(ready, (due, source))
-        source = heapq.heappop(ready)[1]
-        slots.append(source)
-        served[source] += 1
-        heapq.heappush(waiting, (served[source] * total // shares[source], source))
-    return slots
+            heapq.heappush(ready, (-(-(served[source] + 1) * total // large[source]), source))
+        if ready and (ready[0][0] < total or one == ones or before[ready[0][1]] <= one):
+            source = heapq.heappop(ready)[1]
+            slots.append((source, served[source], slot))
+            served[source] += 1
+            if served[source] < large[source]:
+                heapq.heappush(waiting, (served[source] * total // large[source], source))
+            slot += 1
+            continue
+        while passed < len(named) and before[named[passed]] <= one:
+            passed += 1
+        end = min(ones, one + (waiting[0][0] if waiting else total) - slot)
+        if ready:
+            end = min(end, before[ready[0][1]])
+        if passed < len(named):
+            end = min(end, before[named[passed]])
+        runs.append((one + passed, end + passed, slot - one - passed))
+        slot, one = slot + end - one, end
+    return slots, runs
+
+
+def period(shares: Sequence[int]) -> list[int]:
+    """Which source each slot of a period of sum(shares) slots serves."""
+    held = [source for source, share in enumerate(shares) if share]
+    large = {number: shares[source] for number, source in enumerate(held) if shares[source] > 1}
+    slots, runs = schedule(large, len(held) - len(large))
+    placed = [(slot, source) for source, _, slot in slots]
+    placed += [(source + shift, source) for first, end, shift in runs for source in range(first, end)]
+    return [held[source] for _, source in sorted(placed)]
 
 
-def _numbered(docs: DataFrame, block_chars: int) -> DataFrame:
-    """`docs` with `_block`, the number of its source's block in which a row begins, and `_at`, where.
+def _numbered(docs: DataFrame, block_chars: int, shares: DataFrame) -> DataFrame:
+    """`docs` with `_block`, the number of its source's block in which a row begins, and `_at`, where,
+    and with the columns of its source's row in `shares`.
 
     A source is a tape of its texts, one letter apart, in the order of a hash of doc_id. The
     tape is measured in two steps, within groups of neighbouring hashes and over the groups'
@@ -73,6 +113,8 @@ def _numbered(docs: DataFrame, block_chars: int) -> DataFrame:
         F.col("_group").alias("_of_group"),
         F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"),
     )
+    # The shares come with the totals, so the rows meet one table only.
+    totals = totals.join(shares, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
     same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("_group") == F.col("_of_group"))
     at = F.col("_before") + F.col("_within") - F.col("_size")
     return (
@@ -83,26 +125,52 @@ def _numbered(docs: DataFrame, block_chars: int) -> DataFrame:
     )
 
 
-def shares_of(docs: DataFrame, weights: Mapping[str, float] | None, parts: int) -> list[tuple[str | None, int]]:
-    """Each source's share of the schedule, by name, the null source first.
+def shares_of(docs: DataFrame, weights: Mapping[str, float] | None, parts: int) -> DataFrame:
+    """Each source's `_name`, its number `_index` in the order of names, the null source first, and
+    its share `_share` of the schedule.
 
     Without `weights` a source weighs the square root of its size, so that small sources
     count for more than their part and large ones for less. With them, a source they do not
     name weighs as much as the lightest one.
     """
+    spark = docs.sparkSession
     size = F.sum(F.coalesce(F.char_length(F.col("text").cast("string")), F.lit(0)) + 1)
-    found = docs.groupBy("source").agg(F.sqrt(size.cast("double")).alias("weight")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: put the small ones together first")
-    weighed = {row["source"]: row["weight"] for row in found}
+    weighed = docs.groupBy(F.col("source").alias("_name")).agg(F.sqrt(size.cast("double")).alias("_weight"))
     if weights is not None:
         if not weights or min(weights.values()) <= 0:
             raise ValueError("weights must be positive")
-        weighed = {source: weights.get(source, min(weights.values())) for source in weighed}
-    named = sorted(weighed.items(), key=lambda held: (held[0] is not None, held[0]))
+        given = spark.createDataFrame([(k, float(w)) for k, w in weights.items()], "_of string, _given double")
+        weighed = weighed.join(given, F.col("_name").eqNullSafe(F.col("_of")), "left").select(
+            "_name", F.coalesce("_given", F.lit(float(min(weights.values())))).alias("_weight")
+        )
+    numbered = stored(assign_ids(weighed, ["_name"], "_index", start=0), "sources")
     # Added in order, without the corrections of sum().
-    total = reduce(add, (weight for _, weight in named), 0.0)
-    return [(source, max(1, int(parts * weight / total))) for source, weight in named]
+    total = 0.0
+    for first in range(0, numbered.count(), SLICE):
+        held = numbered.filter(F.col("_index").between(first, first + SLICE - 1)).select("_index", "_weight")
+        total = reduce(add, (row["_weight"] for row in sorted(held.collect())), total)
+    share = F.floor(F.lit(float(parts)) * F.col("_weight") / F.lit(total)).cast("long")
+    return numbered.select("_name", "_index", F.greatest(F.lit(1), share).cast("long").alias("_share"))
+
+
+def _scheduled(shares: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """`shares` with `_place`, the slot of a source with one share; the slots of the blocks of the
+    others; and the slots in a period."""
+    spark = shares.sparkSession
+    # At most half as many as there are parts, as their shares are not rounded up.
+    large = {row["_index"]: row["_share"] for row in shares.filter("_share > 1").collect()}
+    count = shares.count()
+    slots, runs = schedule(large, count - len(large))
+    width = max(1, count // RANGES)
+    ranges = [(at, *run) for run in runs for at in range(run[0] // width, (run[1] - 1) // width + 1)]
+    runs_by_range = spark.createDataFrame(ranges, "_range long, _first long, _end long, _shift long")
+    near = (F.floor(F.col("_index") / F.lit(width)) == F.col("_range")) & (F.col("_share") == 1)
+    inside = (F.col("_first") <= F.col("_index")) & (F.col("_index") < F.col("_end"))
+    placed = shares.join(F.broadcast(runs_by_range), near & inside, "left").select(
+        "_name", "_index", "_share", (F.col("_index") + F.col("_shift")).alias("_place")
+    )
+    turns = spark.createDataFrame(slots, "_large long, _turn long, _slot long")
+    return placed, turns, sum(large.values()) + count - len(large)
 
 
 def mix(
@@ -123,32 +191,21 @@ def mix(
     source of their own, null or empty texts take up one letter, repeated rows follow each
     other, and an empty table stays empty.
     """
-    spark = docs.sparkSession
     docs = docs.drop("mix_slot", "mix_block", "mix_at", "mix_release", "mix_deadline")
-    shares = shares_of(docs, weights, parts)
-    total = sum(share for _, share in shares)
-    turns = [0] * len(shares)
-    schedule = []
-    for slot, number in enumerate(period([share for _, share in shares])):
-        schedule.append((*shares[number], turns[number], slot))
-        turns[number] += 1
-    slots = spark.createDataFrame(schedule, "_name string, _share long, _turn long, _slot long")
-
+    shares, slots, total = _scheduled(shares_of(docs, weights, parts))
     # Each row meets the one slot of its block's turn.
-    share = spark.createDataFrame(shares, "_of string, _parts long")
-    rows = _numbered(docs, block_chars).join(F.broadcast(share), F.col("source").eqNullSafe(F.col("_of")))
-    round_, turn = F.floor(F.col("_block") / F.col("_parts")), F.col("_block") % F.col("_parts")
-    same = F.col("source").eqNullSafe(F.col("_name")) & (turn == F.col("_turn"))
-    mixed = rows.join(F.broadcast(slots), same)
+    rows = _numbered(docs, block_chars, shares)
+    round_, turn = F.floor(F.col("_block") / F.col("_share")), F.col("_block") % F.col("_share")
+    mixed = rows.join(F.broadcast(slots), (F.col("_index") == F.col("_large")) & (turn == F.col("_turn")), "left")
     return mixed.withColumns(
         {
-            "mix_slot": round_ * total + F.col("_slot"),
+            "mix_slot": round_ * total + F.coalesce("_place", "_slot"),
             "mix_block": F.col("_block"),
             "mix_at": F.col("_at"),
-            "mix_release": F.expr(f"_block * {total} div _share"),
-            "mix_deadline": F.expr(f"((_block + 1) * {total} + _share - 1) div _share"),
+            "mix_release": F.expr(f"_block * {total}L div _share"),
+            "mix_deadline": F.expr(f"((_block + 1) * {total}L + _share - 1) div _share"),
         }
-    ).drop("_of", "_parts", "_name", "_share", "_turn", "_slot", "_block", "_at", "_size")
+    ).drop("_index", "_share", "_place", "_large", "_turn", "_slot", "_block", "_at", "_size")
 
 
 def in_mixed_order(docs: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:

@@ -273,6 +273,32 @@ def test_mix_follows_the_weights_and_drops_nothing(spark, docs):
     assert spark.read.parquet(path).columns == given.columns and spark.read.parquet(path).count() == 400
 
 
+def plain_period(shares):
+    """Earliest deadline first, slot by slot over all sources."""
+    total, served, slots = sum(shares), [0] * len(shares), []
+    for slot in range(total):
+        ready = [i for i, p in enumerate(shares) if served[i] < p and served[i] * total // p <= slot]
+        slots.append(min(ready, key=lambda i: (-(-(served[i] + 1) * total // shares[i]), i)))
+        served[slots[-1]] += 1
+    return slots
+
+
+def test_a_period_with_many_small_sources_is_the_plain_one():
+    random = np.random.default_rng(3)
+    for _ in range(200):
+        shares = random.choice([0, 1, 1, 1, 2, 3, 17], random.integers(1, 40)).tolist()
+        assert mixing.period(shares) == plain_period(shares)
+
+
+def test_more_than_ten_thousand_sources_are_mixed(spark):
+    given = spark.range(30_000).selectExpr("id AS doc_id", "concat('h', id % 12000) AS source", "repeat('x', 99) AS text")
+    given = given.unionByName(spark.range(30_000, 31_000).selectExpr("id AS doc_id", "'h5x' AS source", "repeat('x', 99999) AS text"))
+    found = mixing.mix(given, {"h5x": 3.0, "h7": 1e-4}).select("doc_id", "source", "mix_slot", "mix_release", "mix_deadline")
+    rows = found.collect()
+    assert len(rows) == 31_000 and all(row["mix_release"] <= row["mix_slot"] < row["mix_deadline"] for row in rows)
+    assert len({(row["source"], row["mix_slot"]) for row in rows}) == len({row["mix_slot"] for row in rows}) == 13_000
+
+
 # ---- embeddings
 
 
