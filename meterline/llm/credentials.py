@@ -31,10 +31,11 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 
-# What names a credential, beyond the patterns; the value follows after ":", "=", "is" or "bearer".
+# What names a credential, beyond the patterns, at the end of a name with any prefix, as in DB_PASS;
+# the value follows after ":", "=", "is" or "bearer".
 _CONTEXT = re.compile(
-    r"""(?:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|(?:access|private|auth|client|encryption)"""
-    r"""[_-]?(?:key|token|secret)|credentials?)["']?\x20*(?::|=>?|\x20is\b)|\bbearer)\x20*["']?([^\s"',;<>|]{6,})""",
+    r"""(?:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|(?:access|private|auth|client|encryption)"""
+    r"""[_-]?(?:key|token|secret)|credentials?)["']?\x20*(?::|=>?|\x20is\b)|bearer)\x20*["']?([^\s"',;<>|]{6,})""",
     re.ASCII | re.IGNORECASE,
 )
 _CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "bearer")
@@ -144,8 +145,7 @@ def find(text: str, words: dict[str, int], guesses: float = GUESSES) -> list[tup
     if any(hint in low for hint in _CONTEXT_HINTS):
         for m in _CONTEXT.finditer(text):
             value = m.group(1).rstrip(".!?)")
-            # Words alone, of whatever language, are not taken for a password.
-            if any(c.isdigit() or not c.isalnum() for c in value) and guess_cost(value, words, guesses) >= guesses:
+            if guess_cost(value, words, guesses) >= guesses:
                 spans.append(("guess", m.start(1), m.start(1) + len(value)))
     return sorted(spans, key=lambda span: (span[1], KINDS.index(span[0])))
 

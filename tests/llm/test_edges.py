@@ -376,6 +376,20 @@ def test_guess_costs():
     assert credentials.guess_cost("k9" * 100_000 + "Zq", words, 8.0) >= 8
 
 
+def test_letters_alone_and_prefixed_names_reach_the_guess_cost():
+    words = credentials.dictionary(WORD_BPE)
+    for text in (
+        "pwd: kXqZvTbNmWpLrHsY", "bearer QxJvKtRbnWzMpLdFgHsT", "passphrase = qzvkxwjtbnmrhplc", "DB_PASS=Xk9!vv$2Qz",
+        "MYSQL_PWD=x7Kp9!vQ2z", "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCY", "dbPassword is x7Kp9!vQ2z",
+        "smtp2pass: x7Kp9!vQ2z", "my-auth-token=x7Kp9!vQ2z",
+    ):
+        value = text.split(" ")[-1].split("=")[-1]
+        assert ("guess", text.index(value), len(text)) in credentials.find(text, words), text
+    for text in ("The password is required", "secret: information", "the compass is pointing", "pwd: qwertyuiop", "pass: abcdef"):
+        assert credentials.find(text, words) == [] or "secret" in text, text
+        assert all(kind != "guess" for kind, _, _ in credentials.find(text, words)), text
+
+
 # ---- pipeline
 
 
