@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Iterable
 from functools import reduce
 
@@ -15,7 +16,7 @@ from meterline.operators import audits
 from meterline.operators.columns import complete_raw
 from meterline.operators.dimensions import seed_dimensions
 from meterline.operators.fact import fact_rows
-from meterline.operators.numbering import next_id, sparse_ids
+from meterline.operators.numbering import next_id, sparse_end, sparse_ids
 from meterline.operators.rules import count_violations, reject, trip_rules
 from meterline.sinks.jdbc import append_jdbc
 from meterline.sinks.months import replace_month
@@ -29,7 +30,7 @@ from meterline.sinks.tables import (
     read_table,
     truncate_and_reload,
 )
-from meterline.sources.trips import landed_months, read_months
+from meterline.sources.trips import landed_bytes, landed_months, read_months
 
 
 def load_dimensions(spark: SparkSession, root: str, zones: DataFrame, year: int) -> None:
@@ -55,7 +56,8 @@ def load_facts(
     rejects: str | None = None,
 ) -> list[int]:
     """Append the accepted trips of `year` in the chosen landed months (all if none are named) to
-    fact_trip, and return the months loaded. A month that was loaded before is passed over.
+    fact_trip, and return the months loaded. A month that was loaded before is passed over, with
+    a warning if what is landed of it has another size than it had then.
 
     They are read from that year's folders, or from those of `folder_year`, as a file may
     hold trips of another year; `layout` as for `read_months`. Nothing is shuffled or
@@ -64,41 +66,58 @@ def load_facts(
 
     A log beside the tables holds each month's load and the identities it used, so the next
     load goes on from there without a look at the facts. A load that ended half-way is
-    settled by the next: if its identities are in the facts it counts as done.
+    settled by the next: if facts have identities of the range it kept for itself, it counts
+    as done. No other load uses that range, so another month's facts never settle it.
     """
     folder_year = folder_year or year
     settle_loads(spark, root)
     log = read_log(spark, root)
-    done = {(row["folder_year"], row["month"]) for row in log.filter(F.col("year") == year).collect()}
+    done = {(row["folder_year"], row["month"]): row["landed"] for row in log.filter(F.col("year") == year).collect()}
     wanted = sorted(set(months)) if months is not None else landed_months(spark, landed, folder_year)
     fresh = [month for month in wanted if (folder_year, month) not in done]
+    sizes = {month: landed_bytes(spark, landed, folder_year, month) for month in wanted}
+    for month in wanted:
+        if done.get((folder_year, month), sizes[month]) not in (None, sizes[month]):
+            warnings.warn(
+                f"{folder_year}-{month:02d} was landed anew or added to since it was loaded; not loaded again",
+                stacklevel=2,
+            )
     if not fresh:
         return []
     raw = read_months(spark, landed, folder_year, fresh, layout)
     if rejects:
         replace_month(reject(complete_raw(raw), trip_rules(year)), rejects)
 
-    start = log.agg(F.max("next_id")).first()[0] or next_id(read_table(spark, root, "fact_trip"))
-    entries = [(uuid.uuid4().hex, year, folder_year, month, start, None) for month in fresh]
+    # Loads that never ended keep their range, whether or not they wrote into it.
+    open_loads = read_log(spark, root, ended=False).join(log.select("load"), "load", "left_anti")
+    kept = open_loads.agg(F.max("end_id")).first()[0]
+    following = log.agg(F.max("next_id")).first()[0] or next_id(read_table(spark, root, "fact_trip"))
+    start = max(following, kept or 0)
+    rows = fact_rows(raw, year)
+    end = sparse_end(rows, start)
+    entries = [(uuid.uuid4().hex, year, folder_year, month, start, None, end, sizes[month]) for month in fresh]
     append_log(spark, root, entries)
     seen = Observation()
-    facts = sparse_ids(fact_rows(raw, year), start=start)
+    facts = sparse_ids(rows, start=start)
     append_table(facts.observe(seen, F.max("trip_id").alias("last")), root, "fact_trip")
     following = (seen.get["last"] or start - 1) + 1
-    append_log(spark, root, [(*entry[:-1], following) for entry in entries])
+    append_log(spark, root, [(*entry[:5], following, *entry[6:]) for entry in entries])
     return fresh
 
 
 def settle_loads(spark: SparkSession, root: str) -> None:
-    """Enter the end of every load whose identities are in the facts but that never said it ended."""
+    """Enter the end of every load that never said it ended, if identities of its own range are in the facts."""
     log = read_log(spark, root, ended=False)
     ended = read_log(spark, root).select("load")
     for row in log.join(ended, "load", "left_anti").collect():
         # Files and their row groups state the range of their ids, so few of them are read.
-        later = read_table(spark, root, "fact_trip").filter(F.col("trip_id") >= row["first_id"])
-        last = later.agg(F.max("trip_id")).first()[0]
+        own = read_table(spark, root, "fact_trip").filter(F.col("trip_id") >= row["first_id"])
+        # A log written before loads kept a range has no end.
+        if row["end_id"] is not None:
+            own = own.filter(F.col("trip_id") < row["end_id"])
+        last = own.agg(F.max("trip_id")).first()[0]
         if last is not None:
-            append_log(spark, root, [(*row[:-1], last + 1)])
+            append_log(spark, root, [(*row[:5], last + 1, *row[6:])])
 
 
 def export_facts(

@@ -12,7 +12,8 @@ from meterline import schema
 from meterline.operators.upsert import new_rows
 from meterline.sources.trips import exists
 
-# What each load of a landed month began with and, in a second row, what it ended with.
+# What each load of a landed month began with and, in a second row, what it ended with. Its
+# identities lie from first_id up to, but without, end_id; `landed` is the month's size in bytes.
 LOAD_LOG = T.StructType(
     [
         T.StructField("load", T.StringType()),
@@ -21,6 +22,8 @@ LOAD_LOG = T.StructType(
         T.StructField("month", T.IntegerType()),
         T.StructField("first_id", T.LongType()),
         T.StructField("next_id", T.LongType()),
+        T.StructField("end_id", T.LongType()),
+        T.StructField("landed", T.LongType()),
     ]
 )
 

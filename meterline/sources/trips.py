@@ -140,6 +140,14 @@ def landed_months(spark: SparkSession, root: str, year: int) -> list[int]:
     return sorted({int(folder.rstrip("/").rsplit("month=", 1)[1]) for folder in _month_folders(spark, root, year, None)})
 
 
+def landed_bytes(spark: SparkSession, root: str, year: int, month: int) -> int:
+    """The size of all that is landed of a month; 0 if it has no folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = _matches(spark, f"{root.rstrip('/')}/year={year}/month={{{month},{month:02d}}}")
+    return sum(files.getContentSummary(hadoop(folder)).getLength() for folder in folders)
+
+
 def _matches(spark: SparkSession, pattern: str) -> list[str]:
     # Folder names only; listing their files is left to the read.
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)

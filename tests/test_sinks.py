@@ -88,6 +88,36 @@ def test_a_load_that_never_said_it_ended_is_settled(spark, raw, tmp_path, monkey
     assert tables.read_table(spark, root, "fact_trip").count() == 2
 
 
+def test_a_failed_load_is_not_settled_by_another_month(spark, raw, tmp_path, monkeypatch):
+    landed, root = str(tmp_path / "landed"), str(tmp_path / "warehouse")
+    append_month(raw({}, {}), landed, ("2024", "03"))
+    append_month(raw({}, {}, {}), landed, ("2024", "04"))
+    tables.recreate_tables(spark, root, ["fact_trip"])
+
+    def died(*_):
+        raise OSError
+
+    monkeypatch.setattr(loading, "append_table", died)
+    with pytest.raises(OSError):
+        loading.load_facts(spark, landed, root, 2024, months=[3])
+    monkeypatch.undo()
+    assert loading.load_facts(spark, landed, root, 2024, months=[4]) == [4]
+    assert loading.load_facts(spark, landed, root, 2024) == [3]
+    assert loading.load_facts(spark, landed, root, 2024) == []
+    facts = tables.read_table(spark, root, "fact_trip")
+    assert facts.count() == facts.select("trip_id").distinct().count() == 5
+
+
+def test_rows_added_to_a_loaded_month_are_reported(spark, raw, tmp_path):
+    landed, root = str(tmp_path / "landed"), str(tmp_path / "warehouse")
+    append_month(raw({}), landed, ("2024", "03"))
+    tables.recreate_tables(spark, root, ["fact_trip"])
+    assert loading.load_facts(spark, landed, root, 2024) == [3]
+    append_month(raw({}), landed, ("2024", "03"))
+    with pytest.warns(UserWarning, match="2024-03 was landed anew or added to"):
+        assert loading.load_facts(spark, landed, root, 2024) == []
+
+
 def test_seeding_takes_corrected_zones_and_makes_missing_tables(spark, tmp_path):
     root = str(tmp_path / "new")
     for name in ("old", "new"):
