@@ -36,8 +36,13 @@ def _placed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; a doc_id with several rows stays if one of them does."""
-    return _with_ids(docs.select(*COLUMNS), quality.judge(docs).filter("kept"))
+    """Documents that the quality rules keep, without their hosts' boilerplate lines; a doc_id with
+    several rows stays if one of them does."""
+    common = quality.common_lines(docs)
+    kept = _with_ids(docs.select(*COLUMNS), quality.judge(docs, common=common).filter("kept"))
+    left = quality.drop_boilerplate(kept, common)
+    size = F.when(F.col("kept_text").eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.char_length("kept_text"))
+    return left.withColumns({"text": F.col("kept_text"), "n_chars": size.cast("long")}).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,34 +38,46 @@ def _worded_lines(text: str) -> list[str]:
     return [line for line in text.split("\n") if line.strip(BLANKS)]
 
 
-def host_lines(docs: DataFrame) -> DataFrame:
-    """host and line (the hash of a host and a line of it that has a word), once per row and line."""
+def host_lines(docs: DataFrame, keep: str) -> DataFrame:
+    """`keep`, host and line (the hash of a host and a line of it that has a word) with the place of
+    the line in its text, once per row and line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                rows, lines = [], []
+                rows, places, lines = [], [], []
                 hosts = texts(part.column("host"))
                 for row, (text, host) in enumerate(zip(texts(part.column("text")), hosts, strict=True)):
-                    found = {_line_hash(line, host) for line in _worded_lines(text)}
-                    rows += [row] * len(found)
-                    lines += found
+                    for place, line in enumerate(text.split("\n")):
+                        if line.strip(BLANKS):
+                            rows.append(row)
+                            places.append(place)
+                            lines.append(_line_hash(line, host))
                 at = pa.array(rows, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("host").take(at), pa.array(lines, pa.int64())], ["host", "line"]
+                    [
+                        part.column(keep).take(at),
+                        part.column("host").take(at),
+                        pa.array(lines, pa.int64()),
+                        pa.array(places, pa.int32()),
+                    ],
+                    [keep, "host", "line", "place"],
                 )
 
-    return docs.select("host", "text").mapInArrow(run, "host string, line long")
+    return docs.select(keep, "host", "text").mapInArrow(run, f"{keep} long, host string, line long, place int")
 
 
 def boilerplate(docs: DataFrame, line_docs: int, line_percent: float) -> DataFrame:
     """The hashes of lines that at least `line_docs` and `line_percent` % of their host's documents hold.
 
-    Tasks count before anything is shuffled, so neither a host nor a line with most of the
-    rows makes a large group.
+    Rows of one doc_id are one document, and so are those without one. One row per document
+    and line is left before lines are counted, and tasks add up their own counts first, so
+    neither a host nor a line with most of the rows makes a large group.
     """
-    counts = host_lines(docs).groupBy("host", "line").agg(F.count(F.lit(1)).alias("_docs"))
-    sizes = docs.groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("_all"))
+    held = host_lines(docs, "doc_id").select("doc_id", "host", "line").distinct()
+    counts = held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("_docs"))
+    each = docs.select("doc_id", F.col("host").alias("_host")).distinct()
+    sizes = each.groupBy("_host").agg(F.count(F.lit(1)).alias("_all"))
     return (
         counts.filter(F.col("_docs") >= line_docs)
         .join(sizes, F.col("host").eqNullSafe(F.col("_host")))
@@ -75,6 +87,41 @@ def boilerplate(docs: DataFrame, line_docs: int, line_percent: float) -> DataFra
     )
 
 
+def _rows(docs: DataFrame, host: str) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
+        F.col("text").cast("string").alias("text"),
+    )
+
+
+def common_lines(
+    docs: DataFrame, host: str = "source", line_docs: int = LINE_DOCS, line_percent: float = LINE_PERCENT
+) -> DataFrame:
+    """The table of `boilerplate` for `docs`; written, so that Spark sees if it can go to every task."""
+    return stored(boilerplate(_rows(docs, host), line_docs, line_percent), "boilerplate")
+
+
+def drop_boilerplate(docs: DataFrame, common: DataFrame, host: str = "source") -> DataFrame:
+    """`docs` with their columns and `kept_text`, the text without its lines in `common`.
+
+    A text that has none of them stays as it is, null included; one that has no other lines
+    is empty. Hashes and places are shuffled to find the lines, texts once to drop them.
+    """
+    name = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col(host).cast("string"), F.lit("")), "text")
+    found = host_lines(_rows(docs, host).withColumn("_name", F.xxhash64("doc_id", "host", "text")), "_name")
+    places = found.join(common, "line").groupBy("_name").agg(F.collect_set("place").alias("_places"))
+    lines = F.split("text", "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_places"))
+    kept = F.array_join(F.transform(left, lambda place: F.get(lines, place)), "\n")
+    return (
+        docs.withColumns({"text": F.col("text").cast("string"), "_name": name})
+        .join(places, "_name", "left")
+        .withColumn("kept_text", F.when(F.col("_places").isNull(), F.col("text")).otherwise(kept))
+        .select(*[column for column in docs.columns if column not in ("_name", "_places", "kept_text")], "kept_text")
+    )
+
+
 def _repeated_words(hashes: np.ndarray, words: W.Words) -> np.ndarray:
     """Which words lie in a run of three that its text has twice or more."""
     repeated = np.zeros(len(words.starts), bool)
@@ -135,6 +182,7 @@ def judge(
     line_docs: int = LINE_DOCS,
     line_percent: float = LINE_PERCENT,
     kept_percent: float = KEPT_PERCENT,
+    common: DataFrame | None = None,
 ) -> DataFrame:
     """One row for each of `docs` with doc_id, its measures and whether it is kept.
 
@@ -146,16 +194,11 @@ def judge(
     depleted. `kept` is neither failed nor depleted.
 
     A null text has no words and so is not kept. A null host is a host of its own, equal to
-    the empty one. Repeated rows are judged each, and count each towards a line's documents.
+    the empty one. Repeated rows are judged each, and are one document where a line's are
+    counted. `common` is what `common_lines` gives, if it has been called before.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col(host).cast("string").alias("host"),
-        F.col("text").cast("string").alias("text"),
-    )
-    rows = rows.withColumn("host", F.coalesce("host", F.lit("")))
-    # Read from a file, so that Spark sees whether it is small enough to go to every task.
-    common = stored(boilerplate(rows, line_docs, line_percent), "boilerplate")
+    rows = _rows(docs, host)
+    common = common_lines(docs, host, line_docs, line_percent) if common is None else common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -149,6 +149,21 @@ def test_quality_rejects_what_is_mostly_boilerplate_of_its_host(docs):
     assert all(kept[50 + i] for i in range(5)) and kept[70]
 
 
+def test_boilerplate_lines_leave_the_text(spark, docs):
+    own = {i: f"{numbered(60, 1000 * i)}\n\n{numbered(5, 1000 * i + 500)}" for i in range(12)}
+    given = docs(*[(i, f"Menu of it\n{text}\n menu OF it ", "hot") for i, text in own.items()], (70, "Menu of it\n" + numbered(60), "b"))
+    left = {row["doc_id"]: row for row in by_id(corpus_pipeline.quality_rules(spark, given, ""))}
+    assert {i: left[i]["text"] for i in own} == own
+    assert all(left[i]["n_chars"] == len(own[i]) for i in own)
+    assert left[70]["text"] == "Menu of it\n" + numbered(60)
+
+
+def test_rows_of_one_document_do_not_make_its_lines_boilerplate(docs):
+    text = f"{numbered(60)}\n{numbered(10, 100)}"
+    found = by_id(quality.judge(docs(*[(1, text, "hot")] * 12, (2, numbered(60, 900), "hot"))))
+    assert len(found) == 13 and all(row["kept"] and row["n_boilerplate"] == 0 for row in found)
+
+
 # ---- Jaccard join
 
 
