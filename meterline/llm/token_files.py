@@ -48,7 +48,6 @@ BASE = 50_432
 BLOCK_IDS = 1 << 20
 # Pairs found less often are not worth a rule.
 LEAST = 12
-ROUNDS = 3
 PER_ROUND = 4096
 WORD_CACHE = 1_200_000
 
@@ -130,16 +129,17 @@ class Grammar(NamedTuple):
     rounds: np.ndarray
 
     @classmethod
-    def of(cls, ids: np.ndarray, rounds: int = ROUNDS, least: int = LEAST) -> Grammar:
+    def of(cls, ids: np.ndarray, rounds: int | None = None, least: int = LEAST) -> Grammar:
         """Replace frequent pairs, the most frequent of the sequence left, round after round.
 
         Each round takes up to PER_ROUND pairs at once; where two of them overlap the left
-        one is taken.
+        one is taken. Without `rounds` it ends when no pair is found `least` times or all
+        symbols are used.
         """
         symbols = ids.astype(np.uint16)
         rules, lengths, made = [], np.ones(1 << 16, np.int64), []
         count = 0
-        for _ in range(rounds):
+        while rounds is None or len(made) < rounds:
             room = min(PER_ROUND, (1 << 16) - BASE - count)
             if len(symbols) < 2 or room <= 0:
                 break

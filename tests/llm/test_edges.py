@@ -253,6 +253,15 @@ def test_grammar_reads_any_range():
         assert small.expand(small.symbols).tolist() == few
 
 
+def test_a_long_passage_is_replaced_until_no_pair_is_frequent():
+    ids = np.tile(np.arange(1000), 400)
+    grammar = token_files.Grammar.of(ids)
+    assert grammar.lengths.max() >= 512 and len(grammar.symbols) < len(ids) // 500
+    assert (grammar.expand(grammar.symbols) == ids).all()
+    pairs = grammar.symbols[:-1].astype(np.int64) << 16 | grammar.symbols[1:]
+    assert np.unique(pairs, return_counts=True)[1].max(initial=0) < token_files.LEAST
+
+
 # ---- mixing
 
 
