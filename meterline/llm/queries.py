@@ -9,7 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from meterline.llm import bpe, classifier, credentials, embeddings, jaccard, lines, mixing, quality, repeats, token_files
+from meterline.llm import (
+    bpe,
+    classifier,
+    credentials,
+    divergence,
+    embeddings,
+    jaccard,
+    lines,
+    mixing,
+    quality,
+    repeats,
+    token_files,
+)
 from meterline.llm.common import table
 from meterline.session import scratch_path
 
@@ -220,3 +232,50 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR (n_words - n_boilerplate) * 100 < n_words * 30) AS kept
 FROM judged
 """
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_source_divergence"] = r"""
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), occurrences AS MATERIALIZED (
+  SELECT doc_id, lang, source, unnest(terms) AS term FROM texts
+), kept AS MATERIALIZED (
+  SELECT lang, term FROM occurrences GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 10
+), groups AS MATERIALIZED (
+  SELECT DISTINCT lang, source FROM texts
+), counts AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n FROM occurrences JOIN kept USING (lang, term) GROUP BY lang, source, term
+), filled AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0) AS n FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), shares AS MATERIALIZED (
+  SELECT lang, source, term, n,
+    1 + (1000000000 * (n::HUGEINT + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM filled
+), lang_counts AS MATERIALIZED (
+  SELECT lang, term, sum(n) AS n FROM filled GROUP BY lang, term
+), lang_shares AS MATERIALIZED (
+  SELECT lang, term, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM lang_counts
+), pairs AS MATERIALIZED (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3
+), ranked AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT)
+  FROM shares JOIN lang_shares USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM ranked
+) WHERE part = 'pair' OR rank <= 10
+"""

@@ -66,9 +66,10 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def split(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """The words of the texts that lie one after another in `data`, cut at `offsets`."""
-    solid = ~BLANK[data]
+def split(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK) -> Words:
+    """The words of the texts that lie one after another in `data`, cut at `offsets`; `blank` tells
+    for each byte value whether it lies between words."""
+    solid = ~blank[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     ends = solid.copy()
