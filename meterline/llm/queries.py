@@ -12,6 +12,7 @@ import corpus_pipeline
 from meterline.llm import (
     bpe,
     classifier,
+    codes,
     credentials,
     divergence,
     embeddings,
@@ -21,6 +22,7 @@ from meterline.llm import (
     quality,
     repeats,
     token_files,
+    toxicity,
 )
 from meterline.llm.common import table
 from meterline.session import scratch_path
@@ -279,3 +281,72 @@ SELECT * FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM ranked
 ) WHERE part = 'pair' OR rank <= 10
 """
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digests(*codes.compress(table(spark, sf_dir, "embeddings")))
+
+
+def _vector_codes_sql(rounds: int = 4) -> str:
+    """Each round of assigning and averaging spelt out; sums of whole numbers are exact in doubles here."""
+
+    def assigned(name: str, book: str) -> str:
+        return f"""{name} AS MATERIALIZED (
+  SELECT vec_id, part, point, arg_min(entry, (error, entry)) AS entry, min(error) AS error
+  FROM (
+    SELECT vec_id, p.part, point, entry, list_inner_product(point, point) - 2 * list_inner_product(point, center) + list_inner_product(center, center) AS error
+    FROM points p JOIN {book} b ON b.part = p.part
+  ) GROUP BY vec_id, part, point
+)"""
+
+    ctes = [
+        """kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS vector FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        """points AS MATERIALIZED (
+  SELECT vec_id, part, vector[part * (len(vector) // 4) + 1 : (part + 1) * (len(vector) // 4)] AS point
+  FROM kept, range(4) parts(part)
+)""",
+        """book0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, point AS center
+  FROM points WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256)
+)""",
+    ]
+    for at in range(rounds):
+        ctes.append(assigned(f"near{at}", f"book{at}"))
+        ctes.append(f"""book{at + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(c.center, b.center) AS center FROM book{at} b LEFT JOIN (
+    SELECT part, entry, list(average ORDER BY place) AS center FROM (
+      SELECT part, entry, place, floor(sum(x) / count(*)) AS average
+      FROM (SELECT part, entry, unnest(point) AS x, generate_subscripts(point, 1) AS place FROM near{at})
+      GROUP BY part, entry, place
+    ) GROUP BY part, entry
+  ) c ON c.part = b.part AND c.entry = b.entry
+)""")
+    ctes.append(assigned("coded", f"book{rounds}"))
+    ctes.append(f"""digest AS MATERIALIZED (
+  SELECT sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(center) AS x, generate_subscripts(center, 1) AS place FROM book{rounds})
+)""")
+    ctes.append("""vectors AS MATERIALIZED (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(error) AS BIGINT) AS error
+  FROM coded GROUP BY vec_id
+)""")
+    return (
+        "WITH "
+        + ", ".join(ctes)
+        + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM vectors JOIN kept USING (vec_id), digest
+"""
+    )
+
+
+SQL["op12_vector_codes"] = _vector_codes_sql()
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

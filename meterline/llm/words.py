@@ -90,6 +90,19 @@ def hash_words(data: np.ndarray, words: Words, seed: int = 0) -> np.ndarray:
     return mix((sums[words.ends] - sums[words.starts]) * powers(inverse(_BYTE_STEP), len(data) + 1)[words.starts])
 
 
+def hash_prefixes(data: np.ndarray, words: Words, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    """Of each size the hash of each word's first bytes, 0 for words that have fewer."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * powers(_BYTE_STEP, len(data)), out=sums[1:])
+    back = powers(inverse(_BYTE_STEP), len(data) + 1)[words.starts]
+    found = []
+    for size in sizes:
+        ends = np.minimum(words.starts + size, words.ends)
+        hashes = mix(mix((sums[ends] - sums[words.starts]) * back) + U(size))
+        found.append(np.where(words.starts + size <= words.ends, hashes, U(0)))
+    return found
+
+
 def hash_runs(hashes: np.ndarray, size: int) -> np.ndarray:
     """The hash of each run of `size` consecutive words, by its first word; shorter by size - 1."""
     count = len(hashes) - size + 1
