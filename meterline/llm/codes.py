@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.llm.common import stored
 
@@ -191,7 +192,7 @@ def decode(coded: DataFrame, books: Codebooks) -> DataFrame:
             columns = [*[batch.column(name) for name in names], vectors.cast(pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, [*names, "decoded"])
 
-    return coded.select(*names).mapInArrow(run, coded.select(*names).schema.add("decoded", "array<double>"))
+    return coded.select(*names).mapInArrow(run, coded.select(*names).schema.add("decoded", T.ArrayType(T.DoubleType())))
 
 
 def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, scale: int = SCALE) -> tuple[DataFrame, Codebooks]:

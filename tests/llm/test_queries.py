@@ -37,9 +37,10 @@ def rows(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [sum(name.startswith(f"op{n}_") for name in QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in QUERIES) for n in range(1, 14)] == [1] * 13
     assert set(QUERIES) - set(SQL) == {
-        "op1_bpe", "op6_token_files", "op8_embedding_dedup", "op9_quality_classifier", "op10_secret_scan", "pipeline",
+        "op1_bpe", "op6_token_files", "op8_embedding_dedup", "op9_quality_classifier", "op10_secret_scan",
+        "op13_toxicity", "pipeline",
     }
 
 
@@ -94,6 +95,20 @@ def test_quality_classifier(spark, duck, texts):
     assert np.mean([found[key]["predicted"] == labels[key] for key in held]) >= 0.9
 
 
+def test_toxicity(spark, duck, texts):
+    found = rows(spark, "op13_toxicity")
+    assert set(found) == set(texts)
+    assert all(row["held_out"] == (zlib.crc32(str(key).encode()) % 3 == 1) for key, row in found.items())
+    assert all(0 <= row["score"] <= 1 and row["predicted"] == (row["score"] >= 0.7) for row in found.values())
+    # Held-out accuracy needs more labels than the smallest tables have.
+    big = "/root/testdata/sf0.1"
+    labels = dict(oracle(big).execute("SELECT doc_id, toxic FROM labels").fetchall())
+    held = [row for row in QUERIES["op13_toxicity"](spark, big).collect() if row["held_out"] and row["doc_id"] in labels]
+    assert np.mean([row["predicted"] == labels[row["doc_id"]] for row in held]) >= 0.97
+    toxic = [row for row in held if labels[row["doc_id"]]]
+    assert np.mean([row["predicted"] for row in toxic]) >= 0.85
+
+
 def base_spans(text):
     kinds = [
         (r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"
