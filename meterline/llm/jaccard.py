@@ -8,7 +8,7 @@ count as a bound, and only a candidate that can still reach the overlap is check
 shingles looked up in the document's. Candidates that short lists cannot give are found among
 the documents that have many long lists, see `_long_list_links`.
 
-Documents of the same set are one class throughout, and a class is one vertex.
+Every distinct set is one vertex, whichever rows have it; a doc_id with several sets ties theirs.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql.window import Window
 from meterline.llm import words as W
 from meterline.llm.common import chunks, stored, utf8
 from meterline.llm.components import components
+from meterline.operators.numbering import assign_ids
 
 SHINGLE = 5
 PERCENT = 80
@@ -165,15 +166,30 @@ def _short_list_candidates(postings: DataFrame, percent: int) -> DataFrame:
 
 
 def _rarest(sets: DataFrame, percent: int) -> DataFrame:
-    """shingle, doc and n: the shingles of each set that it must share one of with a linked set, its
-    rarest among these sets. Those that no other set holds are counted in but left out."""
+    """shingle, doc, n and rank: the shingles of each set that it must share one of with a linked set, its
+    rarest among these sets, and their places in that order. Those that no other set holds are
+    counted in but left out."""
     full = sets.select("doc", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     held_by = full.groupBy("shingle").agg(F.count(F.lit(1)).alias("_held")).filter("_held > 1")
     ranked = full.join(stored(held_by, "held_shingles"), "shingle", "left")
     order = Window.partitionBy("doc").orderBy(F.coalesce("_held", F.lit(1)), "shingle")
-    first = F.row_number().over(order) <= F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
-    chosen = ranked.withColumn("_first", first).filter("_first AND _held IS NOT NULL")
-    return chosen.select("shingle", "doc", "n")
+    ranked = ranked.withColumn("rank", F.row_number().over(order))
+    first = F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
+    return ranked.filter(first & F.col("_held").isNotNull()).select("shingle", "doc", "n", "rank")
+
+
+def _may_link(percent: int) -> Column:
+    """Whether a shingle in which the sets a and b meet can be the first of all they share, if they link.
+
+    a is the smaller one, ranks are places in a common order. What they share from that place
+    on must reach the overlap they need; in a the place is among its first ninth or so, since
+    no smaller set is its partner here.
+    """
+    overlap = F.ceil((F.col("n") + F.col("_n")) * percent / F.lit(100 + percent))
+    smaller = (F.col("n") < F.col("_n")) | ((F.col("n") == F.col("_n")) & (F.col("a") < F.col("b")))
+    listed_first = F.col("rank") <= F.col("n") - F.ceil(F.col("n") * 2 * percent / F.lit(100 + percent)) + 1
+    rest = 1 + F.least(F.col("n") - F.col("rank"), F.col("_n") - F.col("_rank"))
+    return smaller & listed_first & _comparable("n", "_n", percent) & (rest >= overlap)
 
 
 def _long_list_links(sets: DataFrame, percent: int) -> DataFrame:
@@ -183,8 +199,8 @@ def _long_list_links(sets: DataFrame, percent: int) -> DataFrame:
     documents share then comes last, and only sets that are the same for the most part
     still meet. Such groups can be large and are not paired off: first every document is
     checked against the HEADS of its lists it meets most often. Most groups are then
-    connected, and only what lies outside a list's largest component is checked against
-    the rest of the list.
+    connected, and only sets of different components are held against each other. Of these
+    a pair is looked at where the places of a shared shingle in both leave room for a link.
     """
     postings = stored(_rarest(sets, percent), "rarest_shingles")
 
@@ -204,26 +220,14 @@ def _long_list_links(sets: DataFrame, percent: int) -> DataFrame:
 
     placed = postings.join(groups.withColumnRenamed("node", "doc"), "doc", "left")
     placed = placed.withColumn("component", F.coalesce("component", "doc"))
-    of_list = placed.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("_held"))
-    largest = of_list.groupBy("shingle").agg(
-        F.max(F.struct("_held", "component")).alias("_largest"), F.count(F.lit(1)).alias("_components")
-    )
-    largest = stored(largest.filter("_components > 1").select("shingle", "_largest.component"), "largest")
-    largest = largest.withColumnRenamed("component", "_largest")
-    open_lists = stored(placed.join(largest, "shingle"), "open_lists")
-    outside = open_lists.filter("component <> _largest").select("shingle", F.col("doc").alias("a"), "n", F.col("component").alias("_mine"))
-    others = open_lists.select("shingle", F.col("doc").alias("b"), F.col("n").alias("_n"), "component", "_largest")
-    # Two that both lie outside are met once.
-    rest = outside.join(others, "shingle").filter("_mine <> component AND (component = _largest OR a < b)")
-    rest = rest.filter(_comparable("n", "_n", percent))
-    rest = rest.groupBy(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).agg(
-        F.count(F.lit(1)).alias("_met"), F.max(F.greatest("n", "_n")).alias("_n"), F.max(F.least("n", "_n")).alias("_m")
-    )
-    # All they share beyond the rarest shingles of the set whose rarest end first are its others.
-    overlap = F.ceil((F.col("_n") + F.col("_m")) * percent / F.lit(100 + percent))
-    others_of = F.ceil(F.col("_n") * percent / F.lit(100)) - 1
-    rest = rest.filter(F.col("_met") >= overlap - others_of).select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-    return first.unionByName(_linked(rest, sets, percent))
+    # A list whose documents are all connected shows nothing new.
+    open_lists = placed.groupBy("shingle").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    open_lists = stored(open_lists.filter("_low <> _high").select("shingle"), "open_lists")
+    placed = stored(placed.join(open_lists, "shingle", "left_semi"), "open_postings")
+    mine = placed.select("shingle", F.col("doc").alias("a"), "n", "rank", F.col("component").alias("_mine"))
+    theirs = placed.select("shingle", F.col("doc").alias("b"), F.col("n").alias("_n"), F.col("rank").alias("_rank"), "component")
+    rest = mine.join(theirs, (mine["shingle"] == theirs["shingle"]) & (F.col("_mine") != F.col("component")) & _may_link(percent))
+    return first.unionByName(_linked(rest.select("a", "b").distinct(), sets, percent))
 
 
 def _least_of_each(rows: DataFrame, count: int) -> DataFrame:
@@ -242,8 +246,9 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, long_l
     A set is the distinct runs of `shingle` words, A to Z lowered; a shorter text is one run.
     Two documents link if 100 times what their sets share is at least `percent` times what
     they hold together. Every link between different sets is found. A null or empty text has an
-    empty set and links with nothing. Rows of one doc_id are one vertex. A null doc_id
-    has no component and connects nothing.
+    empty set and links with nothing. Rows of one doc_id are one document: it links with what any
+    of its sets links with, and all its rows have one component. A null doc_id has no component
+    and connects nothing. Other columns are not read.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -251,26 +256,70 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, long_l
         F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
     )
     names = stored(_fingerprints(rows, shingle), "set_names")
-    key = ["n_shingles", "one", "two"]
     full = names.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(full.groupBy(*key).agg(F.min("doc_id").alias("class")), "set_classes")
-    links = _links(_one_of_each(rows, full, classes, key), shingle, percent, long_list)
-
-    groups = components(links).select(F.col("node").alias("class"), "component")
-    of_class = classes.join(groups, "class", "left")
-    of_class = stored(of_class.select(*key, F.coalesce("component", "class").alias("component_id")), "components")
-    found = names.join(of_class, key, "left")
+    vertices = _vertices(full)
+    links = _links(_one_of_each(rows, full, vertices), shingle, percent, long_list)
+
+    # Sets that one doc_id has several of are tied to each other.
+    held = full.join(vertices, _NAME).select("doc_id", "vertex").distinct()
+    least = held.groupBy("doc_id").agg(F.min("vertex").alias("a"), F.max("vertex").alias("_most")).filter("a < _most")
+    ties = held.join(stored(least, "repeated_ids"), "doc_id").select("a", F.col("vertex").alias("b"))
+
+    groups = components(links.unionByName(ties))
+    placed = vertices.join(groups, vertices["vertex"] == groups["node"], "left")
+    placed = stored(placed.select(*_NAME, "class", F.coalesce("component", "vertex").alias("component")), "components")
+    smallest = placed.groupBy("component").agg(F.min("class").alias("component_id"))
+    of_set = placed.join(stored(smallest, "component_ids"), "component").select(*_NAME, "component_id")
+    of_doc = full.join(of_set, _NAME).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    found = names.join(of_doc, "doc_id", "left")
     mine = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return found.select("doc_id", "n_shingles", mine.alias("component_id"))
 
 
-def _one_of_each(rows: DataFrame, full: DataFrame, classes: DataFrame, key: list[str]) -> DataFrame:
-    """The rows without those whose set a smaller doc_id has too. These are few, or Spark finds the
-    table of them too large to be sent to all tasks and shuffles."""
-    copies = full.join(classes, key).filter("doc_id <> class")
-    copies = stored(copies.select(F.col("doc_id").alias("_copy"), F.col("text_hash").alias("_hash")), "copies")
-    same = (F.col("doc_id") == F.col("_copy")) & (F.col("text_hash") == F.col("_hash"))
-    return rows.filter("doc_id IS NOT NULL").join(copies, same, "left_anti").select("doc_id", "text")
+# The columns that name a set.
+_NAME = ["n_shingles", "one", "two"]
+
+
+def _vertices(full: DataFrame) -> DataFrame:
+    """Of each set its name, the row that stands for it (class, text_hash) and its vertex.
+
+    The vertex is the least doc_id that has the set. Where that stands for several sets, these
+    get numbers of their own beyond all doc_ids.
+    """
+    sets = full.groupBy(*_NAME).agg(F.min(F.struct(F.col("doc_id").alias("class"), "text_hash")).alias("row"))
+    sets = stored(sets.select(*_NAME, "row.class", "row.text_hash"), "sets_named")
+    several = stored(sets.groupBy("class").agg(F.count(F.lit(1)).alias("_sets")).filter("_sets > 1").select("class"), "several_sets")
+    if several.isEmpty():
+        return sets.withColumn("vertex", F.col("class"))
+    bounds = full.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows")).first()
+    room_above = bounds["high"] + bounds["rows"] < (1 << 63) - 1
+    start = bounds["high"] + 1 if room_above else bounds["low"] - bounds["rows"] - 1
+    odd = assign_ids(sets.join(several, "class", "left_semi"), into="vertex", start=start)
+    rest = sets.join(several, "class", "left_anti").withColumn("vertex", F.col("class"))
+    return stored(rest.unionByName(odd.select(*rest.columns)), "vertices")
+
+
+def _one_of_each(rows: DataFrame, full: DataFrame, vertices: DataFrame) -> DataFrame:
+    """vertex and text of one row of each set.
+
+    The other rows are few, and those with a vertex other than their doc_id fewer, or Spark
+    finds the tables of them too large to be sent to all tasks and shuffles.
+    """
+    known = full.join(vertices.withColumnRenamed("text_hash", "_hash"), _NAME)
+    others = known.filter("doc_id <> class OR text_hash <> _hash").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    chosen = rows.filter("doc_id IS NOT NULL").join(stored(others.distinct(), "copies"), same, "left_anti")
+
+    again = full.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    again = stored(again.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "repeated_rows")
+    if not again.isEmpty():
+        # Of equal rows one is kept; only these are shuffled.
+        once = chosen.join(again, same, "left_anti")
+        chosen = once.unionByName(chosen.join(again, same, "left_semi").dropDuplicates(["doc_id", "text_hash"]))
+    renamed = vertices.filter("vertex <> class")
+    renamed = renamed.select(F.col("class").alias("_id"), F.col("text_hash").alias("_hash"), "vertex")
+    named = chosen.join(stored(renamed, "renamed"), same, "left")
+    return named.select(F.coalesce("vertex", "doc_id").alias("doc_id"), "text")
 
 
 def _links(docs: DataFrame, shingle: int, percent: int, long_list: int) -> DataFrame:

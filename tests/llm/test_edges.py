@@ -167,6 +167,67 @@ def test_rows_of_one_document_do_not_make_its_lines_boilerplate(docs):
 # ---- Jaccard join
 
 
+def brute_groups(rows):
+    """The component of every doc_id, each pair of its sets held against each other."""
+    sets = {}
+    for doc_id, text in rows:
+        words = (text or "").lower().split()
+        if doc_id is not None:
+            sets.setdefault(doc_id, []).append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    group = {doc_id: doc_id for doc_id in sets}
+
+    def root(key):
+        while group[key] != key:
+            key = group[key]
+        return key
+
+    for a in sets:
+        for b in sets:
+            if a < b and any(x and 100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b]):
+                low, high = sorted((root(a), root(b)))
+                group[high] = low
+    return {doc_id: root(doc_id) for doc_id in sets}
+
+
+def edited(random, base, most):
+    words = list(base)
+    for at in random.integers(0, len(base), random.integers(0, most)):
+        words[at] = f"x{random.integers(0, 100_000)}"
+    return " ".join(words)
+
+
+def test_jaccard_of_repeated_ids_in_large_groups(docs):
+    """Ninety near copies at the default settings, ids with several texts, and one id in two groups."""
+    random = np.random.default_rng(11)
+    base, other = [f"w{i}" for i in range(200)], [f"v{i}" for i in range(200)]
+    rows = [(i, edited(random, base, 8)) for i in range(90)] + [(500 + i, edited(random, other, 8)) for i in range(90)]
+    rows += [(7, edited(random, base, 8)), (7, numbered(80)), (700, numbered(80)), (90, edited(random, base, 8)), (90, None)]
+    rows += [(3, rows[4][1]), (2, rows[2][1]), (2, rows[2][1])]
+    found = jaccard.join(docs(*rows)).collect()
+    assert {row["doc_id"]: row["component_id"] for row in found} == brute_groups(rows)
+    tied = [*rows, (600, edited(random, base, 8)), (600, edited(random, other, 8))]
+    found = jaccard.join(docs(*tied)).collect()
+    assert len(found) == len(tied)
+    assert {(row["doc_id"], row["component_id"]) for row in found} == set(brute_groups(tied).items())
+
+
+@pytest.mark.parametrize(("seed", "long_list"), [(1, 2), (2, 2), (3, 8)])
+def test_jaccard_of_texts_that_share_most_of_a_passage(docs, seed, long_list):
+    """Passages that make up more or less than the share needed, so that links lie near the threshold."""
+    random = np.random.default_rng(seed)
+    rows = []
+    for passage in range(4):
+        base = [f"p{passage}_{i}" for i in range(random.integers(40, 120))]
+        for _ in range(45):
+            cut = base[random.integers(0, 8) : len(base) - random.integers(0, 8)]
+            own = [f"o{random.integers(0, 60)}" for _ in range(random.integers(0, 25))]
+            rows.append((len(rows), " ".join([*cut, *own] if random.random() < 0.5 else [*own, *cut])))
+    order = random.permutation(len(rows))
+    rows = [(int(order[i]), text) for i, text in rows]
+    found = jaccard.join(docs(*rows), long_list=long_list).collect()
+    assert {row["doc_id"]: row["component_id"] for row in found} == brute_groups(rows)
+
+
 @pytest.mark.parametrize("long_list", [32, 1])
 def test_jaccard_equals_brute_force(docs, long_list):
     random = np.random.default_rng(3)
@@ -180,25 +241,10 @@ def test_jaccard_equals_brute_force(docs, long_list):
     for i in range(20):
         rows.append((200 + i, " ".join([*base[:45], *[f"y{i}_{j}" for j in range(random.integers(5, 60))]])))
     rows += [(100, rows[10][1]), (300, rows[10][1].upper()), (None, rows[10][1])]
-    sets = {}
-    for doc_id, text in rows:
-        words = (text or "").lower().split()
-        if doc_id is not None:
-            sets.setdefault(doc_id, []).append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    group = {doc_id: doc_id for doc_id in sets}
-    changed = True
-    while changed:
-        changed = False
-        for a in sets:
-            for b in sets:
-                linked = any(x and 100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b])
-                if linked and group[a] != group[b]:
-                    group[a] = group[b] = min(group[a], group[b])
-                    changed = True
     given = docs(*rows).withColumn("n", F.lit(0)).withColumn("component", F.lit(0))
     found = by_id(jaccard.join(given, long_list=long_list))
     assert len(found) == len(rows)
-    assert {row["doc_id"]: row["component_id"] for row in found} == {None: None, **group}
+    assert {row["doc_id"]: row["component_id"] for row in found} == {None: None, **brute_groups(rows)}
     assert {row["n_shingles"] for row in found if row["doc_id"] in (1, 2, 3)} == {0}
     assert [row["n_shingles"] for row in found if row["doc_id"] == 8] == [59_996]
 
