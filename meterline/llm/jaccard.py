@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 from itertools import groupby
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,11 @@ PERCENT = 80
 LONG_LIST = 32
 # How many of a long list's documents its others are compared with first.
 HEADS = 8
+# How many of those that it meets most often a document is checked against in a round.
+CHECKED = 2
+ROUNDS = 8
+# Bits that stand for a set, in words of 64.
+PARITY_WORDS = 16
 
 
 def shingle_sets(part: pa.RecordBatch, size: int) -> list[np.ndarray]:
@@ -95,18 +102,31 @@ def _fingerprints(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, one long, two long")
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set PARITY_WORDS * 64 bits: whether an odd number of its hashes falls on them.
+
+    Two sets differ in at least as many hashes as bits.
+    """
+    bits = np.zeros((len(sets), PARITY_WORDS), np.uint64)
+    hashes = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    word = (hashes >> W.U(6)) % W.U(PARITY_WORDS)
+    np.bitwise_xor.at(bits, (np.repeat(np.arange(len(sets)), list(map(len, sets))), word), W.U(1) << (hashes & W.U(63)))
+    return bits
+
+
 def _sets(docs: DataFrame, size: int, percent: int | None) -> DataFrame:
-    """doc, n and shingles: all of a set, or its first ones if `percent` is given."""
+    """doc, n, shingles and parity: all of a set, or its first ones and no parity if `percent` is given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
                 sets = shingle_sets(part, size)
                 shown = [s if percent is None else s[: listed(len(s), percent)] for s in sets]
-                columns = [part.column("doc_id"), pa.array(list(map(len, sets)), pa.int32()), _lists(shown)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "shingles"])
+                bits = _lists(list(parities(sets))) if percent is None else pa.nulls(len(sets), pa.list_(pa.int64()))
+                columns = [part.column("doc_id"), pa.array(list(map(len, sets)), pa.int32()), _lists(shown), bits]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "shingles", "parity"])
 
-    return docs.mapInArrow(run, "doc long, n int, shingles array<long>")
+    return docs.mapInArrow(run, "doc long, n int, shingles array<long>, parity array<long>")
 
 
 def _comparable(a: Column | str, b: Column | str, percent: int) -> Column:
@@ -183,13 +203,15 @@ def _may_link(percent: int) -> Column:
 
     a is the smaller one, ranks are places in a common order. What they share from that place
     on must reach the overlap they need; in a the place is among its first ninth or so, since
-    no smaller set is its partner here.
+    no smaller set is its partner here. Nor may their parities differ more than such sets can.
     """
     overlap = F.ceil((F.col("n") + F.col("_n")) * percent / F.lit(100 + percent))
     smaller = (F.col("n") < F.col("_n")) | ((F.col("n") == F.col("_n")) & (F.col("a") < F.col("b")))
     listed_first = F.col("rank") <= F.col("n") - F.ceil(F.col("n") * 2 * percent / F.lit(100 + percent)) + 1
     rest = 1 + F.least(F.col("n") - F.col("rank"), F.col("_n") - F.col("_rank"))
-    return smaller & listed_first & _comparable("n", "_n", percent) & (rest >= overlap)
+    differing = reduce(add, [F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("_parity")[i])) for i in range(PARITY_WORDS)])
+    fits = smaller & listed_first & _comparable("n", "_n", percent) & (rest >= overlap)
+    return fits & (F.col("n") + F.col("_n") - differing >= 2 * overlap)
 
 
 def _long_list_links(sets: DataFrame, percent: int) -> DataFrame:
@@ -197,37 +219,66 @@ def _long_list_links(sets: DataFrame, percent: int) -> DataFrame:
 
     Here shingles are ordered by how many of these sets hold them. A passage that very many
     documents share then comes last, and only sets that are the same for the most part
-    still meet. Such groups can be large and are not paired off: first every document is
-    checked against the HEADS of its lists it meets most often. Most groups are then
-    connected, and only sets of different components are held against each other. Of these
-    a pair is looked at where the places of a shared shingle in both leave room for a link.
+    still meet. Such groups can be large and are not paired off: in rounds every document is
+    checked against a few of its lists' documents that lie in other components of the links
+    found so far. Once a round links few of the pairs it checks (or after ROUNDS, which no
+    result depends on), what is left are sets of different components that meet. Of these a pair
+    is looked at where the places of a shared shingle in both, and their parities, leave room
+    for a link.
     """
     postings = stored(_rarest(sets, percent), "rarest_shingles")
 
-    def counted(pairs: DataFrame) -> DataFrame:
-        fits = pairs.filter(_comparable("n", "_n", percent))
-        return fits.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_met"))
+    def named(groups: DataFrame) -> DataFrame:
+        of_doc = stored(groups.withColumnRenamed("node", "doc"), "long_groups")
+        return postings.join(of_doc, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+
+    placed, links = postings.withColumn("component", F.col("doc")), []
+    for number in range(ROUNDS):
+        pairs = stored(_best_heads(placed, percent, number), "head_pairs")
+        links.append(stored(_linked(pairs, sets, percent), "long_links"))
+        found = links[-1].count()
+        if found:
+            placed = _open(named(components(reduce(DataFrame.unionByName, links))))
+        if found * 20 <= pairs.count():
+            break
+    placed = placed.join(sets.select("doc", "parity"), "doc")
+    mine = placed.select("shingle", F.col("doc").alias("a"), "n", "rank", F.col("component").alias("_mine"), "parity")
+    theirs = placed.select("shingle", F.col("component"), *[F.col(x).alias(y) for x, y in _THEIRS.items()])
+    rest = mine.join(theirs, (mine["shingle"] == theirs["shingle"]) & (F.col("_mine") != F.col("component")) & _may_link(percent))
+    return reduce(DataFrame.unionByName, [*links, _linked(rest.select("a", "b").distinct(), sets, percent)])
+
+
+_THEIRS = {"doc": "b", "n": "_n", "rank": "_rank", "parity": "_parity"}
 
-    # Of each list the HEADS documents of the least hashes, so mostly the same ones in all lists of a group.
-    place = F.struct(F.xxhash64("doc").alias("_hash"), F.col("doc").alias("b"), F.col("n").alias("_n"))
-    heads = _least_of_each(postings.select("shingle", place.alias("_place")), HEADS)
-    heads = stored(heads.select("shingle", "_place.b", "_place._n"), "heads")
-    near = counted(postings.withColumnRenamed("doc", "a").join(heads, "shingle").filter("a <> b"))
-    best = Window.partitionBy("a").orderBy(F.desc("_met"), "b")
-    near = near.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= HEADS)
-    first = stored(_linked(near, sets, percent), "long_links")
-    groups = stored(components(first), "long_groups")
 
-    placed = postings.join(groups.withColumnRenamed("node", "doc"), "doc", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "doc"))
+def _open(placed: DataFrame) -> DataFrame:
+    """The lists whose documents lie in several components, with `outside`: not in the list's largest."""
+    held = placed.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("_held"))
+    largest = held.groupBy("shingle").agg(
+        F.max(F.struct("_held", "component")).alias("_largest"), F.count(F.lit(1)).alias("_components")
+    )
+    largest = largest.filter("_components > 1").select("shingle", F.col("_largest.component").alias("_main"))
     # A list whose documents are all connected shows nothing new.
-    open_lists = placed.groupBy("shingle").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-    open_lists = stored(open_lists.filter("_low <> _high").select("shingle"), "open_lists")
-    placed = stored(placed.join(open_lists, "shingle", "left_semi"), "open_postings")
-    mine = placed.select("shingle", F.col("doc").alias("a"), "n", "rank", F.col("component").alias("_mine"))
-    theirs = placed.select("shingle", F.col("doc").alias("b"), F.col("n").alias("_n"), F.col("rank").alias("_rank"), "component")
-    rest = mine.join(theirs, (mine["shingle"] == theirs["shingle"]) & (F.col("_mine") != F.col("component")) & _may_link(percent))
-    return first.unionByName(_linked(rest.select("a", "b").distinct(), sets, percent))
+    open_ = placed.join(stored(largest, "largest"), "shingle")
+    return stored(open_.withColumn("outside", F.col("component") != F.col("_main")).drop("_main"), "open_postings")
+
+
+def _best_heads(placed: DataFrame, percent: int, number: int) -> DataFrame:
+    """Pairs (a, b): for each document the CHECKED ones it meets most often among the heads of its lists.
+
+    A list's heads are the HEADS documents of the least hashes, so mostly the same ones in all
+    lists of a group; each round draws others. After the first, only what lies outside its
+    list's largest component is checked, against other components.
+    """
+    place = F.struct(F.xxhash64(F.lit(number), "doc").alias("_hash"), F.col("doc").alias("b"), F.col("n").alias("_n"), "component")
+    heads = _least_of_each(placed.select("shingle", place.alias("_place")), HEADS)
+    heads = stored(heads.select("shingle", "_place.b", "_place._n", F.col("_place.component").alias("_theirs")), "heads")
+    mine = placed.filter("outside") if number else placed
+    near = mine.withColumnRenamed("doc", "a").join(heads, "shingle")
+    near = near.filter((F.col("component") != F.col("_theirs")) & _comparable("n", "_n", percent))
+    met = near.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_met"))
+    best = Window.partitionBy("a").orderBy(F.desc("_met"), "b")
+    return met.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= CHECKED).select("a", "b")
 
 
 def _least_of_each(rows: DataFrame, count: int) -> DataFrame:
@@ -340,7 +391,7 @@ def _links(docs: DataFrame, shingle: int, percent: int, long_list: int) -> DataF
     wanted = candidates.select(F.col("a").alias("_doc")).unionByName(candidates.select(F.col("b").alias("_doc")))
     wanted = stored(wanted.unionByName(many).distinct(), "wanted")
     sets = _sets(docs.join(wanted, F.col("doc_id") == F.col("_doc"), "left_semi"), shingle, None)
-    sets = stored(sets.select("doc", "shingles"), "sets")
+    sets = stored(sets.select("doc", "shingles", "parity"), "sets")
     links = _linked(candidates, sets, percent)
     if many.isEmpty():
         return links
