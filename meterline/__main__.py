@@ -68,6 +68,7 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     train.add_argument("--depth", type=int, default=forest.DEPTH)
     train.add_argument("--bins", type=int, default=forest.BINS, help="split points per feature")
     train.add_argument("--partitions", type=int, default=forest.PARTITIONS, help="parts the rows are fitted in")
+    train.add_argument("--store", help="a folder of fitted models, where one of the same rows and settings is looked for first")
     train.add_argument("--memory-mb", type=int, default=256, help="split statistics per running task")
 
     score = runs.add_parser("score", help="predict for every row of a Parquet table")
@@ -106,9 +107,14 @@ def run(given: argparse.Namespace, spark: SparkSession) -> None:
     elif given.run == "train":
         training.snapshot(spark, given.root, given.out, given.year, given.months)
         rows = training.read_snapshot(spark, given.out)
-        result = training.train(
-            rows, "row_key", given.model, given.trees, given.depth, given.memory_mb, given.bins, given.partitions
-        )
+        settings = {"trees": given.trees, "depth": given.depth, "memory_mb": given.memory_mb}
+        settings |= {"bins": given.bins, "partitions": given.partitions}
+        if given.store:
+            result = training.train_once(rows, "row_key", given.store, **settings)
+            if result.saved:
+                result.model.write().overwrite().save(given.model)
+        else:
+            result = training.train(rows, "row_key", given.model, **settings)
         print(f"RMSE {result.rmse}: model {'saved' if result.saved else 'not saved'}")
     elif given.run == "score":
         rows = spark.read.parquet(given.input)

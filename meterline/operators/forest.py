@@ -51,8 +51,11 @@ def forest(
 ) -> Pipeline:
     """Fill gaps with the median, assemble, and fit a forest that tries every feature at each split.
 
-    Each running task may hold `memory_mb` of split statistics, about 50 KB per tree node. A
-    level of the trees with more nodes than that takes several passes over the rows.
+    Each running task may hold `memory_mb` of split statistics, 24 bytes for each bin of each
+    feature and node. A level of the trees with more nodes than that takes several passes over the
+    rows. Every part sends these statistics for every node, so the cost of deep levels goes with
+    parts and bins, not with rows. Where a row is in each tree is kept between passes, and
+    checkpointed in the shared folder.
     """
     filled = [f"{name}_filled" for name in schema.FEATURES]
     return Pipeline(
@@ -69,6 +72,7 @@ def forest(
                 featureSubsetStrategy="all",
                 minInstancesPerNode=1,
                 maxMemoryInMB=memory_mb,
+                cacheNodeIds=True,
             ),
         ]
     )

@@ -6,6 +6,7 @@ dates and timestamps as text, whole numbers as bigint, or as double where they m
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -28,7 +29,7 @@ from meterline.operators import (
     upsert,
 )
 from meterline.plans import landing, loading, training
-from meterline.session import scratch_path
+from meterline.session import scratch_path, shared_path
 from meterline.sinks import jdbc, months, snapshots, tables
 from meterline.sources import trips as trip_files
 from meterline.sources.derived import YEAR, trips_from_events, zones_from_places
@@ -646,23 +647,23 @@ def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(stored(spark, sf_dir, "training", write))
 
 
-_TRAINED: dict[str, training.Trained] = {}
+# The queries' tables are small: so few parts and bins serve them, at all trees and levels.
+FIT_PARTITIONS = 4
+FIT_BINS = 128
+_TRAINED: dict[tuple[str, str], training.Fitted] = {}
 
 
-def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.Trained, str]:
-    """The stored frame, and the model with its own settings, fitted to it once per application."""
+def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.Fitted]:
+    """The stored frame, and the model of all trees and levels fitted to it by this or an earlier application."""
     frame = training_frame(spark, sf_dir)
-
-    def write(path: str) -> None:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
         memory_mb = fitting_memory(spark, frame.count())
-        result = training.train(frame, "event_id", f"{path}/model", memory_mb=memory_mb)
-        if not result.saved:
-            result.model.write().overwrite().save(f"{path}/model")
-        _TRAINED[path] = result
-        spark.range(1).write.mode("append").parquet(path)  # leaves the mark of a finished write
-
-    path = stored(spark, sf_dir, "forest", write)
-    return frame, _TRAINED[path], f"{path}/model"
+        store, name = shared_path(spark, "models"), re.sub(r"\W+", "_", sf_dir)
+        _TRAINED[key] = training.train_once(
+            frame, "event_id", store, name, memory_mb=memory_mb, bins=FIT_BINS, partitions=FIT_PARTITIONS
+        )
+    return frame, _TRAINED[key]
 
 
 def label_range(frame: DataFrame) -> DataFrame:
@@ -678,7 +679,7 @@ def in_range(predicted: DataFrame, frame: DataFrame) -> DataFrame:
 
 @query
 def rf_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, result, _ = trained(spark, sf_dir)
+    frame, result = trained(spark, sf_dir)
     spread = F.stddev_pop(schema.LABEL)
     return flat(
         frame.agg(
@@ -694,16 +695,18 @@ def rf_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, result, _ = trained(spark, sf_dir)
+    frame, result = trained(spark, sf_dir)
     _, test = forest.split(columns.features_and_label(frame, "event_id"), "event_id")
     return in_range(result.model.transform(test).select("event_id", "label", "prediction"), frame)
 
 
 @query
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of the model and of its saved copy, compared per vendor's trips."""
-    frame, result, path = trained(spark, sf_dir)
+    """Predictions of the model and of a copy saved and loaded, compared by the number of passengers."""
+    frame, result = trained(spark, sf_dir)
     _, test = forest.split(columns.features_and_label(frame, "event_id"), "event_id")
+    path = scratch_path(spark, "model_copy")
+    result.model.write().save(path)
     reloaded = forest.load(path)
     own = result.model.transform(test).select("event_id", *schema.FEATURES, F.col("prediction").alias("own"))
     both = forest.score(reloaded, own, "event_id", "own", "passenger_count")
@@ -719,8 +722,8 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, _, path = trained(spark, sf_dir)
-    return in_range(training.score_table(path, frame, "event_id").fillna("", ["input_problem"]), frame)
+    frame, result = trained(spark, sf_dir)
+    return in_range(training.score_table(result.path, frame, "event_id").fillna("", ["input_problem"]), frame)
 
 
 @query

@@ -141,6 +141,8 @@ def calendar(name: str, first: str, last: str) -> str:
 
 YEAR_CALENDAR = calendar("days", "DATE '2024-01-01'", "DATE '2025-01-01'")
 
+_IN_CALENDAR = "{0} >= TIMESTAMP '2024-01-01' AND {0} < TIMESTAMP '2025-01-02'"
+
 SECONDS = """
 seconds AS (
   SELECT CAST(s // 3600 * 10000 + s % 3600 // 60 * 100 + s % 60 AS INTEGER) AS time_key,
@@ -513,20 +515,24 @@ FROM monthly WHERE "year" = 2024""",
     + " ".join(f"WHEN NOT coalesce({condition}, false) THEN '{c}_in_range'" for c, condition in _MODEL_RANGES)
     + " ELSE '' END AS input_problem FROM trips",
     # implied
-    "star_view": with_(TRIPS, FACT, VENDORS, RATECODES, PAYMENT_TYPES, FLAGS, ZONES, YEAR_CALENDAR, SECONDS).replace(
-        " AS (\n", " AS MATERIALIZED (\n"
-    ).replace("fact AS (", "fact AS MATERIALIZED (")
-    + """SELECT event_id, vendor_name, ratecode_label, payment_type_label, flags.label AS store_and_fwd_label,
+    # Dates and times follow from the trip itself; the calendar ends a day after its year.
+    "star_view": with_(TRIPS, CONFORMED, VENDORS, RATECODES, PAYMENT_TYPES, FLAGS, ZONES)
+    + f""", named AS MATERIALIZED (
+  SELECT event_id, vendor_name, ratecode_label, payment_type_label, flags.label AS store_and_fwd_label,
+    pu_location_id, do_location_id, pickup_datetime, dropoff_datetime, total_amount
+  FROM (SELECT * FROM conformed WHERE accepted) fact LEFT JOIN vendors USING (vendor_id) LEFT JOIN ratecodes USING (ratecode_id)
+  LEFT JOIN payment_types USING (payment_type_id) LEFT JOIN flags ON flags.store_and_fwd_flag = fact.store_and_fwd_flag
+), listed AS MATERIALIZED (
+  SELECT * FROM zones
+)
+SELECT event_id, vendor_name, ratecode_label, payment_type_label, store_and_fwd_label,
   pz.borough AS pu_borough, pz.zone_name AS pu_zone_name, dz.zone_name AS do_zone_name,
-  dz.service_zone AS do_service_zone, CAST(pd.full_date AS VARCHAR) AS pu_full_date,
-  CAST(dd.day_of_week AS DOUBLE) AS do_day_of_week, pt.full_time AS pu_full_time, dt.full_time AS do_full_time,
+  dz.service_zone AS do_service_zone,
+  CASE WHEN {_IN_CALENDAR.format("pickup_datetime")} THEN strftime(pickup_datetime, '%Y-%m-%d') END AS pu_full_date,
+  CASE WHEN {_IN_CALENDAR.format("dropoff_datetime")} THEN CAST(isodow(dropoff_datetime) AS DOUBLE) END AS do_day_of_week,
+  strftime(pickup_datetime, '%H:%M:%S') AS pu_full_time, strftime(dropoff_datetime, '%H:%M:%S') AS do_full_time,
   CAST(total_amount AS DOUBLE) AS total_amount
-FROM fact LEFT JOIN vendors USING (vendor_id) LEFT JOIN ratecodes USING (ratecode_id)
-LEFT JOIN payment_types USING (payment_type_id)
-LEFT JOIN flags ON flags.store_and_fwd_flag = fact.store_and_fwd_flag
-LEFT JOIN zones pz ON pz.location_id = pu_location_id LEFT JOIN zones dz ON dz.location_id = do_location_id
-LEFT JOIN days pd ON pd.date_key = pu_date_key LEFT JOIN days dd ON dd.date_key = do_date_key
-LEFT JOIN seconds pt ON pt.time_key = pu_time_key LEFT JOIN seconds dt ON dt.time_key = do_time_key""",
+FROM named LEFT JOIN listed pz ON pz.location_id = pu_location_id LEFT JOIN listed dz ON dz.location_id = do_location_id""",
     "weekday_revenue": with_(TRIPS, FACT, YEAR_CALENDAR)
     + """SELECT CAST(day_of_week AS BIGINT) AS day_of_week, is_weekend, count(*) AS trips,
   CAST(sum(total_amount) AS DOUBLE) AS revenue

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
+import warnings
 from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterline.operators import forest
 from meterline.operators.columns import features_and_label, training_columns
 from meterline.operators.rules import model_input_rules, tag
 from meterline.sinks.snapshots import write_csv, write_parquet
-from meterline.sources.trips import read_months
+from meterline.sources.trips import exists, read_months
 
 # The months the model learns from.
 YEAR = 2025
@@ -60,6 +65,66 @@ def train(
     return Trained(model, error, forest.save_if_good(model, error, model_path))
 
 
+class Fitted(NamedTuple):
+    model: PipelineModel
+    rmse: float | None
+    saved: bool
+    path: str
+    reused: bool
+
+
+FIT_LOG = "fingerprint string, name string, path string, rmse double, saved boolean"
+
+
+def fingerprint(frame: DataFrame, key: str, **settings) -> str:
+    """What a fit follows from: the rows with their keys, in any order, the settings and the Spark version."""
+    rows = forest.labelled(features_and_label(frame, key))
+    total = F.sum(F.xxhash64(*sorted(rows.columns)).cast("decimal(38,0)"))
+    seen = rows.agg(F.count(F.lit(1)).alias("rows"), total.alias("total")).first()
+    told = {"rows": seen["rows"], "total": str(seen["total"]), "spark": frame.sparkSession.version, **settings}
+    return hashlib.sha256(json.dumps(told, sort_keys=True).encode()).hexdigest()
+
+
+def train_once(
+    frame: DataFrame,
+    key: str,
+    store: str,
+    name: str = "fare",
+    trees: int = forest.TREES,
+    depth: int = forest.DEPTH,
+    memory_mb: int = 256,
+    bins: int = forest.BINS,
+    partitions: int = forest.PARTITIONS,
+) -> Fitted:
+    """As `train`, or the model that an earlier call, in whatever application, fitted to the same
+    rows with the same settings, found in the folder `store` by their fingerprint.
+
+    If the store has models of this name for other rows or settings only, they are stale: a
+    warning says so, and a new one is fitted. Models and their log rows are only ever added, and a
+    row is added once its model is written, so a fit that dies leaves nothing to be found.
+    Two calls at once may both fit; either model will do. The model is kept in the store even
+    if it is not good enough; `saved` tells whether it is.
+    """
+    spark = frame.sparkSession
+    settings = {"trees": trees, "depth": depth, "bins": bins, "partitions": partitions, "seed": forest.SEED}
+    mark = fingerprint(frame, key, **settings)
+    log = f"{store.rstrip('/')}/log"
+    known = spark.read.schema(FIT_LOG).parquet(log).filter(F.col("name") == name) if exists(spark, log) else None
+    if known is not None:
+        for row in known.filter(F.col("fingerprint") == mark).orderBy("path").collect():
+            if exists(spark, f"{row['path']}/metadata"):
+                return Fitted(forest.load(row["path"]), row["rmse"], row["saved"], row["path"], True)
+        if not known.isEmpty():
+            warnings.warn(f"the stored models {name!r} are stale: fitted to other rows or settings", stacklevel=2)
+    path = f"{store.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    result = train(frame, key, path, trees, depth, memory_mb, bins, partitions)
+    if not result.saved:
+        result.model.write().overwrite().save(path)
+    rows = [(mark, name, path, result.rmse, result.saved)]
+    spark.createDataFrame(rows, FIT_LOG).coalesce(1).write.mode("append").parquet(log)
+    return Fitted(result.model, result.rmse, result.saved, path, False)
+
+
 def score_table(model_path: str, df: DataFrame, *keep: str) -> DataFrame:
     """Predictions for any table with the features; `input_problem` names the first one out of range."""
     judged = tag(df, model_input_rules(), "input_problem")

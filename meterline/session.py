@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import getpass
 import re
 import shutil
 import tempfile
@@ -48,6 +49,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/meterline/{label}-{uuid.uuid4().hex}"
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A folder under `spark.checkpoint.dir` that later applications find again under the same name.
+
+    A local session without that setting has it in its user's temporary folder.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return f"{root.rstrip('/')}/meterline/{name}"
+    _own_folder(spark)  # refuses a cluster
+    return f"{tempfile.gettempdir()}/meterline-{getpass.getuser()}/{name}"
+
+
 # The setting cannot be changed on a running session, so a folder made here is kept here.
 _OWN_FOLDERS: dict[str, str] = {}
 

@@ -90,3 +90,57 @@ def test_two_snapshots_split_alike(spark, raw, tmp_path):
         assert rows.select("row_key").distinct().count() == 80
         sides.append({row["row_key"] for row in forest.split(rows, "row_key")[1].collect()})
     assert sides[0] == sides[1] and 0 < len(sides[0]) < 80
+
+
+def test_a_model_is_found_again_until_its_rows_or_settings_change(spark, fares, tmp_path, monkeypatch):
+    store = str(tmp_path / "store")
+    small = {"trees": 3, "depth": 4, "partitions": 2}
+    first = training.train_once(fares, "trip", store, **small)
+    assert not first.reused and first.saved and first.rmse < 10
+    with monkeypatch.context() as patched:
+        patched.setattr(training, "train", lambda *_: pytest.fail("nothing is to be fitted"))
+        # The rows' order and layout do not matter, nor does the memory.
+        again = training.train_once(fares.repartition(7, "fare_amount"), "trip", store, memory_mb=64, **small)
+    assert again.reused and again[1:4] == first[1:4]
+    rows = features_and_label(fares, "trip")
+    both = [{row["trip"]: row["prediction"] for row in model.transform(rows).collect()} for model in (first.model, again.model)]
+    assert both[0] == both[1]
+    for frame, settings in ((fares.filter("trip <> 3"), small), (fares, {**small, "depth": 3})):
+        with pytest.warns(UserWarning, match="stale"):
+            assert not training.train_once(frame, "trip", store, **settings).reused
+    # Another name has no models yet, so none of it is stale; a model not good enough is kept, and said to be so.
+    wild = fares.withColumn("total_amount", F.xxhash64("trip") % 100_000 * 1.0)
+    odd = training.train_once(wild, "trip", store, "odd", **small)
+    assert not odd.saved and not training.train_once(wild, "trip", store, "odd", **small).saved
+    # A model whose files are gone is fitted again.
+    import shutil
+
+    shutil.rmtree(first.path)
+    with pytest.warns(UserWarning, match="stale"):
+        assert not training.train_once(fares, "trip", store, **small).reused
+
+
+def test_a_forest_predicts_the_average_of_its_trees(spark, fares, tmp_path):
+    """Every tree walked by hand from its text, not by the model's own prediction."""
+    import re
+
+    result = training.train(fares, "trip", str(tmp_path / "m"), trees=3, depth=3, partitions=2)
+    rows = result.model.transform(features_and_label(fares, "trip")).select("features", "prediction").limit(50).collect()
+
+    def walk(lines, features):
+        at = 0
+        while True:
+            depth = len(lines[at]) - len(lines[at].lstrip())
+            leaf = re.match(r"\s*Predict: (.*)", lines[at])
+            if leaf:
+                return float(leaf[1])
+            feature, limit = re.match(r"\s*If \(feature (\d+) <= (.*)\)", lines[at]).groups()
+            if features[int(feature)] <= float(limit):
+                at += 1
+            else:
+                marker = " " * depth + "Else"
+                at = next(i for i in range(at + 1, len(lines)) if lines[i].startswith(marker)) + 1
+
+    trees = [tree.toDebugString.splitlines()[1:] for tree in result.model.stages[-1].trees]
+    for row in rows:
+        assert row["prediction"] == pytest.approx(sum(walk(lines, row["features"]) for lines in trees) / 3)
