@@ -67,11 +67,6 @@ def sparse_ids(df: DataFrame, into: str = "trip_id", start: int = 1) -> DataFram
     return df.withColumn(into, F.monotonically_increasing_id() + F.lit(start))
 
 
-def sparse_end(df: DataFrame, start: int = 1) -> int:
-    """The id that all of `sparse_ids(df, start=start)` lie below, known before any row is read."""
-    return start + (df.rdd.getNumPartitions() << _POSITION_BITS)
-
-
 def next_id(table: DataFrame, id_column: str = "trip_id") -> int:
     """The id after the highest in `table`, to go on numbering an append from."""
     return (table.agg(F.max(id_column).alias("top")).first()["top"] or 0) + 1

@@ -499,8 +499,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
 
 def table_sizes(spark: SparkSession, root: str, into: str) -> DataFrame:
     sizes = [
-        tables.read_table(spark, root, name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias(into))
-        for name in schema.TABLES
+        rows.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias(into))
+        for name, rows in tables.read_tables(spark, root).items()
     ]
     return reduce(DataFrame.unionByName, sizes)
 

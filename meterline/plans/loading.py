@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 import warnings
 from collections.abc import Iterable
 from functools import reduce
@@ -16,19 +15,20 @@ from meterline.operators import audits
 from meterline.operators.columns import complete_raw
 from meterline.operators.dimensions import seed_dimensions
 from meterline.operators.fact import fact_rows
-from meterline.operators.numbering import next_id, sparse_end, sparse_ids
+from meterline.operators.numbering import next_id, sparse_ids
 from meterline.operators.rules import count_violations, reject, trip_rules
 from meterline.sinks.jdbc import append_jdbc
 from meterline.sinks.months import replace_month
 from meterline.sinks.tables import (
-    append_log,
-    append_table,
-    each_table,
+    Change,
+    commit,
     ensure_tables,
     insert_missing,
-    read_log,
+    loads,
     read_table,
+    read_tables,
     truncate_and_reload,
+    write_folder,
 )
 from meterline.sources.trips import landed_bytes, landed_months, read_months
 
@@ -41,7 +41,7 @@ def load_dimensions(spark: SparkSession, root: str, zones: DataFrame, year: int)
     """
     ensure_tables(spark, root)
     seeds = seed_dimensions(spark, zones, year)
-    each_table(lambda name: insert_missing(spark, root, name, seeds[name]), [n for n in seeds if n != "dim_zone"])
+    insert_missing(spark, root, {name: rows for name, rows in seeds.items() if name != "dim_zone"})
     truncate_and_reload(spark, root, {"dim_zone": seeds["dim_zone"]})
 
 
@@ -64,15 +64,14 @@ def load_facts(
     written twice: trips are judged, numbered and written where they are read. The trips
     turned away go to `rejects`, if given, each month's in place of what it held before.
 
-    A log beside the tables holds each month's load and the identities it used, so the next
-    load goes on from there without a look at the facts. A load that ended half-way is
-    settled by the next: if facts have identities of the range it kept for itself, it counts
-    as done. No other load uses that range, so another month's facts never settle it.
+    The rows go to a folder of their own, and one entry in the tables' log makes them part of
+    the facts, together with the months they come from and the identities they used, where
+    the next load goes on. A load that dies before that has loaded nothing: no reader sees
+    its rows, and the next load takes its months again.
     """
     folder_year = folder_year or year
-    settle_loads(spark, root)
-    log = read_log(spark, root)
-    done = {(row["folder_year"], row["month"]): row["landed"] for row in log.filter(F.col("year") == year).collect()}
+    log = loads(spark, root)
+    done = {(row["folder_year"], row["month"]): row["landed"] for row in log if row["year"] == year}
     wanted = sorted(set(months)) if months is not None else landed_months(spark, landed, folder_year)
     fresh = [month for month in wanted if (folder_year, month) not in done]
     sizes = {month: landed_bytes(spark, landed, folder_year, month) for month in wanted}
@@ -88,38 +87,16 @@ def load_facts(
     if rejects:
         replace_month(reject(complete_raw(raw), trip_rules(year)), rejects)
 
-    # Loads that never ended keep their range, whether or not they wrote into it.
-    open_loads = read_log(spark, root, ended=False).join(log.select("load"), "load", "left_anti")
-    kept = open_loads.agg(F.max("end_id")).first()[0]
-    following = log.agg(F.max("next_id")).first()[0] or next_id(read_table(spark, root, "fact_trip"))
-    start = max(following, kept or 0)
-    rows = fact_rows(raw, year)
-    end = sparse_end(rows, start)
-    entries = [(uuid.uuid4().hex, year, folder_year, month, start, None, end, sizes[month]) for month in fresh]
-    append_log(spark, root, entries)
+    start = max((row["next_id"] for row in log), default=0) or next_id(read_table(spark, root, "fact_trip"))
     seen = Observation()
-    facts = sparse_ids(rows, start=start)
-    append_table(facts.observe(seen, F.max("trip_id").alias("last")), root, "fact_trip")
+    facts = sparse_ids(fact_rows(raw, year), start=start).observe(seen, F.max("trip_id").alias("last"))
+    folder = write_folder(facts, root, "fact_trip")
     following = (seen.get["last"] or start - 1) + 1
-    append_log(spark, root, [(*entry[:5], following, *entry[6:]) for entry in entries])
+    origins = [(year, folder_year, month, start, following, sizes[month]) for month in fresh]
+    commit(spark, root, [Change("fact_trip", False, folder, *origin) for origin in origins])
     return fresh
 
 
-def settle_loads(spark: SparkSession, root: str) -> None:
-    """Enter the end of every load that never said it ended, if identities of its own range are in the facts."""
-    log = read_log(spark, root, ended=False)
-    ended = read_log(spark, root).select("load")
-    for row in log.join(ended, "load", "left_anti").collect():
-        # Files and their row groups state the range of their ids, so few of them are read.
-        own = read_table(spark, root, "fact_trip").filter(F.col("trip_id") >= row["first_id"])
-        # A log written before loads kept a range has no end.
-        if row["end_id"] is not None:
-            own = own.filter(F.col("trip_id") < row["end_id"])
-        last = own.agg(F.max("trip_id")).first()[0]
-        if last is not None:
-            append_log(spark, root, [(*row[:5], last + 1, *row[6:])])
-
-
 def export_facts(
     spark: SparkSession,
     landed: str,
@@ -145,7 +122,7 @@ def rejected_trips(spark: SparkSession, landed: str, year: int, months: Iterable
 
 def audit_warehouse(spark: SparkSession, root: str) -> DataFrame:
     """(table_name, finding, row_count) of all that breaks a declared constraint of the eight tables."""
-    tables = {name: read_table(spark, root, name) for name in schema.TABLES}
+    tables = read_tables(spark, root)
     keys = audits.table_key_audit(tables).selectExpr(
         "table_name", "concat(constraint_name, ' ', key_value) AS finding", "row_count"
     )

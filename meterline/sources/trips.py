@@ -155,6 +155,16 @@ def _matches(spark: SparkSession, pattern: str) -> list[str]:
     return [str(status.getPath()) for status in files.globStatus(hadoop) or []]
 
 
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """The names of what lies directly in `folder`."""
+    return [path.rstrip("/").rsplit("/", 1)[1] for path in _matches(spark, f"{folder}/*")]
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def _layouts(spark: SparkSession, root: str, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
     """Schemas found under `paths`, with the paths of each; Spark reads the footers in tasks.
 

@@ -27,7 +27,7 @@ def test_existing_row_wins_and_first_of_the_batch(spark):
 def test_recreated_tables_are_empty_and_typed(spark, tmp_path):
     tables.recreate_tables(spark, str(tmp_path))
     for name, layout in schema.TABLES.items():
-        found = spark.read.parquet(str(tmp_path / name))
+        found = tables.read_table(spark, str(tmp_path), name)
         assert found.count() == 0
         assert [(f.name, f.dataType) for f in found.schema] == [(f.name, f.dataType) for f in layout]
 
@@ -75,37 +75,66 @@ def test_reload_empties_only_what_is_named(spark, raw, tmp_path):
     assert tables.read_table(spark, root, "dim_zone").count() == 265
 
 
-def test_a_load_that_never_said_it_ended_is_settled(spark, raw, tmp_path, monkeypatch):
+def died(*_, **__):
+    raise OSError
+
+
+def test_a_load_that_dies_before_its_entry_has_loaded_nothing(spark, raw, tmp_path, monkeypatch):
+    """All rows are written, the entry is not: none of them is seen, and the next load takes them, once."""
     landed, root = str(tmp_path / "landed"), str(tmp_path / "warehouse")
     append_month(raw({}, {}), landed, ("2024", "03"))
     tables.recreate_tables(spark, root)
-    said, log = [], loading.append_log
-    monkeypatch.setattr(loading, "append_log", lambda *given: log(*given) if not said.append(1) and len(said) == 1 else None)
-    loading.load_facts(spark, landed, root, 2024)
-    monkeypatch.undo()
-    assert tables.read_log(spark, root).count() == 0
+    with monkeypatch.context() as patched, pytest.raises(OSError):
+        patched.setattr(loading, "commit", died)
+        loading.load_facts(spark, landed, root, 2024)
+    assert tables.read_table(spark, root, "fact_trip").count() == 0
+    assert loading.load_facts(spark, landed, root, 2024) == [3]
     assert loading.load_facts(spark, landed, root, 2024) == []
     assert tables.read_table(spark, root, "fact_trip").count() == 2
+    assert tables.clear_unused(spark, root) == 1
+    assert tables.read_table(spark, root, "fact_trip").count() == 2
 
 
-def test_a_failed_load_is_not_settled_by_another_month(spark, raw, tmp_path, monkeypatch):
+def test_a_load_that_dies_between_its_files_has_loaded_nothing(spark, raw, tmp_path, monkeypatch):
+    """One file is in its place, the others are not, and another month is loaded before the next attempt."""
     landed, root = str(tmp_path / "landed"), str(tmp_path / "warehouse")
     append_month(raw({}, {}), landed, ("2024", "03"))
     append_month(raw({}, {}, {}), landed, ("2024", "04"))
     tables.recreate_tables(spark, root, ["fact_trip"])
+    assert loading.load_facts(spark, landed, root, 2024, months=[4]) == [4]
 
-    def died(*_):
+    def half(df, root, name):
+        tables.write_folder(df.limit(1), root, name)
         raise OSError
 
-    monkeypatch.setattr(loading, "append_table", died)
-    with pytest.raises(OSError):
+    with monkeypatch.context() as patched, pytest.raises(OSError):
+        patched.setattr(loading, "write_folder", half)
         loading.load_facts(spark, landed, root, 2024, months=[3])
-    monkeypatch.undo()
-    assert loading.load_facts(spark, landed, root, 2024, months=[4]) == [4]
+    assert tables.read_table(spark, root, "fact_trip").count() == 3
+    append_month(raw({}), landed, ("2024", "05"))
+    assert loading.load_facts(spark, landed, root, 2024, months=[5]) == [5]
     assert loading.load_facts(spark, landed, root, 2024) == [3]
     assert loading.load_facts(spark, landed, root, 2024) == []
     facts = tables.read_table(spark, root, "fact_trip")
-    assert facts.count() == facts.select("trip_id").distinct().count() == 5
+    assert facts.count() == facts.select("trip_id").distinct().count() == 6
+    loads = {row["month"]: (row["first_id"], row["next_id"]) for row in tables.loads(spark, root)}
+    assert set(loads) == {3, 4, 5} and all(first < following for first, following in loads.values())
+
+
+def test_a_reload_that_fails_leaves_all_tables_as_they_were(spark, raw, tmp_path):
+    root = str(tmp_path / "warehouse")
+    loading.load_dimensions(spark, root, zones(spark), 2024)
+    bad = zones(spark).withColumn("borough", F.raise_error(F.lit("unreadable")).cast("string"))
+    with pytest.raises(Exception, match="unreadable"):
+        tables.truncate_and_reload(spark, root, {"dim_vendor": dimensions.vendors(spark).limit(1), "dim_zone": bad}, ["dim_date"])
+    counts = {name: rows.count() for name, rows in tables.read_tables(spark, root).items()}
+    assert (counts["dim_zone"], counts["dim_vendor"], counts["dim_date"]) == (265, 5, 367)
+    # A reader that has the old rows keeps them through a reload, until they are cleared away.
+    old = tables.read_table(spark, root, "dim_zone")
+    tables.truncate_and_reload(spark, root, {"dim_zone": zones(spark).limit(7)})
+    assert (old.count(), tables.read_table(spark, root, "dim_zone").count()) == (265, 7)
+    # The failed write's two folders, and the old zones.
+    assert tables.clear_unused(spark, root) == 3 and tables.read_table(spark, root, "dim_zone").count() == 7
 
 
 def test_rows_added_to_a_loaded_month_are_reported(spark, raw, tmp_path):
