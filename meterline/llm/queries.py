@@ -97,27 +97,26 @@ WITH RECURSIVE tape AS MATERIALIZED (
   SELECT doc_id, source, sum(size) OVER (PARTITION BY source ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) - size AS begun
   FROM (
     SELECT doc_id, source, length(coalesce(text, '')) + 1 AS size,
-      CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS place
+      CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '-' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS place
     FROM documents
   )
 ), weights AS MATERIALIZED (
-  SELECT source, sqrt(CAST(sum(length(coalesce(text, '')) + 1) AS DOUBLE)) AS weight FROM documents GROUP BY source
-), summed AS MATERIALIZED (
-  SELECT list_reduce(list(weight ORDER BY source), lambda x, y: x + y) AS total FROM weights
+  SELECT source, letters, CAST(floor(sqrt(CAST(letters AS DOUBLE)) * 1048576) AS HUGEINT) AS weight
+  FROM (SELECT source, sum(length(coalesce(text, '')) + 1) AS letters FROM documents GROUP BY source)
 ), shares AS MATERIALIZED (
-  SELECT source, row_number() OVER (ORDER BY source) AS i, greatest(1, CAST(floor(1000 * weight / total) AS BIGINT)) AS p
-  FROM weights, summed
+  SELECT source, letters, row_number() OVER (ORDER BY source) AS i, CAST(1048576 * weight // sum(weight) OVER () AS BIGINT) AS p FROM weights
 ), setup AS MATERIALIZED (
-  SELECT list(p ORDER BY i) AS p, CAST(sum(p) AS BIGINT) AS n FROM shares
+  SELECT list(p ORDER BY i) AS p, CAST(1048576 AS BIGINT) AS n,
+    CAST(max(((letters // 100000 + 1) * 1048576 + p - 1) // p) AS BIGINT) AS ends FROM shares
 ), slots AS (
-  SELECT CAST(-1 AS BIGINT) AS slot, list_transform(p, lambda x: CAST(0 AS BIGINT)) AS k, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS turn, p, n
+  SELECT CAST(-1 AS BIGINT) AS slot, list_transform(p, lambda x: CAST(0 AS BIGINT)) AS k, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS turn, p, n, ends
   FROM setup
   UNION ALL
-  SELECT slot, list_transform(k, lambda x, j: CASE WHEN j = best THEN x + 1 ELSE x END), best, k[best], p, n
+  SELECT slot, list_transform(k, lambda x, j: CASE WHEN j = best THEN x + 1 ELSE x END), best, k[best], p, n, ends
   FROM (
-    SELECT slot + 1 AS slot, k, p, n, list_min(list_transform(list_filter(generate_series(1, len(p)),
-      lambda j: k[j] * n // p[j] <= slot + 1), lambda j: ((k[j] + 1) * n + p[j] - 1) // p[j] * 100000 + j)) % 100000 AS best
-    FROM slots WHERE slot + 1 < n
+    SELECT slot + 1 AS slot, k, p, n, ends, coalesce(list_min(list_transform(list_filter(generate_series(1, len(p)),
+      lambda j: k[j] * n // p[j] <= slot + 1), lambda j: ((k[j] + 1) * n + p[j] - 1) // p[j] * 100000 + j)) % 100000, 0) AS best
+    FROM slots WHERE slot + 1 < ends
   )
 )
 SELECT doc_id, source, block AS mix_block, CAST(begun AS BIGINT) AS mix_at, block * s.n // h.p AS mix_release,

@@ -360,6 +360,65 @@ def test_a_period_with_many_small_sources_is_the_plain_one():
         assert mixing.period(shares) == plain_period(shares)
 
 
+def test_empty_slots_and_first_slots_of_a_schedule():
+    """A period longer than all shares leaves slots empty; a part of it is its beginning."""
+    random = np.random.default_rng(5)
+    for _ in range(100):
+        shares = random.choice([1, 1, 2, 3, 9], random.integers(1, 12)).tolist()
+        parts = sum(shares) + int(random.integers(0, 20))
+        large = {i: p for i, p in enumerate(shares) if p > 1}
+        slots, runs = mixing.schedule(large, len(shares) - len(large), parts)
+        placed = {(source, block): slot for source, block, slot in slots}
+        placed |= {(source, 0): source + shift for first, end, shift in runs for source in range(first, end) if source not in large}
+        assert len(set(placed.values())) == len(placed) == sum(shares)
+        for (source, block), slot in placed.items():
+            assert block * parts // shares[source] <= slot < -(-(block + 1) * parts // shares[source])
+        some, _ = mixing.schedule(large, len(shares) - len(large), parts, parts // 2)
+        assert [row for row in slots if row[2] < parts // 2] == [row for row in some if row[2] < parts // 2]
+
+
+def test_five_thousand_sources_keep_to_their_exact_weights(spark):
+    """One source has a third of the weight, 5,000 share the rest, one of them with 0.19 % of all."""
+    weights = {"big": 1 / 3, "odd": 0.0019, **{f"h{i}": (2 / 3 - 0.0019) / 4999 for i in range(4999)}}
+    big = spark.range(2600).selectExpr("id AS doc_id", "'big' AS source", "repeat('x', 99) AS text")
+    odd = spark.range(5000, 5015).selectExpr("id AS doc_id", "'odd' AS source", "repeat('x', 99) AS text")
+    rest = spark.range(10_000, 14_999).selectExpr("id AS doc_id", "concat('h', id - 10000) AS source", "repeat('x', 99) AS text")
+    found = mixing.mix(big.unionByName(odd).unionByName(rest), weights, block_chars=100)
+    rows = sorted((row["mix_slot"], row["source"]) for row in found.select("mix_slot", "source").collect())
+    # As long as all sources last, over which a source is at most that far from its weight.
+    served = dict.fromkeys(weights, 0)
+    for slot, source in rows:
+        if slot >= 7400:
+            break
+        before = served[source] - slot * weights[source]
+        served[source] += 1
+        after = served[source] - (slot + 1) * weights[source]
+        assert before > -1.01 and after < 1.01
+    assert all(abs(served[source] - 7400 * weight) < 1.01 for source, weight in weights.items())
+
+
+def test_mixing_keeps_columns_of_any_name(spark, docs):
+    given = docs(*[(i, "x" * i, "ab"[i % 2]) for i in range(50)])
+    names = ["_block", "_order", "_group", "_size", "_index", "_share", "_place", "_at", "in_text", "_name", "a.b"]
+    clashing = given.withColumns({name: F.col("doc_id") * 2 for name in names})
+    found = mixing.mix(clashing, block_chars=100)
+    assert found.columns[: len(clashing.columns)] == clashing.columns
+    assert all(row[name] == 2 * row["doc_id"] for row in found.collect() for name in names)
+    plain = {row["doc_id"]: row["mix_slot"] for row in mixing.mix(given, block_chars=100).collect()}
+    assert {row["doc_id"]: row["mix_slot"] for row in found.collect()} == plain
+
+
+def test_rows_without_an_id_fall_into_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP_ROWS", 100)
+    given = spark.range(4000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'s' AS source", "concat('t', id) AS text")
+    shares = mixing.shares_of(given, None, 1000)
+    sizes = mixing._numbered(given, 1000, shares).select("_at").distinct().count()
+    assert sizes == 4000
+    named = F.concat(F.lit("-"), F.md5("text"))
+    groups = given.select(F.shiftright(F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long"), 54).alias("g")).groupBy("g").count()
+    assert groups.agg(F.max("count")).first()[0] < 200
+
+
 def test_more_than_ten_thousand_sources_are_mixed(spark):
     given = spark.range(30_000).selectExpr("id AS doc_id", "concat('h', id % 12000) AS source", "repeat('x', 99) AS text")
     given = given.unionByName(spark.range(30_000, 31_000).selectExpr("id AS doc_id", "'h5x' AS source", "repeat('x', 99999) AS text"))
