@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from meterline.llm import bpe, jaccard, lines, mixing, quality
 from meterline.llm.common import stored, table
+from meterline.operators.numbering import assign_ids
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -64,12 +65,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and digests of the token ids and of the text decoded from them, in the order
-    in which the files of the stage before hold their rows."""
+    """doc_id, n_tokens, digests of the token ids and of the text decoded from them, and `place`: from 0
+    up, the row's place in the mix, which is the order in which the files of the stage before hold their rows."""
     placed, place = _placed(docs)
     coded = bpe.encode_decode(placed, public_tokenizers.path("word_bpe_49k.json"), keep=place)
-    # Written before they are sorted: the sort looks at its rows twice, and coding is the costly part.
-    return stored(bpe.digests(coded, keep=place), "pipeline_digests").orderBy(*place).drop(*place)
+    # Written before they are numbered, which looks at its rows twice, as coding is the costly part.
+    digests = stored(bpe.digests(coded, keep=place), "pipeline_digests")
+    return assign_ids(digests, place, "place", start=0).drop(*place).orderBy("place")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
