@@ -139,7 +139,7 @@ def key_of(line):
 
 
 def test_pipeline(spark, duck, texts):
-    """Each stage by itself in plain Python; the mix changes the order only."""
+    """Each stage by itself in plain Python; the mix changes the places only."""
     kept = {row[0] for row in duck.execute(f"SELECT doc_id FROM ({SQL['op4_quality_rules']}) WHERE kept").fetchall()}
     left = {key: text for key, text in texts.items() if key in kept}
     holders = {}
@@ -164,7 +164,24 @@ def test_pipeline(spark, duck, texts):
                 low, high = sorted((root(a), root(b)))
                 group[high] = low
     left = {key: text for key, text in left.items() if root(key) == key}
-    assert {key: tuple(row)[1:] for key, row in rows(spark, "pipeline").items()} == encoded(left)
+    found = rows(spark, "pipeline")
+    assert {key: tuple(row)[1:-1] for key, row in found.items()} == encoded(left)
+    assert sorted(row["place"] for row in found.values()) == list(range(len(left)))
+
+
+def test_the_pipeline_drops_boilerplate_that_line_dedup_would_keep(spark, tmp_path):
+    """Of twelve documents with a line of their host's, five are rejected, so seven hold it after the rules."""
+    line = "Subscribe to our weekly letter today"
+    own = {key: " ".join(f"w{key}_{i}" for i in range(80 if key < 7 or key >= 12 else 20)) for key in range(40)}
+    texts = {key: f"{text}\n{line}" if key < 12 else text for key, text in own.items()}
+    rows = [(key, text, "en", "host", len(text)) for key, text in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    expected = encoded({key: text for key, text in own.items() if key < 7 or key >= 12})
+    found = {row["doc_id"]: row for row in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert {key: tuple(row)[1:-1] for key, row in found.items()} == expected
+    deduped = corpus_pipeline.line_dedup(spark, docs.filter("doc_id < 7"), str(tmp_path)).collect()
+    assert all(row["text"].endswith(line) for row in deduped)
 
 
 def test_stages_keep_the_columns_of_documents(spark):
@@ -188,7 +205,9 @@ def test_the_mix_gives_the_pipeline_its_order(spark, monkeypatch, tmp_path):
         for name, value in changed.items():
             spark.conf.set(f"spark.sql.{name}", value)
         monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, stages[name]) for name in ("mix_sources", "encode")])
-        assert [row["doc_id"] for row in corpus_pipeline.run(spark, str(tmp_path)).collect()] == expected
+        found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+        assert [row["doc_id"] for row in found] == expected
+        assert [row["place"] for row in found] == list(range(60))
         monkeypatch.setattr(corpus_pipeline, "STAGES", [("encode", stages["encode"])])
         assert [row["doc_id"] for row in corpus_pipeline.run(spark, str(tmp_path)).collect()] != expected
     finally:
