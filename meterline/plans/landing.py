@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from meterline import schema
 from meterline.sinks.months import append_month, replace_month
 from meterline.sinks.snapshots import checksum
-from meterline.sources.trips import as_layout, exists, period_columns, period_of, read_file, widest
+from meterline.sources.trips import as_layout, damaged, exists, period_columns, period_of, read_file, widest
 
 
 class Landed(NamedTuple):
@@ -69,9 +69,18 @@ def land_files(
     `uniform` makes them: a tree of such files is read with `layout=schema.LANDED_TRIP`, with
     no look at its files beforehand. Every month is read back and compared.
 
-    A file whose name states no month that exists raises before anything is landed, unless
-    there is a `quarantine`, where such files' rows go with their file's path.
+    A file whose name states no month that exists, or that cannot be opened, raises before anything
+    is landed, unless there is a `quarantine`. The rows of the first kind go there with their
+    file's path; of the second, the path and the error go to `_damaged` in it. The other files
+    land.
     """
+    bad = damaged(spark, paths)
+    if bad and quarantine is None:
+        raise ValueError(f"cannot be opened: {bad}")
+    if bad:
+        aside = spark.createDataFrame(sorted(bad.items()), "file_path string, error string")
+        aside.coalesce(1).write.mode("append").parquet(f"{quarantine.rstrip('/')}/_damaged")
+    paths = [path for path in paths if path not in bad]
     by_month: dict[tuple[str, str], list[str]] = {}
     nameless = []
     for path in dict.fromkeys(paths):
@@ -117,12 +126,15 @@ def _put(rows: DataFrame, root: str, period: tuple[str, str], repeatable: bool)
     write = replace_month if repeatable else append_month
     write(rows.observe(given, count, checksum(rows)), root, period)
     if repeatable:
-        held = spark.read.schema(rows.schema).parquet(folder)
+        # Without rows nothing is written, not even a folder.
+        there = exists(spark, folder, whole=False)
+        held = spark.read.schema(rows.schema).parquet(folder) if there else rows.limit(0)
         found = held.agg(count, checksum(held)).first().asDict()
         good = found == given.get
     else:
         # Earlier files may have other types, so only rows are compared.
-        good = spark.read.parquet(folder).count() == before + given.get["rows"]
+        there = exists(spark, folder, whole=False)
+        good = (spark.read.parquet(folder).count() if there else 0) == before + given.get["rows"]
     if not good:
         raise RuntimeError(f"{folder} does not hold what was landed")
     return given.get["rows"]

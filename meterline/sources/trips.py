@@ -21,6 +21,37 @@ def read_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def damaged(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Which of the raw files cannot be opened, each with the error's first line.
+
+    One pass over the footers of all of them, no column is read. What gave no row there is empty or
+    damaged, and is opened by itself to tell which.
+    """
+    paths = list(dict.fromkeys(paths))
+    missing = [path for path in paths if not exists(spark, path, whole=False)]
+    there = [path for path in paths if path not in set(missing)]
+    found = {path: "no such file" for path in missing}
+    if not there:
+        return found
+    nothing = T.StructType([])
+    rows = spark.read.schema(nothing).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").parquet(*there)
+    read = [row[0] for row in rows.select("_metadata.file_path").groupBy("file_path").count().collect()]
+    # A path may be a folder of files, and stands in the result with its store's name before it.
+    opened = {path for path in there if any(f"{name}/".find(f"{path.rstrip('/')}/") >= 0 for name in read)}
+
+    def error_of(path: str) -> str | None:
+        try:
+            spark.read.schema(nothing).parquet(path).count()
+        except Exception as error:
+            return (str(error).strip() or type(error).__name__).splitlines()[0]
+        return None
+
+    with ThreadPoolExecutor(max_workers=8) as side_by_side:
+        asked = [path for path in there if path not in opened]
+        found |= {path: error for path, error in zip(asked, side_by_side.map(error_of, asked), strict=True) if error}
+    return found
+
+
 def period_of(path: str) -> tuple[str, str]:
     """(year, month) text from a file name, with the month's zero; raises if it states none."""
     found = re.fullmatch(PERIOD_PATTERN, path, flags=re.ASCII)

@@ -6,7 +6,7 @@ from meterline import schema
 from meterline.operators.fact import fact_rows
 from meterline.plans.landing import land_file, land_files, uniform
 from meterline.sinks.months import append_month, replace_month
-from meterline.sources.trips import period_columns, period_of, read_months, read_year, widest
+from meterline.sources.trips import damaged, period_columns, period_of, read_months, read_year, widest
 from meterline.sources.zones import read_zones
 
 
@@ -110,6 +110,28 @@ def test_months_of_different_layouts(spark, raw, tmp_path):
     ]
 
 
+def test_a_damaged_file_is_set_aside_and_the_others_land(spark, raw, tmp_path):
+    files = [str(tmp_path / f"t_2024-{month:02d}.parquet") for month in range(1, 11)]
+    for at, path in enumerate(files):
+        raw(*[{}] * (at % 3)).coalesce(1).write.parquet(f"{path}.folder")
+        (part,) = (tmp_path / f"{path}.folder").glob("*.parquet")
+        (tmp_path / path).write_bytes(part.read_bytes())
+    whole = (tmp_path / files[4]).read_bytes()
+    (tmp_path / files[4]).write_bytes(whole[: len(whole) // 2])
+    root, aside = str(tmp_path / "landed"), str(tmp_path / "aside")
+    with pytest.raises(ValueError, match="t_2024-05"):
+        land_files(spark, files, root)
+    assert not (tmp_path / "landed").exists()
+    folder = files[9] + ".folder"
+    given = [*files[:9], str(tmp_path / "gone_2024-11.parquet")]
+    months = land_files(spark, given, root, aside)
+    # Files without rows are not damaged.
+    assert {month.period[1]: month.rows for month in months} == {f"{at + 1:02d}": at % 3 for at in range(9) if at != 4}
+    told = {row["file_path"]: row["error"] for row in spark.read.parquet(f"{aside}/_damaged").collect()}
+    assert set(told) == {files[4], given[-1]} and all(told.values())
+    assert damaged(spark, [folder]) == {}
+
+
 def test_files_of_one_month_that_disagree(spark, raw, tmp_path):
     root = str(tmp_path)
     for count in (2.0, 3):
