@@ -653,8 +653,8 @@ FIT_BINS = 128
 _TRAINED: dict[tuple[str, str], training.Fitted] = {}
 
 
-def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.Fitted]:
-    """The stored frame, and the model of all trees and levels fitted to it by this or an earlier application."""
+def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.Fitted, str]:
+    """The stored frame, the model of all trees and levels fitted to it by this or an earlier application, and its folder."""
     frame = training_frame(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
@@ -663,7 +663,7 @@ def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.Fitte
         _TRAINED[key] = training.train_once(
             frame, "event_id", store, name, memory_mb=memory_mb, bins=FIT_BINS, partitions=FIT_PARTITIONS
         )
-    return frame, _TRAINED[key]
+    return frame, _TRAINED[key], _TRAINED[key].path
 
 
 def label_range(frame: DataFrame) -> DataFrame:
@@ -679,7 +679,7 @@ def in_range(predicted: DataFrame, frame: DataFrame) -> DataFrame:
 
 @query
 def rf_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, result = trained(spark, sf_dir)
+    frame, result, _ = trained(spark, sf_dir)
     spread = F.stddev_pop(schema.LABEL)
     return flat(
         frame.agg(
@@ -695,7 +695,7 @@ def rf_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, result = trained(spark, sf_dir)
+    frame, result, _ = trained(spark, sf_dir)
     _, test = forest.split(columns.features_and_label(frame, "event_id"), "event_id")
     return in_range(result.model.transform(test).select("event_id", "label", "prediction"), frame)
 
@@ -703,7 +703,7 @@ def rf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of the model and of a copy saved and loaded, compared by the number of passengers."""
-    frame, result = trained(spark, sf_dir)
+    frame, result, _ = trained(spark, sf_dir)
     _, test = forest.split(columns.features_and_label(frame, "event_id"), "event_id")
     path = scratch_path(spark, "model_copy")
     result.model.write().save(path)
@@ -722,8 +722,8 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame, result = trained(spark, sf_dir)
-    return in_range(training.score_table(result.path, frame, "event_id").fillna("", ["input_problem"]), frame)
+    frame, _, path = trained(spark, sf_dir)
+    return in_range(training.score_table(path, frame, "event_id").fillna("", ["input_problem"]), frame)
 
 
 @query
