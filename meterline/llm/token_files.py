@@ -16,21 +16,25 @@ half of a file. Each row is a block of whole documents, in ascending doc_id orde
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, pairwise
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
+from meterline.llm.bpe import byte_letters
 from meterline.llm.common import (
     LATIN_LETTERS,
     LATIN_NUMBERS,
@@ -70,8 +74,35 @@ def split_pieces(text: str) -> list[str]:
     return (_LATIN_PIECE if is_latin(text) else _PIECE).findall(text)
 
 
+def piece_merger(path: str) -> tiktoken.Encoding | None:
+    """Merges single pieces by the vocabulary file at `path`, as the tokenizers library does but with
+    less work around each. None if the file's merges are not what its ids alone can say."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    plain = not any(
+        model.get(name) for name in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+    )
+    bytes_of = {letter: byte for byte, letter in enumerate(byte_letters())}
+    vocab: dict[str, int] = model["vocab"]
+    merges = [tuple(pair.split(" ")) if isinstance(pair, str) else tuple(pair) for pair in model["merges"]]
+    made = [vocab.get(left + right, -1) for left, right in merges]
+    # Ranks are ids: these must rise with the merges, and every longer token be made by one.
+    rising = all(a < b for a, b in pairwise([-1, *made]))
+    inner = {token: number for token, number in vocab.items() if bytes_of.keys() >= set(token)}
+    whole = len(inner) == 256 + len(made) and bytes_of.keys() <= inner.keys()
+    if not (plain and rising and whole):
+        return None
+    ranks = {bytes(bytes_of[letter] for letter in token): number for token, number in inner.items()}
+    # The pattern takes all of what it is given as one piece.
+    return tiktoken.Encoding("pieces", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoder:
-    """The tokenizers library's encoding of a byte-level vocabulary, each distinct piece encoded once."""
+    """The tokenizers library's encoding of a byte-level vocabulary, each distinct piece encoded once.
+
+    Texts that hold a special token, or letters newer than `regex` knows, are encoded by the
+    library itself; of others the pieces are merged by `piece_merger`.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -79,12 +110,22 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [token.content for token in self.library.get_added_tokens_decoder().values()]
+        self.merger = piece_merger(path)
         self.pieces: dict[str, bytes] = {}
 
     def _ids(self, batch: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(batch, add_special_tokens=False)
         return [np.array(one.ids, "<u2").tobytes() for one in found]
 
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece."""
+        if self.merger is None:
+            return self._ids(pieces)
+        found = list(map(self.merger.encode_ordinary, pieces))
+        ends = list(accumulate((2 * len(ids) for ids in found), initial=0))
+        flat = np.fromiter(chain.from_iterable(found), "<u2", ends[-1] // 2).tobytes()
+        return [flat[begin:end] for begin, end in pairwise(ends)]
+
     def encode(self, batch: list[str]) -> list[bytes]:
         """The ids of each text, two bytes each."""
         get = self.pieces.get
@@ -103,8 +144,8 @@ class Encoder:
                 out.append(b"".join(held))
         names = list({p for _, _, pieces, held in open_texts for p, ids in zip(pieces, held, strict=True) if ids is None})
         # Letters newer than `regex` knows are left to the library, with their whole text.
-        odd = {piece for piece in names if UNASSIGNED.search(piece)}
-        fresh = dict(zip(names, self._ids(names), strict=True))
+        odd = {piece for piece in names if not piece.isascii() and UNASSIGNED.search(piece)}
+        fresh = dict(zip(names, self._merged(names), strict=True))
         for place, text, pieces, held in open_texts:
             if odd and not odd.isdisjoint(pieces):
                 out[place] = self._ids([text])[0]
@@ -138,22 +179,31 @@ class Grammar(NamedTuple):
         """
         symbols = ids.astype(np.uint16)
         rules, lengths, made = [], np.ones(1 << 16, np.int64), []
-        count = 0
+        count, fresh = 0, 0
         while rounds is None or len(made) < rounds:
             room = min(PER_ROUND, (1 << 16) - BASE - count)
             if len(symbols) < 2 or room <= 0:
                 break
-            pairs = symbols[:-1].astype(np.uint32) << np.uint32(16) | symbols[1:]
+            # Unless a round leaves frequent pairs over, the next one's all hold what it made: other
+            # pairs were too rare before and can only have become rarer.
+            new = symbols >= fresh
+            places = np.flatnonzero(new[:-1] | new[1:])
+            pairs = symbols[places].astype(np.uint32) << np.uint32(16) | symbols[places + 1]
             ranked = np.sort(pairs)
+            if not len(ranked):
+                break
             first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
             often = np.diff(np.append(first, len(ranked)))
             good = np.flatnonzero(often >= least)
             if not len(good):
                 break
+            fresh = BASE + count
             if len(good) > room:
                 good = good[np.argpartition(-often[good], room - 1)[:room]]
+                fresh = 0
             chosen = np.sort(ranked[first[good]])
-            at, which = _places(pairs, chosen)
+            hits, which = _places(pairs, chosen)
+            at = places[hits]
             # In a run of overlapping places, every other one.
             breaks = np.concatenate([[True], np.diff(at) != 1])
             run_start = np.maximum.accumulate(np.where(breaks, np.arange(len(at)), 0))
@@ -173,8 +223,22 @@ class Grammar(NamedTuple):
         return cls(symbols, flat.astype(np.uint16), lengths[BASE : BASE + count], np.array(made, np.int64))
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """The ids that some of the symbols stand for: the rounds undone, the last one first."""
-        out = symbols.astype(np.int64)
+        """The ids that some of the symbols stand for, from a table of what each nonterminal among them does."""
+        symbols = symbols.astype(np.int64)
+        used = np.unique(symbols[symbols >= BASE])
+        sizes = np.ones(1 << 16, np.int64)
+        sizes[used] = self.lengths[used - BASE]
+        # An id stands for itself; the nonterminals' ids follow.
+        table = np.concatenate([np.arange(BASE), self._undone(used)])
+        starts = np.arange(1 << 16)
+        starts[used] = BASE + np.cumsum(sizes[used]) - sizes[used]
+        lengths = sizes[symbols]
+        ends = np.cumsum(lengths)
+        return table[np.repeat(starts[symbols] - (ends - lengths), lengths) + np.arange(lengths.sum())]
+
+    def _undone(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids that symbols stand for: the rounds undone, the last one first."""
+        out = symbols
         end = BASE + len(self.rules)
         rules = self.rules.astype(np.int64)
         for made in self.rounds[::-1]:
@@ -201,12 +265,16 @@ class Grammar(NamedTuple):
 
 def _places(pairs: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where `pairs` holds one of the sorted `chosen`, and which."""
-    marked = np.zeros(1 << 18, bool)
-    marked[_bucket(chosen)] = True
-    at = np.flatnonzero(marked[_bucket(pairs)])
-    which = np.minimum(np.searchsorted(chosen, pairs[at]), len(chosen) - 1)
-    real = chosen[which] == pairs[at]
-    return at[real], which[real]
+    first = np.full(1 << 18, -1, np.int32)
+    first[_bucket(chosen)] = np.arange(len(chosen))
+    which = first[_bucket(pairs)]
+    at = np.flatnonzero(which >= 0)
+    which, found = which[at], pairs[at]
+    # Where several share a bucket, it may be another one.
+    other = np.flatnonzero(chosen[which] != found)
+    which[other] = np.minimum(np.searchsorted(chosen, found[other]), len(chosen) - 1)
+    real = chosen[which] == found
+    return at[real], which[real].astype(np.int64)
 
 
 def _bucket(pairs: np.ndarray) -> np.ndarray:

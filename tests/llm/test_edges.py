@@ -1,6 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
 import hashlib
+import json
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -286,6 +288,58 @@ def test_token_files_of_an_empty_table(spark, docs):
     assert token_files.read(spark, path).collect() == []
 
 
+def test_pieces_are_merged_as_the_library_does(tmp_path):
+    encoder = token_files.Encoder(BYTE_BPE)
+    random = np.random.default_rng(9)
+    letters = ["a", "e", "t", "n", " ", "  ", "'", "'s", "\n", "\t", "é", "ß", "中", "🙂", "1", "23", "_", "...", "the", "ing", "\u00a0", "\x00"]
+    texts = ["".join(random.choice(letters, random.integers(0, 60))) for _ in range(400)] + ["a" * 50_000, " " * 3000, "ab" * 9000]
+    assert encoder.merger is not None
+    assert encoder.encode(texts) == encoder._ids(texts)
+
+    # A vocabulary whose ids do not follow its merges is left to the library.
+    with open(BYTE_BPE, encoding="utf-8") as file:
+        held = json.load(file)
+    held["model"]["merges"][300], held["model"]["merges"][900] = held["model"]["merges"][900], held["model"]["merges"][300]
+    path = tmp_path / "swapped.json"
+    path.write_text(json.dumps(held), encoding="utf-8")
+    swapped = token_files.Encoder(str(path))
+    assert swapped.merger is None
+    assert swapped.encode(texts) == swapped._ids(texts)
+
+
+def _counted_anew(ids, least):
+    """Pairs replaced round by round, each round counting all pairs of the sequence left."""
+    symbols, rules = list(ids), []
+    while True:
+        counts = Counter(zip(symbols[:-1], symbols[1:], strict=True))
+        chosen = {pair: token_files.BASE + len(rules) + i for i, pair in enumerate(sorted(p for p in counts if counts[p] >= least))}
+        if not chosen:
+            return symbols, rules
+        left, at = [], 0
+        while at < len(symbols):
+            pair = tuple(symbols[at : at + 2])
+            left.append(chosen.get(pair, symbols[at]))
+            at += 2 if pair in chosen else 1
+        symbols, rules = left, rules + list(chosen)
+
+
+def test_grammar_counts_as_if_all_pairs_were_counted_in_each_round(monkeypatch):
+    random = np.random.default_rng(5)
+    for spread in (2, 6, 40):
+        ids = np.concatenate([random.integers(0, spread, 2000), np.tile(random.integers(0, 300, 25), 40)])
+        grammar = token_files.Grammar.of(ids, least=5)
+        symbols, rules = _counted_anew(ids.tolist(), 5)
+        assert grammar.symbols.tolist() == symbols
+        assert [tuple(rule) for rule in grammar.rules.tolist()] == rules
+        # With little room in a round, frequent pairs are left over and counted again.
+        monkeypatch.setattr(token_files, "PER_ROUND", 3)
+        few = token_files.Grammar.of(ids, least=5)
+        monkeypatch.undo()
+        pairs = few.symbols[:-1].astype(np.int64) << 16 | few.symbols[1:]
+        assert few.rounds.max() <= 3 and np.unique(pairs, return_counts=True)[1].max(initial=0) < 5
+        assert (few.expand(few.symbols) == ids).all()
+
+
 def test_grammar_reads_any_range():
     random = np.random.default_rng(4)
     ids = np.concatenate([random.integers(0, 40, 3000), np.tile(random.integers(0, 50_257, 30), 200), np.zeros(501, int)])
