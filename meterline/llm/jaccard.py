@@ -268,17 +268,38 @@ def _best_heads(placed: DataFrame, percent: int, number: int) -> DataFrame:
 
     A list's heads are the HEADS documents of the least hashes, so mostly the same ones in all
     lists of a group; each round draws others. After the first, only what lies outside its
-    list's largest component is checked, against other components.
+    list's largest component is checked, against other components. A document's heads meet in
+    one row, which its text's length bounds, and are counted there.
     """
     place = F.struct(F.xxhash64(F.lit(number), "doc").alias("_hash"), F.col("doc").alias("b"), F.col("n").alias("_n"), "component")
     heads = _least_of_each(placed.select("shingle", place.alias("_place")), HEADS)
     heads = stored(heads.select("shingle", "_place.b", "_place._n", F.col("_place.component").alias("_theirs")), "heads")
     mine = placed.filter("outside") if number else placed
-    near = mine.withColumnRenamed("doc", "a").join(heads, "shingle")
-    near = near.filter((F.col("component") != F.col("_theirs")) & _comparable("n", "_n", percent))
-    met = near.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_met"))
-    best = Window.partitionBy("a").orderBy(F.desc("_met"), "b")
-    return met.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= CHECKED).select("a", "b")
+    lists = heads.groupBy("shingle").agg(F.collect_list(F.struct("b", "_n", "_theirs")).alias("heads"))
+    met = mine.select("shingle", "doc", "n", "component").join(lists, "shingle")
+    met = met.groupBy("doc", "n", "component").agg(F.flatten(F.collect_list("heads")).alias("heads"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column("heads")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(found.offsets.to_numpy()))
+            doc, n, mine = (batch.column(name).to_numpy() for name in ("doc", "n", "component"))
+            b, size, theirs = (found.flatten().field(name).to_numpy() for name in ("b", "_n", "_theirs"))
+            n, size = n[row].astype(np.int64), size.astype(np.int64)
+            other = (mine[row] != theirs) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+            row, b = row[other], b[other]
+            # Equal pairs together and counted; of a document the most frequent first.
+            order = np.lexsort((b, row))
+            row, b = row[order], b[order]
+            begins = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (b[1:] != b[:-1])])[: len(row)])
+            times = np.diff(np.append(begins, len(row)))
+            row, b = row[begins], b[begins]
+            order = np.lexsort((b, -times, row))
+            row, b = row[order], b[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row, "left") < CHECKED
+            yield pa.RecordBatch.from_arrays([pa.array(doc[row[best]]), pa.array(b[best])], ["a", "b"])
+
+    return met.mapInArrow(run, "a long, b long")
 
 
 def _least_of_each(rows: DataFrame, count: int) -> DataFrame:
