@@ -273,9 +273,10 @@ def _best_heads(placed: DataFrame, percent: int, number: int) -> DataFrame:
     """
     place = F.struct(F.xxhash64(F.lit(number), "doc").alias("_hash"), F.col("doc").alias("b"), F.col("n").alias("_n"), "component")
     heads = _least_of_each(placed.select("shingle", place.alias("_place")), HEADS)
-    heads = stored(heads.select("shingle", "_place.b", "_place._n", F.col("_place.component").alias("_theirs")), "heads")
+    heads = heads.select("shingle", F.struct("_place.b", "_place._n", F.col("_place.component").alias("_theirs")).alias("head"))
+    # Written before they are joined, so that Spark may split the rows of a frequent shingle.
+    lists = stored(heads.groupBy("shingle").agg(F.collect_list("head").alias("heads")), "heads")
     mine = placed.filter("outside") if number else placed
-    lists = heads.groupBy("shingle").agg(F.collect_list(F.struct("b", "_n", "_theirs")).alias("heads"))
     met = mine.select("shingle", "doc", "n", "component").join(lists, "shingle")
     met = met.groupBy("doc", "n", "component").agg(F.flatten(F.collect_list("heads")).alias("heads"))
 
