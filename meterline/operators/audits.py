@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,13 +14,28 @@ from meterline import schema
 from meterline.operators.rules import Rule, count_each
 
 
+# Rows that one task counts by key. Keys in a row compress to almost nothing, so partitions are cut
+# by rows: by bytes, millions of them would pass for a small one.
+KEY_ROWS = 1 << 20
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str], table: str, constraint: str = "primary_key") -> DataFrame:
     """(table_name, constraint_name, key_value, row_count) of keys that repeat or are missing.
 
-    Only the key columns are read. Counts are combined before the shuffle, so a key held by
-    a third of the rows arrives as one partial count per task.
+    Only the key columns are read, after the rows are counted. Counts are combined per batch
+    before the shuffle, so a key held by a third of the rows arrives as one partial count per
+    batch, and no task holds more keys than a batch before it and about `KEY_ROWS` after it.
     """
-    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            yield from rows.group_by(rows.column_names).aggregate([([], "count_all")]).to_batches()
+
+    keys = df.select(*key)
+    parts = keys.count() // KEY_ROWS + 1
+    combined = keys.mapInArrow(run, T.StructType([*keys.schema, T.StructField("row_count", T.LongType())]))
+    counted = combined.repartition(parts, *key).groupBy(*key).agg(F.sum("row_count").alias("row_count"))
     missing = " OR ".join(f"{name} IS NULL" for name in key)
     text = ", ".join(f"coalesce(CAST({name} AS STRING), 'NULL')" for name in key)
     return counted.filter(f"row_count > 1 OR {missing}").selectExpr(
