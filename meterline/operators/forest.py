@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 
 from meterline import schema
 from meterline.operators.metrics import MAX_RMSE, passes_gate, rmse
+from meterline.session import scratch_path
+from meterline.sources.trips import exists, remove_folder
 
 # The model's settings and the error it must stay under.
 TREES = 100
@@ -23,6 +27,10 @@ BINS = 300
 # How many parts the rows are fitted in. MLlib draws each part's rows for each tree by the part's
 # number, so the count belongs to the settings; raise it with the rows.
 PARTITIONS = 16
+# How many nodes the trees fitted or held at once may have: half a KB each while they are fitted.
+NODES = 10 << 16
+# Between the seeds of one lot of trees and the next; MLlib adds the part's number to them.
+SEED_STEP = 10_007
 
 
 def hash_percent(key: Column) -> Column:
@@ -78,7 +86,61 @@ def forest(
     )
 
 
-def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
+def at_once(rows: int, depth: int = DEPTH) -> int:
+    """How many trees are fitted and held at once. A tree has two nodes per row at most, and as many
+    as its depth allows, so the count follows from the rows and the depth, not from the machine."""
+    return max(1, NODES // max(1, min(2 * rows, 2 ** (depth + 1))))
+
+
+class StoredForest:
+    """A forest of more trees than are held at once: saved models of some trees each, read one by one."""
+
+    def __init__(self, paths: Sequence[str], trees: Sequence[int]):
+        self.paths, self.trees = list(paths), list(trees)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """`df` with the average of all trees as `prediction`. Between two lots of trees the rows are
+        stored with the sum so far, in the shared folder."""
+        spark, held, before = df.sparkSession, df.withColumn("_sum", F.lit(0.0)), None
+        for place, (path, trees) in enumerate(zip(self.paths, self.trees, strict=True)):
+            summed = (F.col("_sum") + F.col("prediction") * trees).alias("_sum")
+            held = PipelineModel.load(path).transform(held).select(*df.columns, summed)
+            if place + 1 < len(self.paths):
+                now = scratch_path(spark, "scored")
+                held.write.parquet(now)
+                held = spark.read.parquet(now)
+                if before:
+                    remove_folder(spark, before)
+                before = now
+        return held.select(*df.columns, (F.col("_sum") / sum(self.trees)).alias("prediction"))
+
+
+Forest = PipelineModel | StoredForest
+
+
+def tree_count(model: Forest) -> int:
+    if isinstance(model, StoredForest):
+        return sum(model.trees)
+    return model.stages[-1].getNumTrees
+
+
+def fit(
+    rows: DataFrame, trees: int = TREES, depth: int = DEPTH, memory_mb: int = 256, bins: int = BINS
+) -> Forest:
+    """A forest of `trees`. If it is too large to be held, it is fitted in lots of trees, each from a
+    seed of its own, which lie in the shared folder."""
+    lot = at_once(rows.count(), depth)
+    if trees <= lot:
+        return forest(trees, depth, memory_mb=memory_mb, bins=bins).fit(rows)
+    root = scratch_path(rows.sparkSession, "trees")
+    lots = [min(lot, trees - begin) for begin in range(0, trees, lot)]
+    paths = [f"{root}/lot-{place:04d}" for place in range(len(lots))]
+    for place, (path, count) in enumerate(zip(paths, lots, strict=True)):
+        forest(count, depth, SEED + SEED_STEP * place, memory_mb, bins).fit(rows).write().save(path)
+    return StoredForest(paths, lots)
+
+
+def score(model: Forest, df: DataFrame, *keep: str) -> DataFrame:
     """`keep` and the predicted label for any frame with the seven features, numbers of any type."""
     # Under other names meanwhile, since a feature may be kept as well.
     kept = [f"{name} AS _kept_{name}" for name in keep]
@@ -86,20 +148,45 @@ def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
     return model.transform(inputs).selectExpr(*[f"_kept_{name} AS {name}" for name in keep], "prediction")
 
 
-def evaluate(model: PipelineModel, test: DataFrame) -> float:
+def evaluate(model: Forest, test: DataFrame) -> float:
     """RMSE on rows of features and label."""
     return model.transform(test).agg(rmse(F.col("label"), F.col("prediction")).alias("rmse")).first()["rmse"]
 
 
-def save_if_good(model: PipelineModel, error: float | None, path: str, threshold: float = MAX_RMSE) -> bool:
+def save_if_good(model: Forest, error: float | None, path: str, threshold: float = MAX_RMSE) -> bool:
     """Save the model only if its error is strictly under the threshold; says whether it did."""
     judged = SparkSession.active().range(1).select(passes_gate(F.lit(error).cast("double"), threshold))
     good = judged.first()[0]
     if good:
-        model.write().overwrite().save(path)
+        save(model, path)
     return good
 
 
-def load(path: str) -> PipelineModel:
+# Lists the lots of a stored forest; written last, so that it stands for a whole one.
+_LOTS = "lots"
+
+
+def save(model: Forest, path: str) -> None:
+    """Save the model in place of what is at `path`; a stored forest lot by lot."""
+    if not isinstance(model, StoredForest):
+        model.write().overwrite().save(path)
+        return
+    spark = SparkSession.active()
+    remove_folder(spark, path)
+    lots = [(f"lot-{place:04d}", trees) for place, trees in enumerate(model.trees)]
+    for (name, _), held in zip(lots, model.paths, strict=True):
+        PipelineModel.load(held).write().save(f"{path}/{name}")
+    spark.createDataFrame(lots, "name string, trees int").coalesce(1).write.parquet(f"{path}/{_LOTS}")
+
+
+def is_saved(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path}/metadata") or exists(spark, f"{path}/{_LOTS}")
+
+
+def load(path: str) -> Forest:
     """A saved model; a missing one raises."""
+    spark = SparkSession.active()
+    if exists(spark, f"{path}/{_LOTS}"):
+        lots = spark.read.parquet(f"{path}/{_LOTS}").orderBy("name").collect()
+        return StoredForest([f"{path}/{row['name']}" for row in lots], [row["trees"] for row in lots])
     return PipelineModel.load(path)

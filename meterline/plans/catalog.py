@@ -38,17 +38,17 @@ from meterline.streaming import arrivals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-def fitting_memory(spark: SparkSession, rows: int) -> int:
-    """MB of split statistics per running task while the queries' forest is fitted: the usual 256, or
-    what a small session has. It changes the number of passes over the rows, not the model.
+def fitting_memory(spark: SparkSession, rows: int, trees: int = forest.TREES) -> int:
+    """MB of split statistics per running task while `trees` of the queries' forest are fitted at once: the
+    usual 256, or what a small session has. It changes the number of passes over the rows, not the model.
 
     A session too small for the trees themselves is told so, before it dies of them.
     """
     heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() >> 20
     # A tree has two nodes per row at most, and as many as its depth allows; a node takes half a KB.
-    trees = forest.TREES * min(2 * rows, 2 ** (forest.DEPTH + 1)) >> 11
-    if 2 * trees > heap:
-        raise MemoryError(f"the forest's trees take {trees} MB of the session's heap of {heap} MB")
+    held = trees * min(2 * rows, 2 ** (forest.DEPTH + 1)) >> 11
+    if 2 * held > heap:
+        raise MemoryError(f"the forest's trees take {held} MB of the session's heap of {heap} MB")
     return min(256, max(16, heap // 32))
 
 
@@ -658,7 +658,8 @@ def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.Fitte
     frame = training_frame(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
-        memory_mb = fitting_memory(spark, frame.count())
+        rows = frame.count()
+        memory_mb = fitting_memory(spark, rows, min(forest.TREES, forest.at_once(rows)))
         store, name = shared_path(spark, "models"), re.sub(r"\W+", "_", sf_dir)
         _TRAINED[key] = training.train_once(
             frame, "event_id", store, name, memory_mb=memory_mb, bins=FIT_BINS, partitions=FIT_PARTITIONS
@@ -688,7 +689,7 @@ def rf_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.round(spread, 4).alias("label_spread"),
             (F.lit(result.rmse) < spread / 2).alias("better_than_half_the_spread"),
             F.lit(result.saved == (result.rmse < metrics.MAX_RMSE)).alias("saved_if_good"),
-            F.lit(result.model.stages[-1].getNumTrees).alias("trees"),
+            F.lit(forest.tree_count(result.model)).alias("trees"),
         )
     )
 
@@ -706,7 +707,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame, result, _ = trained(spark, sf_dir)
     _, test = forest.split(columns.features_and_label(frame, "event_id"), "event_id")
     path = scratch_path(spark, "model_copy")
-    result.model.write().save(path)
+    forest.save(result.model, path)
     reloaded = forest.load(path)
     own = result.model.transform(test).select("event_id", *schema.FEATURES, F.col("prediction").alias("own"))
     both = forest.score(reloaded, own, "event_id", "own", "passenger_count")

@@ -9,7 +9,6 @@ import warnings
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +24,7 @@ MONTHS = [1]
 
 
 class Trained(NamedTuple):
-    model: PipelineModel
+    model: forest.Forest
     rmse: float | None
     saved: bool
 
@@ -56,17 +55,17 @@ def train(
     `frame` has the features, the label and a row `key`. Fitting passes over it many
     times: give it a stored frame such as a snapshot, not one that is costly to compute. Rows
     without a label are left out of both sides. The model depends on the rows, their keys and
-    the settings, not on the machine.
+    the settings, not on the machine. More trees than can be held at once are fitted in lots.
     """
     rows = forest.labelled(features_and_label(frame, key))
     learn, test = forest.split(rows, key)
-    model = forest.forest(trees, depth, memory_mb=memory_mb, bins=bins).fit(forest.spread(learn, key, partitions))
+    model = forest.fit(forest.spread(learn, key, partitions), trees, depth, memory_mb, bins)
     error = forest.evaluate(model, test)
     return Trained(model, error, forest.save_if_good(model, error, model_path))
 
 
 class Fitted(NamedTuple):
-    model: PipelineModel
+    model: forest.Forest
     rmse: float | None
     saved: bool
     path: str
@@ -112,14 +111,14 @@ def train_once(
     known = spark.read.schema(FIT_LOG).parquet(log).filter(F.col("name") == name) if exists(spark, log) else None
     if known is not None:
         for row in known.filter(F.col("fingerprint") == mark).orderBy("path").collect():
-            if exists(spark, f"{row['path']}/metadata"):
+            if forest.is_saved(spark, row["path"]):
                 return Fitted(forest.load(row["path"]), row["rmse"], row["saved"], row["path"], True)
         if not known.isEmpty():
             warnings.warn(f"the stored models {name!r} are stale: fitted to other rows or settings", stacklevel=2)
     path = f"{store.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     result = train(frame, key, path, trees, depth, memory_mb, bins, partitions)
     if not result.saved:
-        result.model.write().overwrite().save(path)
+        forest.save(result.model, path)
     rows = [(mark, name, path, result.rmse, result.saved)]
     spark.createDataFrame(rows, FIT_LOG).coalesce(1).write.mode("append").parquet(log)
     return Fitted(result.model, result.rmse, result.saved, path, False)
