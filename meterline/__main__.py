@@ -112,7 +112,7 @@ def run(given: argparse.Namespace, spark: SparkSession) -> None:
         if given.store:
             result = training.train_once(rows, "row_key", given.store, **settings)
             if result.saved:
-                result.model.write().overwrite().save(given.model)
+                forest.save(result.model, given.model)
         else:
             result = training.train(rows, "row_key", given.model, **settings)
         print(f"RMSE {result.rmse}: model {'saved' if result.saved else 'not saved'}")

@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from meterline.__main__ import arguments, run
 from meterline.operators import audits, forest
 from meterline.operators.columns import features_and_label
 from meterline.plans import catalog, training
+from meterline.sinks.months import append_month
 
 
 def test_key_audit_counts_no_more_keys_in_a_task_however_well_they_compress(spark, monkeypatch):
@@ -81,3 +83,15 @@ def test_a_session_of_750_mb_holds_the_trees_fitted_at_once(spark):
         assert trees * min(2 * rows, 2 ** (forest.DEPTH + 1)) >> 11 <= 320
     assert forest.at_once(10**9) == 10 and forest.at_once(1_000) >= 100
     assert 16 <= catalog.fitting_memory(spark, 10**9, forest.at_once(10**9)) <= 256
+
+
+def test_the_train_run_keeps_a_forest_in_lots(spark, raw, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(forest, "NODES", 2 * 2**5)
+    landed, model = str(tmp_path / "landed"), str(tmp_path / "model")
+    append_month(raw(*[{"fare_amount": float(n), "total_amount": n + 5.0} for n in range(60)]), landed, ("2024", "01"))
+    words = ["--out", f"{tmp_path}/out", "--model", model, "--store", f"{tmp_path}/store", "--trees", "3", "--depth", "4"]
+    run(arguments(["train", "--root", landed, "--year", "2024", "--months", "1", *words]), spark)
+    saved = "not saved" not in capsys.readouterr().out
+    # The rows' keys follow from the landed file's name, so the error is another one in each run.
+    assert forest.is_saved(spark, model) == saved
+    assert not saved or forest.load(model).trees == [2, 1]
