@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from meterline import schema
+from meterline.operators import growing
 from meterline.operators.metrics import MAX_RMSE, passes_gate, rmse
 from meterline.session import scratch_path
 from meterline.sources.trips import exists, remove_folder
@@ -21,15 +26,16 @@ DEPTH = 15
 SEED = 42
 TEST_PERCENT = 20
 
-# Zone ids reach 300; with a bin for each, every split between two zones can be found. Zones
-# or fares of more different values share bins.
+# Of MLlib's settings, which a model kept by MLlib states; our trees try every split.
 BINS = 300
-# How many parts the rows are fitted in. MLlib draws each part's rows for each tree by the part's
-# number, so the count belongs to the settings; raise it with the rows.
+# How many parts the rows are fitted in. A row's place in them says how often each tree draws it, so
+# the count belongs to the settings.
 PARTITIONS = 16
-# How many nodes the trees fitted or held at once may have: half a KB each while they are fitted.
+# How many nodes the trees of one lot may have: MLlib holds a lot whole in the driver, at half a KB each.
 NODES = 10 << 16
-# Between the seeds of one lot of trees and the next; MLlib adds the part's number to them.
+# How many nodes are sent to the tasks that score, at 13 bytes each.
+SENT_NODES = 1 << 23
+# Between the seeds of one lot of trees and the next.
 SEED_STEP = 10_007
 
 
@@ -54,22 +60,21 @@ def spread(df: DataFrame, key: str, partitions: int = PARTITIONS) -> DataFrame:
     return df.repartition(partitions, key).sortWithinPartitions(*df.columns)
 
 
+def imputer() -> Imputer:
+    filled = [f"{name}_filled" for name in schema.FEATURES]
+    return Imputer(strategy="median", inputCols=schema.FEATURES, outputCols=filled)
+
+
 def forest(
     trees: int = TREES, depth: int = DEPTH, seed: int = SEED, memory_mb: int = 256, bins: int = BINS
 ) -> Pipeline:
-    """Fill gaps with the median, assemble, and fit a forest that tries every feature at each split.
-
-    Each running task may hold `memory_mb` of split statistics, 24 bytes for each bin of each
-    feature and node. A level of the trees with more nodes than that takes several passes over the
-    rows. Every part sends these statistics for every node, so the cost of deep levels goes with
-    parts and bins, not with rows. Where a row is in each tree is kept between passes, and
-    checkpointed in the shared folder.
-    """
-    filled = [f"{name}_filled" for name in schema.FEATURES]
+    """Fill gaps with the median, assemble, and a forest that tries every feature at each split: the
+    stages of a fitted model as MLlib keeps it. `fit` grows its trees without bins."""
+    gaps = imputer()
     return Pipeline(
         stages=[
-            Imputer(strategy="median", inputCols=schema.FEATURES, outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="features"),
+            gaps,
+            VectorAssembler(inputCols=gaps.getOutputCols(), outputCol="features"),
             RandomForestRegressor(
                 featuresCol="features",
                 labelCol="label",
@@ -87,25 +92,30 @@ def forest(
 
 
 def at_once(rows: int, depth: int = DEPTH) -> int:
-    """How many trees are fitted and held at once. A tree has two nodes per row at most, and as many
+    """How many trees are a lot. A tree has two nodes per row at most, and as many
     as its depth allows, so the count follows from the rows and the depth, not from the machine."""
     return max(1, NODES // max(1, min(2 * rows, 2 ** (depth + 1))))
 
 
+# A row for each tree: its lot's seed and depth, what fills the gaps, its nodes level by level.
+_TREE = "tree int, seed long, depth int, fill array<double>, feature binary, value binary, count binary, impurity binary"
+
+
 class StoredForest:
-    """A forest of more trees than are held at once: saved models of some trees each, read one by one."""
+    """A forest of more trees than a driver holds: saved lots of some trees each."""
 
     def __init__(self, paths: Sequence[str], trees: Sequence[int]):
         self.paths, self.trees = list(paths), list(trees)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """`df` with the average of all trees as `prediction`. Between two lots of trees the rows are
-        stored with the sum so far, in the shared folder."""
+        """`df` with the average of all trees as `prediction`, in one pass over the rows. Trees of more
+        than SENT_NODES nodes take several; between them the rows are stored with the sum so far, in
+        the shared folder."""
         spark, held, before = df.sparkSession, df.withColumn("_sum", F.lit(0.0)), None
-        for place, (path, trees) in enumerate(zip(self.paths, self.trees, strict=True)):
-            summed = (F.col("_sum") + F.col("prediction") * trees).alias("_sum")
-            held = PipelineModel.load(path).transform(held).select(*df.columns, summed)
-            if place + 1 < len(self.paths):
+        passes = list(self._passes(spark))
+        for place, seeds in enumerate(passes):
+            held = held.select(*df.columns, (F.col("_sum") + self._summed(spark, seeds)).alias("_sum"))
+            if place + 1 < len(passes):
                 now = scratch_path(spark, "scored")
                 held.write.parquet(now)
                 held = spark.read.parquet(now)
@@ -114,6 +124,46 @@ class StoredForest:
                 before = now
         return held.select(*df.columns, (F.col("_sum") / sum(self.trees)).alias("prediction"))
 
+    def _passes(self, spark: SparkSession) -> Iterator[list[tuple[int, int]]]:
+        """The trees, as seeds and numbers, that are sent together."""
+        sizes = spark.read.parquet(*self.paths).selectExpr("seed", "tree", "length(feature) AS nodes")
+        together, nodes = [], 0
+        for row in sizes.orderBy("seed", "tree").collect():
+            if together and nodes + row["nodes"] > SENT_NODES:
+                yield together
+                together, nodes = [], 0
+            together.append((row["seed"], row["tree"]))
+            nodes += row["nodes"]
+        yield together
+
+    def _summed(self, spark: SparkSession, chosen: list[tuple[int, int]]) -> Column:
+        """The sum of these trees' predictions, as a column of a frame with the features."""
+        first, last = (F.struct(F.lit(seed).alias("seed"), F.lit(tree).alias("tree")) for seed, tree in (chosen[0], chosen[-1]))
+        rows = spark.read.parquet(*self.paths).filter(F.struct(F.col("seed"), F.col("tree")).between(first, last))
+        found = rows.select("seed", "tree", "fill", "feature", "value").toArrow()
+        order = sorted(range(found.num_rows), key=list(zip(*(found[name].to_pylist() for name in ("seed", "tree")), strict=True)).__getitem__)
+        trees = []
+        for at in order:
+            feature = np.frombuffer(found["feature"][at].as_buffer(), np.int8)
+            # A leaf asks for the column behind the features, see `growing.predict`.
+            asked = np.where(feature == growing.LEAF, len(schema.FEATURES), feature).astype(np.int8)
+            trees.append((asked, np.frombuffer(found["value"][at].as_buffer(), np.float64).copy(), growing.children(feature)))
+        fill = found["fill"][0].as_py()
+        shared = spark.sparkContext.broadcast(trees)
+
+        @F.arrow_udf("double")
+        def summed(*columns: pa.Array) -> pa.Array:
+            given = [numbers(column) for column in columns]
+            given = [np.where(np.isnan(own), gap, own) for own, gap in zip(given, fill, strict=True)]
+            return pa.array(growing.predict(shared.value, given))
+
+        return summed(*[F.col(name).cast("double") for name in schema.FEATURES])
+
+
+def numbers(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of doubles, gaps as NaN."""
+    return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
+
 
 Forest = PipelineModel | StoredForest
 
@@ -124,20 +174,131 @@ def tree_count(model: Forest) -> int:
     return model.stages[-1].getNumTrees
 
 
-def fit(
-    rows: DataFrame, trees: int = TREES, depth: int = DEPTH, memory_mb: int = 256, bins: int = BINS
-) -> Forest:
-    """A forest of `trees`. If it is too large to be held, it is fitted in lots of trees, each from a
-    seed of its own, which lie in the shared folder."""
-    lot = at_once(rows.count(), depth)
-    if trees <= lot:
-        return forest(trees, depth, memory_mb=memory_mb, bins=bins).fit(rows)
-    root = scratch_path(rows.sparkSession, "trees")
+def packed(rows: DataFrame) -> DataFrame:
+    """The rows in chunks as `growing` takes them, each named by its part and place."""
+    names = [*schema.FEATURES, "label"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, chunk, held = TaskContext.get().partitionId(), 0, None
+
+        def told(table: pa.Table) -> pa.RecordBatch:
+            blob = growing.pack([numbers(table[name]) for name in names])
+            return pa.RecordBatch.from_pydict(
+                {"part": pa.array([part], pa.int32()), "chunk": pa.array([chunk], pa.int32()), "size": [table.num_rows], "blob": pa.array([blob], pa.binary())}
+            )
+
+        for batch in batches:
+            more = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, more]) if held else more
+            while held.num_rows >= growing.CHUNK:
+                yield told(held.slice(0, growing.CHUNK))
+                held, chunk = held.slice(growing.CHUNK), chunk + 1
+        if held and held.num_rows:
+            yield told(held)
+
+    return rows.select(*names).mapInArrow(run, "part int, chunk int, size long, blob binary")
+
+
+def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, memory_mb: int = 256) -> Forest:
+    """A forest of `trees`, each grown whole by one task on rows drawn with replacement, with every split
+    between two values of a feature tried. The tasks have a copy of the packed rows each, some 20
+    bytes for a row. If the forest is too large to be held by the driver, its trees are in lots, each
+    from a seed of its own, which lie in the shared folder.
+
+    A running task may hold `memory_mb` of tables of split statistics; larger ones are not made, and
+    the rows sorted instead, with the same result.
+    """
+    spark = rows.sparkSession
+    fill = list(imputer().fit(rows).surrogateDF.select(*schema.FEATURES).first())
+    stored = scratch_path(spark, "packed")
+    packed(rows).write.parquet(stored)
+    chunks = spark.read.parquet(stored)
+    lot = at_once(chunks.agg(F.sum("size")).first()[0], depth)
     lots = [min(lot, trees - begin) for begin in range(0, trees, lot)]
-    paths = [f"{root}/lot-{place:04d}" for place in range(len(lots))]
-    for place, (path, count) in enumerate(zip(paths, lots, strict=True)):
-        forest(count, depth, SEED + SEED_STEP * place, memory_mb, bins).fit(rows).write().save(path)
-    return StoredForest(paths, lots)
+    tasks = min(trees, 2 * spark.sparkContext.defaultParallelism)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, blobs = None, {}
+        for batch in batches:
+            for task, *name, blob in zip(*(batch[name] for name in ("task", "part", "chunk", "blob")), strict=True):
+                blobs[tuple(at.as_py() for at in name)] = blob.as_py()
+        if task is None:
+            return
+        known = growing.unpack(blobs, fill)
+        blobs.clear()
+        for number in range(task.as_py(), trees, tasks):
+            place, tree = divmod(number, lot)
+            seed = SEED + SEED_STEP * place
+            # As MLlib does, a single tree learns from every row once.
+            drawn = growing.weights(known, seed, tree) if trees > 1 else np.ones(len(known.label), np.uint8)
+            grown = growing.grow(known, drawn, depth, (memory_mb << 20) // 64)
+            own = {"lot": [place], "tree": [tree], "seed": [seed], "depth": [depth], "fill": [fill]}
+            own |= {name: [part.tobytes()] for name, part in grown._asdict().items()}
+            yield pa.RecordBatch.from_pydict(own, schema=kinds)
+
+    kinds = pa.schema(
+        [("lot", pa.int32()), ("tree", pa.int32()), ("seed", pa.int64()), ("depth", pa.int32())]
+        + [("fill", pa.list_(pa.float64())), *((name, pa.binary()) for name in growing.Tree._fields)]
+    )
+    copies = chunks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+    grown = copies.drop("size").repartitionById(tasks, F.col("task")).mapInArrow(run, f"lot int, {_TREE}")
+    root = scratch_path(spark, "trees")
+    grown.write.partitionBy("lot").parquet(root)
+    remove_folder(spark, stored)
+    paths = [f"{root}/lot={place}" for place in range(len(lots))]
+    return StoredForest(paths, lots) if len(lots) > 1 else held_whole(spark, paths[0])
+
+
+def _nodes(batches: Iterator[pa.RecordBatch], kinds: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """MLlib's node rows of trees, at most a few thousand at a time."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            types = growing.Tree(np.int8, np.float64, np.int64, np.float64)
+            tree = growing.Tree(*(np.frombuffer(row[name], kind) for name, kind in types._asdict().items()))
+            inner, left = tree.feature != growing.LEAF, growing.children(tree.feature)
+            total, gain = tree.count * tree.value, np.full(len(left), -1.0)
+            for at in np.flatnonzero(inner)[::-1]:
+                total[at] = total[left[at]] + total[left[at] + 1]
+            mean, spare = total / tree.count, tree.count * tree.impurity
+            parts = np.flatnonzero(inner)
+            gained = spare[parts] - spare[left[parts]] - spare[left[parts] + 1]
+            gain[parts] = np.maximum(gained / tree.count[parts], 0)
+            for begin in range(0, len(left), 4096):
+                nodes = [
+                    {
+                        "id": at,
+                        "prediction": mean[at],
+                        "impurity": tree.impurity[at],
+                        "impurityStats": [tree.count[at], total[at], spare[at] + total[at] * mean[at]],
+                        "rawCount": tree.count[at],
+                        "gain": gain[at],
+                        "leftChild": left[at] if inner[at] else -1,
+                        "rightChild": left[at] + 1 if inner[at] else -1,
+                        "split": {
+                            "featureIndex": tree.feature[at],
+                            "leftCategoriesOrThreshold": [tree.value[at]] if inner[at] else [],
+                            "numCategories": -1,
+                        },
+                    }
+                    for at in range(begin, min(begin + 4096, len(left)))
+                ]
+                yield pa.RecordBatch.from_pydict({"treeID": [row["tree"]] * len(nodes), "nodeData": nodes}, schema=kinds)
+
+
+def held_whole(spark: SparkSession, path: str) -> PipelineModel:
+    """The lot of trees at `path` as one model of MLlib."""
+    lot = spark.read.parquet(path)
+    trees, (seed, depth, fill) = lot.count(), lot.select("seed", "depth", "fill").first()
+    # MLlib makes the model around the nodes, fitted to what fills the gaps; its own have one node a tree.
+    rows = spark.createDataFrame([(*fill, 0.0)] * 2, ", ".join(f"{name} double" for name in [*schema.FEATURES, "label"]))
+    made = scratch_path(spark, "model")
+    around = forest(trees, depth, seed).fit(rows.coalesce(1))
+    around.write().save(made)
+    nodes = f"{made}/stages/2_{around.stages[-1].uid}/data"
+    kinds = spark.read.parquet(nodes).schema
+    arrow = to_arrow_schema(kinds)
+    lot.mapInArrow(lambda batches: _nodes(batches, arrow), kinds).write.mode("overwrite").parquet(nodes)
+    return PipelineModel.load(made)
 
 
 def score(model: Forest, df: DataFrame, *keep: str) -> DataFrame:
@@ -167,7 +328,7 @@ _LOTS = "lots"
 
 
 def save(model: Forest, path: str) -> None:
-    """Save the model in place of what is at `path`; a stored forest lot by lot."""
+    """Save the model in place of what is at `path`; of a stored forest the lots, as they are."""
     if not isinstance(model, StoredForest):
         model.write().overwrite().save(path)
         return
@@ -175,7 +336,7 @@ def save(model: Forest, path: str) -> None:
     remove_folder(spark, path)
     lots = [(f"lot-{place:04d}", trees) for place, trees in enumerate(model.trees)]
     for (name, _), held in zip(lots, model.paths, strict=True):
-        PipelineModel.load(held).write().save(f"{path}/{name}")
+        spark.read.parquet(held).write.parquet(f"{path}/{name}")
     spark.createDataFrame(lots, "name string, trees int").coalesce(1).write.parquet(f"{path}/{_LOTS}")
 
 
@@ -184,9 +345,11 @@ def is_saved(spark: SparkSession, path: str) -> bool:
 
 
 def load(path: str) -> Forest:
-    """A saved model; a missing one raises."""
+    """A saved model, or a lot of a stored forest; a missing one raises."""
     spark = SparkSession.active()
     if exists(spark, f"{path}/{_LOTS}"):
         lots = spark.read.parquet(f"{path}/{_LOTS}").orderBy("name").collect()
         return StoredForest([f"{path}/{row['name']}" for row in lots], [row["trees"] for row in lots])
+    if exists(spark, path, whole=False) and not exists(spark, f"{path}/metadata"):
+        return held_whole(spark, path)
     return PipelineModel.load(path)

@@ -647,9 +647,8 @@ def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(stored(spark, sf_dir, "training", write))
 
 
-# The queries' tables are small: so few parts and bins serve them, at all trees and levels.
+# The queries' tables are small: so few parts serve them.
 FIT_PARTITIONS = 4
-FIT_BINS = 128
 _TRAINED: dict[tuple[str, str], training.Fitted] = {}
 
 
@@ -662,7 +661,7 @@ def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, training.Fitte
         memory_mb = fitting_memory(spark, rows, min(forest.TREES, forest.at_once(rows)))
         store, name = shared_path(spark, "models"), re.sub(r"\W+", "_", sf_dir)
         _TRAINED[key] = training.train_once(
-            frame, "event_id", store, name, memory_mb=memory_mb, bins=FIT_BINS, partitions=FIT_PARTITIONS
+            frame, "event_id", store, name, memory_mb=memory_mb, partitions=FIT_PARTITIONS
         )
     return frame, _TRAINED[key], _TRAINED[key].path
 

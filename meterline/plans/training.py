@@ -47,19 +47,18 @@ def train(
     trees: int = forest.TREES,
     depth: int = forest.DEPTH,
     memory_mb: int = 256,
-    bins: int = forest.BINS,
     partitions: int = forest.PARTITIONS,
 ) -> Trained:
     """Fit on four fifths of the labelled rows of `frame`, measure on the rest, save if good enough.
 
-    `frame` has the features, the label and a row `key`. Fitting passes over it many
+    `frame` has the features, the label and a row `key`. Fitting passes over it several
     times: give it a stored frame such as a snapshot, not one that is costly to compute. Rows
     without a label are left out of both sides. The model depends on the rows, their keys and
-    the settings, not on the machine. More trees than can be held at once are fitted in lots.
+    the settings, not on the machine. More trees than a driver holds are kept in lots.
     """
     rows = forest.labelled(features_and_label(frame, key))
     learn, test = forest.split(rows, key)
-    model = forest.fit(forest.spread(learn, key, partitions), trees, depth, memory_mb, bins)
+    model = forest.fit(forest.spread(learn, key, partitions), trees, depth, memory_mb)
     error = forest.evaluate(model, test)
     return Trained(model, error, forest.save_if_good(model, error, model_path))
 
@@ -92,7 +91,6 @@ def train_once(
     trees: int = forest.TREES,
     depth: int = forest.DEPTH,
     memory_mb: int = 256,
-    bins: int = forest.BINS,
     partitions: int = forest.PARTITIONS,
 ) -> Fitted:
     """As `train`, or the model that an earlier call, in whatever application, fitted to the same
@@ -105,7 +103,7 @@ def train_once(
     if it is not good enough; `saved` tells whether it is.
     """
     spark = frame.sparkSession
-    settings = {"trees": trees, "depth": depth, "bins": bins, "partitions": partitions, "seed": forest.SEED}
+    settings = {"trees": trees, "depth": depth, "splits": "all", "partitions": partitions, "seed": forest.SEED}
     mark = fingerprint(frame, key, **settings)
     log = f"{store.rstrip('/')}/log"
     known = spark.read.schema(FIT_LOG).parquet(log).filter(F.col("name") == name) if exists(spark, log) else None
@@ -116,7 +114,7 @@ def train_once(
         if not known.isEmpty():
             warnings.warn(f"the stored models {name!r} are stale: fitted to other rows or settings", stacklevel=2)
     path = f"{store.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    result = train(frame, key, path, trees, depth, memory_mb, bins, partitions)
+    result = train(frame, key, path, trees, depth, memory_mb, partitions)
     if not result.saved:
         forest.save(result.model, path)
     rows = [(mark, name, path, result.rmse, result.saved)]
