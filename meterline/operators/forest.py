@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from meterline import schema
-from meterline.operators import growing
+from meterline.operators import growing, tops
 from meterline.operators.metrics import MAX_RMSE, passes_gate, rmse
 from meterline.session import scratch_path
 from meterline.sources.trips import exists, remove_folder
@@ -35,6 +35,9 @@ PARTITIONS = 16
 NODES = 10 << 16
 # How many nodes are sent to the tasks that score, at 13 bytes each.
 SENT_NODES = 1 << 23
+# How many draws of rows a task grows trees on, at some 200 bytes of work each. The first splits of trees
+# with more are made by all tasks together.
+WHOLE = 1 << 20
 # Between the seeds of one lot of trees and the next.
 SEED_STEP = 10_007
 
@@ -97,12 +100,9 @@ def at_once(rows: int, depth: int = DEPTH) -> int:
     return max(1, NODES // max(1, min(2 * rows, 2 ** (depth + 1))))
 
 
-# A row for each tree: its lot's seed and depth, what fills the gaps, its nodes level by level.
-_TREE = "tree int, seed long, depth int, fill array<double>, feature binary, value binary, count binary, impurity binary"
-
-
 class StoredForest:
-    """A forest of more trees than a driver holds: saved lots of some trees each."""
+    """A forest of more trees than a driver holds: saved lots of some trees each. A lot has a row for each
+    tree: its lot's seed and depth, what fills the gaps, its nodes level by level."""
 
     def __init__(self, paths: Sequence[str], trees: Sequence[int]):
         self.paths, self.trees = list(paths), list(trees)
@@ -176,85 +176,99 @@ def tree_count(model: Forest) -> int:
 
 def packed(rows: DataFrame) -> DataFrame:
     """The rows in chunks as `growing` takes them, each named by its part and place."""
-    names = [*schema.FEATURES, "label"]
+    names, most = [*schema.FEATURES, "label"], growing.CHUNK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, chunk, held = TaskContext.get().partitionId(), 0, None
 
         def told(table: pa.Table) -> pa.RecordBatch:
-            blob = growing.pack([numbers(table[name]) for name in names])
-            return pa.RecordBatch.from_pydict(
-                {"part": pa.array([part], pa.int32()), "chunk": pa.array([chunk], pa.int32()), "size": [table.num_rows], "blob": pa.array([blob], pa.binary())}
-            )
+            columns = [numbers(table[name]) for name in names]
+            own = {"part": part, "chunk": chunk, "size": table.num_rows, "low": columns[-1].min(), "high": columns[-1].max()}
+            return pa.RecordBatch.from_pylist([own | {"blob": growing.pack(columns)}], schema=kinds)
 
         for batch in batches:
             more = pa.Table.from_batches([batch])
             held = pa.concat_tables([held, more]) if held else more
-            while held.num_rows >= growing.CHUNK:
-                yield told(held.slice(0, growing.CHUNK))
-                held, chunk = held.slice(growing.CHUNK), chunk + 1
+            while held.num_rows >= most:
+                yield told(held.slice(0, most))
+                held, chunk = held.slice(most), chunk + 1
         if held and held.num_rows:
             yield told(held)
 
-    return rows.select(*names).mapInArrow(run, "part int, chunk int, size long, blob binary")
+    kinds = pa.schema(
+        [("part", pa.int32()), ("chunk", pa.int32()), ("size", pa.int64())]
+        + [("low", pa.float64()), ("high", pa.float64()), ("blob", pa.binary())]
+    )
+    return rows.select(*names).mapInArrow(run, "part int, chunk int, size long, low double, high double, blob binary")
 
 
 def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, memory_mb: int = 256) -> Forest:
-    """A forest of `trees`, each grown whole by one task on rows drawn with replacement, with every split
-    between two values of a feature tried. The tasks have a copy of the packed rows each, some 20
-    bytes for a row. If the forest is too large to be held by the driver, its trees are in lots, each
+    """A forest of `trees`, on rows drawn with replacement, with every split between two values of a
+    feature tried. If it is too large to be held by the driver, its trees are in lots, each
     from a seed of its own, which lie in the shared folder.
 
-    A running task may hold `memory_mb` of tables of split statistics; larger ones are not made, and
-    the rows sorted instead, with the same result.
+    On WHOLE rows at most a tree is grown by one task, and the tasks have a copy of the packed rows each,
+    some 20 bytes for a row. On more, see `tops`. A running task may hold `memory_mb` of tables of split
+    statistics; larger ones are not made, and the rows sorted instead, with the same result.
     """
     spark = rows.sparkSession
     fill = list(imputer().fit(rows).surrogateDF.select(*schema.FEATURES).first())
+    tasks = 2 * spark.sparkContext.defaultParallelism
     stored = scratch_path(spark, "packed")
-    packed(rows).write.parquet(stored)
+    place = F.pmod(F.col("part") + F.col("chunk"), F.lit(tasks)).cast("int")
+    packed(rows).repartitionById(tasks, place).write.parquet(stored)
     chunks = spark.read.parquet(stored)
-    lot = at_once(chunks.agg(F.sum("size")).first()[0], depth)
+    size, low, high = chunks.agg(F.sum("size"), F.min("low"), F.max("high")).first()
+    lot = at_once(size, depth)
     lots = [min(lot, trees - begin) for begin in range(0, trees, lot)]
-    tasks = min(trees, 2 * spark.sparkContext.defaultParallelism)
+    seeds = [(SEED + SEED_STEP * (number // lot), number % lot) for number in range(trees)]
+    room = (memory_mb << 20) // 64
+    blobs = chunks.select("part", "chunk", "blob")
+    # As MLlib does, a single tree learns from every row once.
+    if size > WHOLE and trees > 1:
+        grown = tops.grown(blobs, fill, tops.scale(low, high, size), size, seeds, depth, WHOLE, room)
+    else:
+        grown = grown_whole(blobs, fill, seeds, depth, room, min(trees, tasks))
+    known = spark.createDataFrame(
+        [(which, which // lot, tree, seed, depth, fill) for which, (seed, tree) in enumerate(seeds)],
+        "which int, lot int, tree int, seed long, depth int, fill array<double>",
+    )
+    root = scratch_path(spark, "trees")
+    grown.join(F.broadcast(known), "which").drop("which").write.partitionBy("lot").parquet(root)
+    remove_folder(spark, stored)
+    paths = [f"{root}/lot={number}" for number in range(len(lots))]
+    return StoredForest(paths, lots) if len(lots) > 1 else held_whole(spark, paths[0])
+
+
+def grown_whole(
+    chunks: DataFrame, fill: Sequence[float], seeds: Sequence[tuple[int, int]], depth: int, room: int, tasks: int
+) -> DataFrame:
+    """A tree for each seed and number of `seeds`, its place among them as `which`, grown from a copy of all
+    rows in each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, blobs = None, {}
+        blobs: dict[int, dict[tuple[int, int], bytes]] = {}
         for batch in batches:
-            for task, *name, blob in zip(*(batch[name] for name in ("task", "part", "chunk", "blob")), strict=True):
-                blobs[tuple(at.as_py() for at in name)] = blob.as_py()
-        if task is None:
-            return
-        known = growing.unpack(blobs, fill)
-        blobs.clear()
-        for number in range(task.as_py(), trees, tasks):
-            place, tree = divmod(number, lot)
-            seed = SEED + SEED_STEP * place
-            # As MLlib does, a single tree learns from every row once.
-            drawn = growing.weights(known, seed, tree) if trees > 1 else np.ones(len(known.label), np.uint8)
-            grown = growing.grow(known, drawn, depth, (memory_mb << 20) // 64)
-            own = {"lot": [place], "tree": [tree], "seed": [seed], "depth": [depth], "fill": [fill]}
-            own |= {name: [part.tobytes()] for name, part in grown._asdict().items()}
-            yield pa.RecordBatch.from_pydict(own, schema=kinds)
+            for row in batch.to_pylist():
+                blobs.setdefault(row["task"], {})[row["part"], row["chunk"]] = row["blob"]
+        for task in list(blobs):
+            rows = growing.unpack(blobs.pop(task), fill)
+            for which in range(task, len(seeds), tasks):
+                ones = np.ones(len(rows.label), np.uint8)
+                tree = growing.grow(rows, growing.weights(rows, *seeds[which]) if len(seeds) > 1 else ones, depth, room)
+                told = {name: [part] for name, part in zip(tree._fields, growing.written(tree), strict=True)}
+                yield pa.RecordBatch.from_pydict({"which": pa.array([which], pa.int32()), **told})
 
-    kinds = pa.schema(
-        [("lot", pa.int32()), ("tree", pa.int32()), ("seed", pa.int64()), ("depth", pa.int32())]
-        + [("fill", pa.list_(pa.float64())), *((name, pa.binary()) for name in growing.Tree._fields)]
-    )
     copies = chunks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
-    grown = copies.drop("size").repartitionById(tasks, F.col("task")).mapInArrow(run, f"lot int, {_TREE}")
-    root = scratch_path(spark, "trees")
-    grown.write.partitionBy("lot").parquet(root)
-    remove_folder(spark, stored)
-    paths = [f"{root}/lot={place}" for place in range(len(lots))]
-    return StoredForest(paths, lots) if len(lots) > 1 else held_whole(spark, paths[0])
+    columns = ", ".join(f"{name} binary" for name in growing.Tree._fields)
+    return copies.repartitionById(tasks, F.col("task")).mapInArrow(run, f"which int, {columns}")
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], kinds: pa.Schema) -> Iterator[pa.RecordBatch]:
     """MLlib's node rows of trees, at most a few thousand at a time."""
     for batch in batches:
         for row in batch.to_pylist():
-            types = growing.Tree(np.int8, np.float64, np.int64, np.float64)
-            tree = growing.Tree(*(np.frombuffer(row[name], kind) for name, kind in types._asdict().items()))
+            tree = growing.read([row[name] for name in growing.Tree._fields])
             inner, left = tree.feature != growing.LEAF, growing.children(tree.feature)
             total, gain = tree.count * tree.value, np.full(len(left), -1.0)
             for at in np.flatnonzero(inner)[::-1]:

@@ -37,6 +37,8 @@ class Tree(NamedTuple):
 
 
 def _narrow(codes: np.ndarray, most: int) -> np.ndarray:
+    if most > 1 << 31:
+        return codes
     return codes.astype(np.min_scalar_type(max(most - 1, 0)) if most <= 1 << 16 else np.int32)
 
 
@@ -67,11 +69,13 @@ def unpack(chunks: dict[tuple[int, int], bytes], fill: Sequence[float]) -> Rows:
 def weights(rows: Rows, seed: int, tree: int) -> np.ndarray:
     """How often each row is drawn for a tree: as in draws with replacement, Poisson with a mean of 1.
     A chunk's depend on its name, not on the other chunks."""
-    drawn = [
-        np.random.default_rng([seed, tree, *name]).poisson(1.0, size)
-        for name, size in zip(rows.chunks, np.diff(rows.begins), strict=True)
-    ]
-    return np.concatenate(drawn).astype(np.uint8)
+    sizes = np.diff(rows.begins)
+    return np.concatenate([drawn(seed, tree, name, size) for name, size in zip(rows.chunks, sizes, strict=True)])
+
+
+def drawn(seed: int, tree: int, name: tuple[int, int], size: int) -> np.ndarray:
+    """The weights of one chunk's rows."""
+    return np.random.default_rng([seed, tree, *name]).poisson(1.0, size).astype(np.uint8)
 
 
 def _runs(sizes: np.ndarray) -> np.ndarray:
@@ -168,6 +172,7 @@ def grow(rows: Rows, weight: np.ndarray, depth: int, room: int = 1 << 25) -> Tre
             unit = np.where(open_, exact / wide, 0)
         moved = np.rint(away * unit[place]) * w
         pull[order] = moved
+        del own, away
         sums = count, np.add.reduceat(moved, begins)
         before = sums[1] ** 2 / count
         for number, (code, known) in enumerate(zip(codes, rows.values, strict=True)):
@@ -178,7 +183,9 @@ def grow(rows: Rows, weight: np.ndarray, depth: int, room: int = 1 << 25) -> Tre
             else:
                 if number not in orders:
                     key = place * np.int64(len(known)) + code[order]
-                    orders[number] = order[np.argsort(key, kind="stable")]
+                    # The sort of short numbers is the faster one.
+                    orders[number] = order[np.argsort(_narrow(key, nodes * len(known)), kind="stable")]
+                    del key
                 sorted_ = orders[number]
                 found = _by_order(code[sorted_], place, begins, weight[sorted_], pull[sorted_], sums)
             gain = found[0] - before
@@ -222,6 +229,17 @@ def _joined(levels: list[Tree]) -> Tree:
     return Tree(joined[0].astype(np.int8), joined[1], joined[2].astype(np.int64), joined[3])
 
 
+_KINDS = Tree(np.int8, np.float64, np.int64, np.float64)
+
+
+def written(tree: Tree) -> list[bytes]:
+    return [part.astype(kind).tobytes() for part, kind in zip(tree, _KINDS, strict=True)]
+
+
+def read(parts: Sequence[bytes]) -> Tree:
+    return Tree(*(np.frombuffer(part, kind) for part, kind in zip(parts, _KINDS, strict=True)))
+
+
 def children(feature: np.ndarray) -> np.ndarray:
     """The left child of each node; of a leaf the leaf itself."""
     inner = feature != LEAF
